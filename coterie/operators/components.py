@@ -10,46 +10,46 @@ from ..plans.lists import sorted_lists
 from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join
 
+# Steps that a vertex looks ahead between two checks whether all have arrived.
+_HOPS = 4
+
 
 def tree_roots(picks: Saved, scratch: Scratch) -> Saved:
-    """``(vertex, root)`` for ``picks (vertex, pick)`` in which every vertex picked another one.
+    """Add ``root`` to ``picks (vertex, pick, ...)``, in which every vertex picked another one.
 
     Each pick must be the vertex's best by one order on edges or vertices. Then the picks form
-    trees whose only cycle is one mutual pair; its smaller member becomes the root. Each round doubles
-    the distance a vertex looks ahead, so a path of length n takes log n rounds.
+    trees whose only cycle is one mutual pair; its smaller member becomes the root. Every round
+    multiplies how far a vertex sees, so a path of length n takes log n rounds.
     """
-    target = Saved(
-        picks.df.select(F.col("vertex").alias("pick"), F.col("pick").alias("back")), picks.rows, picks.path
-    )
+    target = picks.select(F.col("vertex").alias("pick"), F.col("pick").alias("back"))
     mutual = (F.col("back") == F.col("vertex")) & (F.col("vertex") < F.col("pick"))
-    ahead = scratch.save(
-        lookup_join(picks.df, picks.rows, target, ["pick"], scratch)
-        .select("vertex", F.when(mutual, F.col("vertex")).otherwise(F.col("pick")).alias("root"))
+    seen = scratch.settle(
+        lookup_join(picks, target, ["pick"], scratch)
+        .withColumn("root", F.when(mutual, F.col("vertex")).otherwise(F.col("pick"))).drop("back"),
+        picks.rows,
     )
-    moved = 1
-    while moved:
-        step = Saved(
-            ahead.df.select(F.col("vertex").alias("root"), F.col("root").alias("next")), ahead.rows, ahead.path
-        )
-        further = lookup_join(ahead.df, ahead.rows, step, ["root"], scratch)
-        last, ahead = ahead, scratch.save(
-            further.select("vertex", F.col("next").alias("root"), (F.col("next") != F.col("root")).alias("jumped")),
-            moved=F.count_if("jumped"),
-        )
-        moved = ahead.metrics["moved"]
-        ahead = Saved(ahead.df.drop("jumped"), ahead.rows, ahead.path)
-        scratch.drop(last.path)
-    return ahead
+    while True:
+        step = seen.select(F.col("vertex").alias("root"), F.col("root").alias("next"))
+        ahead = seen.df.withColumn("next", F.col("root"))
+        for _ in range(_HOPS):
+            ahead = lookup_join(ahead.drop("root").withColumnRenamed("next", "root"), step, ["root"], scratch)
+        arrived = scratch.save(ahead, moved=F.count_if(F.col("next") != F.col("root")))
+        if not arrived.metrics["moved"]:
+            return Saved(arrived.df.drop("next"), arrived.rows, arrived.path)
+        seen = Saved(arrived.df.drop("root").withColumnRenamed("next", "root"), arrived.rows, arrived.path)
+
 
+def relabel(rows: DataFrame | Saved, column: str, roots: Saved, scratch: Scratch, how: str = "inner", **carried: str) -> DataFrame:
+    """Replace the vertex in ``column`` by its root; ``carried`` names further root columns to bring along.
 
-def relabel(rows: Saved, column: str, roots: Saved, scratch: Scratch, **carried: str) -> DataFrame:
-    """Replace the vertex in ``column`` by its root; ``carried`` renames other columns to bring along."""
-    table = roots.df.select(
+    With ``how="left"`` a vertex that took no part in the round stays as it is.
+    """
+    table = roots.select(
         F.col("vertex").alias(column), F.col("root").alias("to_root"),
         *[F.col(c).alias(name) for c, name in carried.items()],
     )
-    joined = lookup_join(rows.df, rows.rows, Saved(table, roots.rows, roots.path), [column], scratch)
-    return joined.drop(column).withColumnRenamed("to_root", column)
+    joined = lookup_join(rows, table, [column], scratch, how)
+    return joined.withColumn(column, F.coalesce("to_root", column)).drop("to_root")
 
 
 def _contractions(edges: DataFrame, scratch: Scratch) -> list[Saved]:
@@ -60,13 +60,12 @@ def _contractions(edges: DataFrame, scratch: Scratch) -> list[Saved]:
     rounds = []
     left = scratch.save(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
     while left.rows:
-        picks = scratch.save(
+        picks = (
             left.df.select(both_directions("a", "b")).groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("pick"))
         )
-        roots = tree_roots(picks, scratch)
+        roots = tree_roots(scratch.settle(picks, 2 * left.rows), scratch)
         rounds.append(roots)
-        half = scratch.save(relabel(left, "a", roots, scratch))
-        joined = relabel(half, "b", roots, scratch).where("a <> b")
+        joined = relabel(relabel(left, "a", roots, scratch), "b", roots, scratch).where("a <> b")
         left = scratch.save(
             joined.select(*edge_key("a", "b")).distinct().select(F.col("src").alias("a"), F.col("dst").alias("b"))
         )
@@ -81,16 +80,17 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         if not rounds:
             return scratch.save(everyone.select(F.col("vertex").alias("community"), "vertex"), keep=True).df
         # Put the rounds together from the last, smallest one back, so that each table is read once.
-        to_end = rounds[-1]
+        to_end = rounds[-1].select("vertex", "root")
         for earlier in reversed(rounds[:-1]):
-            later = Saved(to_end.df.select(F.col("vertex").alias("root"), F.col("root").alias("end")), to_end.rows, "")
-            to_end = scratch.save(
-                lookup_join(earlier.df, earlier.rows, later, ["root"], scratch, "left")
-                .select("vertex", F.coalesce("end", "root").alias("root"))
+            later = to_end.select(F.col("vertex").alias("root"), F.col("root").alias("end"))
+            to_end = scratch.settle(
+                lookup_join(earlier.select("vertex", "root"), later, ["root"], scratch, "left")
+                .select("vertex", F.coalesce("end", "root").alias("root")),
+                earlier.rows,
             )
-        names = scratch.save(to_end.df.groupBy("root").agg(F.min("vertex").alias("community")))
-        named = scratch.save(lookup_join(to_end.df, to_end.rows, names, ["root"], scratch).select("community", "vertex"))
-        labels = everyone.join(named.df, "vertex", "left").select(
+        names = scratch.settle(to_end.df.groupBy("root").agg(F.min("vertex").alias("community")), to_end.rows)
+        named = lookup_join(to_end, names, ["root"], scratch).select("community", "vertex")
+        labels = everyone.join(named, "vertex", "left").select(
             F.coalesce("community", "vertex").alias("community"), "vertex"
         )
         return scratch.save(labels, keep=True).df
@@ -100,6 +100,4 @@ def community_members(labels: DataFrame) -> DataFrame:
     """``(community, part, members)``: the sorted vertices of each community."""
     with Scratch(labels.sparkSession) as scratch:
         saved = scratch.save(labels.select("community", "vertex"))
-        return scratch.save(
-            sorted_lists(saved, "community", "vertex", "members", scratch), keep=True
-        ).df
+        return scratch.save(sorted_lists(saved, "community", "vertex", "members", scratch), keep=True).df

@@ -36,11 +36,13 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
         raise ValueError("min_shared must be at least 1")
     with Scratch(rows.sparkSession) as scratch:
         held = scratch.save(affiliations(rows).where("user IS NOT NULL AND item IS NOT NULL"))
-        popular = scratch.save(
-            held.df.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
-            .where(F.col("holders") > limit(scratch.spark, "popularItem"))
-        )
-        if popular.rows == 0 or min_shared == 1:
+        popular = None
+        if held.rows > limit(scratch.spark, "popularItem") and min_shared > 1:
+            popular = scratch.save(
+                held.df.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
+                .where(F.col("holders") > limit(scratch.spark, "popularItem"))
+            )
+        if popular is None or popular.rows == 0:
             counts = _meetings(held, scratch)
         else:
             counts = _meetings_of_popular(held, popular, min_shared, scratch)
@@ -58,7 +60,7 @@ def _meetings(held: Saved, scratch: Scratch) -> DataFrame:
 
 
 def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch: Scratch) -> DataFrame:
-    marked = scratch.save(lookup_join(held.df, held.rows, popular, ["item"], scratch, "left"))
+    marked = scratch.save(lookup_join(held, popular, ["item"], scratch, "left"))
     # A row_number filter in a window is pushed down as a per-task limit, so a user with very many
     # popular items contributes at most min_shared - 1 rows per task to the window.
     by_fame = Window.partitionBy("user").orderBy(F.desc("holders"), F.desc("item"))
@@ -68,19 +70,14 @@ def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch:
         .where(F.col("place") < min_shared)
         .select("user", "item")
     )
-    kept = scratch.save(
-        marked.df.join(
-            aside.df.withColumn("aside", F.lit(True)), ["user", "item"], "left_anti"
-        )
-    )
-    met = scratch.save(_meetings(Saved(kept.df.select("user", "item"), kept.rows, kept.path), scratch))
+    kept = scratch.save(marked.df.join(aside.df, ["user", "item"], "left_anti"))
+    met = scratch.save(_meetings(kept.select("user", "item"), scratch))
 
     # At most min_shared - 1 items per user, so these arrays are short.
-    lists = aside.df.groupBy("user").agg(F.collect_list("item").alias("aside"))
-    of_src = scratch.save(lists.select(F.col("user").alias("src"), F.col("aside").alias("src_aside")))
-    of_dst = scratch.save(lists.select(F.col("user").alias("dst"), F.col("aside").alias("dst_aside")))
-    one = scratch.save(lookup_join(met.df, met.rows, of_src, ["src"], scratch, "left"))
-    both = lookup_join(one.df, one.rows, of_dst, ["dst"], scratch, "left")
+    lists = scratch.save(aside.df.groupBy("user").agg(F.collect_list("item").alias("aside")))
+    of_src = lists.select(F.col("user").alias("src"), F.col("aside").alias("src_aside"))
+    of_dst = lists.select(F.col("user").alias("dst"), F.col("aside").alias("dst_aside"))
+    both = lookup_join(lookup_join(met, of_src, ["src"], scratch, "left"), of_dst, ["dst"], scratch, "left")
     none = F.array().cast(held.df.select(F.array("item").alias("a")).schema["a"].dataType)
     both = (
         both.withColumn("src_aside", F.coalesce("src_aside", none))
@@ -91,7 +88,7 @@ def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch:
     pairs = scratch.save(both)
 
     # An item set aside by one user may still be among the kept items of the other.
-    probes = scratch.save(
+    probes = (
         pairs.df.select(
             "src", "dst",
             F.inline(
@@ -108,7 +105,7 @@ def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch:
         kept.df.where("holders IS NOT NULL").select("user", "item")
     )
     hits = scratch.save(
-        lookup_join(probes.df, probes.rows, kept_popular, ["user", "item"], scratch)
+        lookup_join(probes, kept_popular, ["user", "item"], scratch)
         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("hits"))
     )
     return pairs.df.join(hits.df, ["src", "dst"], "left").select(

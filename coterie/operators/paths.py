@@ -88,9 +88,9 @@ def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
         both.df.groupBy("vertex").agg(F.count(F.lit(1)).alias("degree")).where(F.col("degree") > block)
         .select("vertex", F.ceil(F.col("degree") / block).cast("int").alias("own"))
     )
-    of_other = scratch.save(of_vertex.df.select(F.col("vertex").alias("to"), F.col("own").alias("blocks")))
-    one = scratch.save(lookup_join(both.df, both.rows, of_vertex, ["vertex"], scratch, "left"))
-    cut = lookup_join(one.df, one.rows, of_other, ["to"], scratch, "left").select(
+    of_other = of_vertex.select(F.col("vertex").alias("to"), F.col("own").alias("blocks"))
+    one = lookup_join(both, of_vertex, ["vertex"], scratch, "left")
+    cut = lookup_join(one, of_other, ["to"], scratch, "left").select(
         "vertex",
         F.pmod(F.xxhash64("to"), F.coalesce("own", F.lit(1))).cast("int").alias("block"),
         "to",

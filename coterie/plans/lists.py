@@ -18,25 +18,22 @@ def sorted_lists(rows: Saved, key: str, value: str, name: str, scratch: Scratch)
     parts 1, 2, ... in value order, so no single array grows with the data.
     """
     longest = limit(scratch.spark, "listRows")
-    long_keys = scratch.save(
-        rows.df.groupBy(key).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > longest).select(key)
-    )
-    if long_keys.rows == 0:
-        cut = rows.df.select(key, F.lit(0).cast("long").alias("part"), value)
-    else:
-        marked = scratch.save(
-            lookup_join(
-                rows.df.select(key, value), rows.rows,
-                scratch.save(long_keys.df.withColumn("long", F.lit(True))), [key], scratch, "left",
-            )
-        ).df
+    cut = rows.df.select(key, F.lit(0).cast("long").alias("part"), value)
+    long_keys = None
+    if rows.rows > longest:
+        long_keys = scratch.save(
+            rows.df.groupBy(key).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > longest)
+            .select(key, F.lit(True).alias("long"))
+        )
+    if long_keys and long_keys.rows:
+        marked = scratch.save(lookup_join(rows.select(key, value), long_keys, [key], scratch, "left"))
         ranked = scratch.save(
-            with_rank(marked.where("long"), [F.col(key), F.col(value)], "rank", scratch)
+            with_rank(marked.df.where("long"), [F.col(key), F.col(value)], "rank", scratch)
         )
         first = scratch.save(ranked.df.groupBy(key).agg(F.min("rank").alias("first")))
-        long_rows = lookup_join(ranked.df, ranked.rows, first, [key], scratch).select(
+        parts = lookup_join(ranked, first, [key], scratch).select(
             key, F.floor((F.col("rank") - F.col("first")) / longest).alias("part"), value
         )
-        cut = marked.where("long IS NULL").select(key, F.lit(0).cast("long").alias("part"), value)
-        cut = cut.unionByName(long_rows)
+        short = marked.df.where("long IS NULL").select(key, F.lit(0).cast("long").alias("part"), value)
+        cut = short.unionByName(parts)
     return cut.groupBy(key, "part").agg(F.sort_array(F.collect_list(value)).alias(name))

@@ -13,16 +13,22 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from .limits import limit
+
 
 @dataclass(frozen=True)
 class Saved:
-    """A written step: how to read it, how many rows it has, and the metrics asked for."""
+    """A step: how to read it, how many rows it has at most, and the metrics asked for."""
 
     df: DataFrame
     rows: int
-    path: str
+    path: str = ""
     metrics: dict = field(default_factory=dict)
 
+    def select(self, *columns: Column | str) -> "Saved":
+        """The same rows under other columns."""
+        return Saved(self.df.select(*columns), self.rows, self.path)
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``; a temporary one only in local mode."""
@@ -87,6 +93,12 @@ class Scratch:
         found = seen.get
         return Saved(self.read(path, df.schema), found.pop("rows"), path, found)
 
+    def settle(self, df: DataFrame, at_most: int) -> Saved:
+        """Leave a table that is known to be small as a plan, which is cheap to run again; write others."""
+        if at_most <= limit(self.spark, "broadcastRows"):
+            return Saved(df, at_most)
+        return self.save(df)
+
     def read(self, path: str, schema) -> DataFrame:
         """A saved folder under a known schema, so no job is spent on inferring it."""
         return self.spark.read.schema(schema).parquet(path)

@@ -10,33 +10,31 @@ from .scratch import Saved, Scratch
 
 
 def lookup_join(
-    big: DataFrame,
-    big_rows: int,
-    table: Saved,
-    on: list[str],
-    scratch: Scratch,
-    how: str = "inner",
+    big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner"
 ) -> DataFrame:
     """Join ``big`` to a table with few rows per key (usually one).
 
     A table counted to be small is broadcast. Beyond that size the hot keys of ``big`` are
     found by a pre-aggregated count; by the pigeonhole principle there are at most ``hotKeys``
-    of them, so their table rows are broadcast and only the even rest is shuffled.
-    ``big`` is read three times then, so it should be a saved step.
+    of them, so their table rows are broadcast and only the even rest is shuffled. As ``big`` is
+    then read three times, it is written first unless it is a saved step already.
     """
     spark = scratch.spark
     if table.rows <= limit(spark, "broadcastRows"):
-        return big.join(F.broadcast(table.df), on, how)
-    hot_share = big_rows // limit(spark, "hotKeys")
+        rows = big.df if isinstance(big, Saved) else big
+        return rows.join(F.broadcast(table.df), on, how)
+    if not isinstance(big, Saved):
+        big = scratch.save(big)
+    hot_share = big.rows // limit(spark, "hotKeys")
     hot = scratch.save(
-        big.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
+        big.df.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
     )
     if hot.rows == 0:
-        return big.join(table.df, on, how)
+        return big.df.join(table.df, on, how)
     keys = F.broadcast(hot.df)
     hot_table = F.broadcast(table.df.join(keys, on, "left_semi"))
-    even = big.join(keys, on, "left_anti").join(table.df, on, how)
-    return even.unionByName(big.join(keys, on, "left_semi").join(hot_table, on, how))
+    even = big.df.join(keys, on, "left_anti").join(table.df, on, how)
+    return even.unionByName(big.df.join(keys, on, "left_semi").join(hot_table, on, how))
 
 
 def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFrame:
@@ -49,19 +47,21 @@ def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFra
     block = limit(scratch.spark, "blockRows")
     # The join multiplies its input, so its parallelism must not shrink to fit the small input.
     parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
-    wide = scratch.save(
-        rows.df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("held"))
-        .where(F.col("held") > block)
-        .select(key, F.ceil(F.col("held") / block).cast("int").alias("blocks"))
-    )
-    if wide.rows == 0:
+    wide = None
+    if rows.rows > block:
+        wide = scratch.save(
+            rows.df.groupBy(key)
+            .agg(F.count(F.lit(1)).alias("held"))
+            .where(F.col("held") > block)
+            .select(key, F.ceil(F.col("held") / block).cast("int").alias("blocks"))
+        )
+    if wide is None or wide.rows == 0:
         grouped = rows.df.select(key, value).repartition(parts, key)
         left = grouped.withColumnRenamed(value, "x")
         return left.join(grouped.withColumnRenamed(value, "y"), key).where("x < y")
 
     cut = (
-        lookup_join(rows.df, rows.rows, wide, [key], scratch, "left")
+        lookup_join(rows, wide, [key], scratch, "left")
         .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
         .withColumn("block", F.pmod(F.xxhash64(value), F.col("blocks")).cast("int"))
     )
