@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
 from ..plans.limits import limit
-from ..plans.scratch import Saved, Scratch
+from ..plans.scratch import Scratch
 from ..plans.skew import lookup_join
-from .edges import vertices
 
 _STATES = "source long, vertex long, sigma double, blocks int, depth int"
 _CREDITS = "source long, vertex long, sigma double, gathered double, blocks int, depth int"
@@ -47,6 +46,7 @@ class _Neighbours:
     """
 
     df: DataFrame
+    rows: int
     wide: bool
     parts: int
 
@@ -57,7 +57,7 @@ class _Neighbours:
         """Join each placed state to the neighbours ``to`` of its vertex."""
         if not self.wide:
             return states.drop("blocks").join(self.df, "vertex")
-        spread = states.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        spread = states.selectExpr("*", "explode(sequence(0, blocks - 1)) AS block")
         return spread.drop("blocks").join(self.df, ["vertex", "block"]).drop("block")
 
     def meet(self, offers: DataFrame, states: DataFrame) -> DataFrame:
@@ -81,7 +81,7 @@ def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
         edges.select(both_directions("src", "dst")).select(F.col("src").alias("vertex"), F.col("dst").alias("to"))
     )
     if both.rows <= limit(spark, "broadcastRows"):
-        return _Neighbours(F.broadcast(both.df.withColumn("blocks", F.lit(1))), False, parts)
+        return _Neighbours(F.broadcast(both.df.withColumn("blocks", F.lit(1))), both.rows, False, parts)
 
     block = limit(spark, "blockRows")
     of_vertex = scratch.save(
@@ -97,7 +97,7 @@ def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
         F.coalesce("blocks", F.lit(1)).alias("blocks"),
     )
     # Partitioned once for all rounds: the states are the only side a round has to move.
-    return _Neighbours(scratch.cache(cut.repartition(parts, "vertex", "block")), True, parts)
+    return _Neighbours(scratch.cache(cut.repartition(parts, "vertex", "block")), both.rows, True, parts)
 
 
 def _roots(near: _Neighbours, sources: DataFrame | None) -> DataFrame:
@@ -114,18 +114,17 @@ def _search(near: _Neighbours, roots: DataFrame, scratch: Scratch) -> tuple[str,
     folder = scratch.folder()
     levels = [scratch.save(roots, path=f"{folder}/depth=0")]
     while levels[-1].rows:
-        reached = near.expand(near.place(levels[-1].df)).select(
-            "source", F.col("to").alias("vertex"), "sigma", "blocks", F.lit(0).alias("known")
+        reached = near.expand(near.place(levels[-1].df)).selectExpr(
+            "source", "to AS vertex", "sigma", "blocks", "0 AS known"
         )
         # A neighbour of a vertex at level d lies at level d-1, d or d+1, so two levels decide.
         known = levels[-1].df if len(levels) == 1 else levels[-1].df.unionByName(levels[-2].df)
-        known = near.place(known.select("source", "vertex")).select(
-            "source", "vertex", F.lit(None).cast("double").alias("sigma"),
-            F.lit(None).cast("int").alias("blocks"), F.lit(1).alias("known"),
+        known = near.place(known.select("source", "vertex")).selectExpr(
+            "source", "vertex", "CAST(NULL AS DOUBLE) AS sigma", "CAST(NULL AS INT) AS blocks", "1 AS known"
         )
         fresh = (
             reached.union(known).groupBy("source", "vertex")
-            .agg(F.sum("sigma").alias("sigma"), F.max("blocks").alias("blocks"), F.max("known").alias("known"))
+            .agg(F.expr("sum(sigma) AS sigma"), F.expr("max(blocks) AS blocks"), F.expr("max(known) AS known"))
             .where("known = 0").drop("known")
         )
         levels.append(scratch.save(fresh, path=f"{folder}/depth={len(levels)}"))
@@ -142,38 +141,32 @@ def _credits(near: _Neighbours, folder: str, deepest: int, scratch: Scratch) ->
     states = scratch.read(folder, _STATES)
     out = scratch.folder()
     held = scratch.save(
-        states.where(F.col("depth") == deepest).drop("depth").withColumn("gathered", F.lit(0.0)),
+        states.where(f"depth = {deepest}").drop("depth").withColumn("gathered", F.lit(0.0)),
         path=f"{out}/depth={deepest}",
     )
-    share = (1.0 + F.col("gathered")) / F.col("sigma")
-    for depth in range(deepest - 1, -1, -1):
-        offers = near.expand(near.place(held.df)).select(
-            "source", F.col("to").alias("vertex"), share.alias("share"),
-            F.lit(None).cast("double").alias("sigma"), F.lit(None).cast("int").alias("blocks"),
+    for depth in range(deepest - 1, 0, -1):
+        offers = near.expand(near.place(held.df)).selectExpr(
+            "source", "to AS vertex", "(1 + gathered) / sigma AS share",
+            "CAST(NULL AS DOUBLE) AS sigma", "CAST(NULL AS INT) AS blocks",
         )
-        parents = near.place(states.where(F.col("depth") == depth).drop("depth")).select(
-            "source", "vertex", F.lit(0.0).alias("share"), "sigma", "blocks"
+        parents = near.place(states.where(f"depth = {depth}").drop("depth")).selectExpr(
+            "source", "vertex", "0.0D AS share", "sigma", "blocks"
         )
         # Offers to neighbours that are no parents meet no state of that level and are dropped.
         passed = (
             offers.union(parents).groupBy("source", "vertex")
-            .agg(F.max("sigma").alias("sigma"), F.max("blocks").alias("blocks"), F.sum("share").alias("shares"))
+            .agg(F.expr("max(sigma) AS sigma"), F.expr("max(blocks) AS blocks"), F.expr("sum(share) AS shares"))
             .where("sigma IS NOT NULL")
-            .select("source", "vertex", "sigma", "blocks", (F.col("sigma") * F.col("shares")).alias("gathered"))
+            .selectExpr("source", "vertex", "sigma", "blocks", "sigma * shares AS gathered")
         )
         held = scratch.save(passed, path=f"{out}/depth={depth}")
 
-    credited = scratch.read(out, _CREDITS)
-    offers = near.expand(near.place(credited.where("depth > 0"))).select(
-        "source", F.col("to").alias("vertex"), (F.col("depth") - 1).alias("depth"),
-        F.col("vertex").alias("child"), share.alias("share"), "blocks",
-    )
-    parents = near.place(credited.select("source", "vertex", "depth", "sigma", "blocks"))
-    if not near.wide:
-        parents = parents.drop("blocks")
-    return near.meet(offers, parents).select(
-        "source", *edge_key("vertex", "child"), (F.col("sigma") * F.col("share")).alias("credit")
+    # What a source itself gathers goes nowhere, so every level but its own makes offers.
+    offers = near.expand(near.place(scratch.read(out, _CREDITS))).selectExpr(
+        "source", "to AS vertex", "depth - 1 AS depth", "vertex AS child", "(1 + gathered) / sigma AS share", "blocks"
     )
+    parents = near.place(states if near.wide else states.drop("blocks"))
+    return near.meet(offers, parents).select("source", *edge_key("vertex", "child"), F.expr("sigma * share AS credit"))
 
 
 def _by_source(spark: SparkSession):
@@ -224,21 +217,26 @@ def edge_betweenness(
     spark = edges.sparkSession
     with Scratch(spark) as scratch, _by_source(spark):
         near = _neighbours(edges, scratch)
-        roots = scratch.save(_roots(near, sources))
-        if batches is None:
-            n_vertices = roots.rows if sources is None else vertices(edges).count()
-            room = limit(spark, "statesPerPartition") * near.parts
-            batches = max(1, -(-roots.rows * n_vertices // room))
+        roots = _roots(near, sources)
+        room = limit(spark, "statesPerPartition") * near.parts
+        if batches is None and near.rows**2 > room:
+            saved = scratch.save(roots)
+            roots = saved.df
+            n_vertices = saved.rows if sources is None else _roots(near, None).count()
+            batches = -(-saved.rows * n_vertices // room)
+        batches = max(1, batches or 1)
         total = None
         for batch in range(batches):
             with Scratch(spark) as inner:
-                share = roots.df.where(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
-                folder, deepest = _search(near, share, inner)
-                credit = _credits(near, folder, deepest, inner).groupBy("src", "dst")
+                some = roots if batches == 1 else roots.where(F.pmod(F.xxhash64("source"), F.lit(batches)) == batch)
+                folder, deepest = _search(near, some, inner)
                 # Only the sums of earlier batches are carried along, one row per edge.
-                part = credit.agg(F.sum("credit").alias("credit"))
+                credit = _credits(near, folder, deepest, inner).select("src", "dst", "credit")
                 if total is not None:
-                    part = part.unionByName(total.df).groupBy("src", "dst").agg(F.sum("credit").alias("credit"))
-                total = scratch.save(part)
-        scores = total.df.select("src", "dst", (F.col("credit") / 2).alias("score"))
-        return scratch.save(scores, keep=True).df
+                    credit = credit.unionByName(total.df)
+                sums = credit.groupBy("src", "dst").agg(F.expr("sum(credit) AS credit"))
+                if batch < batches - 1:
+                    total = scratch.save(sums)
+                else:
+                    scores = scratch.save(sums.selectExpr("src", "dst", "credit / 2 AS score"), keep=True)
+        return scores.df

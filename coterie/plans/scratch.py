@@ -54,7 +54,6 @@ class Scratch:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/coterie-{uuid.uuid4().hex}"
         self._count = 0
-        self._dropped_on_exit: list[str] = []
         self._cached: list[DataFrame] = []
 
     def __enter__(self) -> "Scratch":
@@ -63,23 +62,18 @@ class Scratch:
     def __exit__(self, *_) -> None:
         for df in self._cached:
             df.unpersist()
-        for path in self._dropped_on_exit:
-            self.drop(path)
+        self.drop(f"{self.root}/steps")
 
     def folder(self, keep: bool = False) -> str:
         """A new folder for a step, or for several steps read back as one table."""
         self._count += 1
-        path = f"{self.root}/step-{self._count:05d}"
-        if not keep:
-            self._dropped_on_exit.append(path)
-        return path
+        return f"{self.root}/{'kept' if keep else 'steps'}/{self._count:05d}"
 
     def save(
         self,
         df: DataFrame,
         keep: bool = False,
         path: str | None = None,
-        split_by: str | None = None,
         **metrics: Column,
     ) -> Saved:
         """Write ``df`` once and read it back; the row count comes from the same job."""
@@ -88,8 +82,7 @@ class Scratch:
         counted = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]
         )
-        writer = counted.write.partitionBy(split_by) if split_by else counted.write
-        writer.parquet(path)
+        counted.write.parquet(path)
         found = seen.get
         return Saved(self.read(path, df.schema), found.pop("rows"), path, found)
 
