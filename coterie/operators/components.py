@@ -11,7 +11,7 @@ from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join
 
 # Steps that a vertex looks ahead between two checks whether all have arrived.
-_HOPS = 4
+_HOPS = 6
 
 
 def tree_roots(picks: Saved, scratch: Scratch) -> Saved:
@@ -21,35 +21,33 @@ def tree_roots(picks: Saved, scratch: Scratch) -> Saved:
     trees whose only cycle is one mutual pair; its smaller member becomes the root. Every round
     multiplies how far a vertex sees, so a path of length n takes log n rounds.
     """
-    target = picks.select(F.col("vertex").alias("pick"), F.col("pick").alias("back"))
-    mutual = (F.col("back") == F.col("vertex")) & (F.col("vertex") < F.col("pick"))
-    seen = scratch.settle(
-        lookup_join(picks, target, ["pick"], scratch)
-        .withColumn("root", F.when(mutual, F.col("vertex")).otherwise(F.col("pick"))).drop("back"),
-        picks.rows,
-    )
+    target = picks.select("vertex AS pick", "pick AS back")
+    root = "CASE WHEN back = vertex AND vertex < pick THEN vertex ELSE pick END AS root"
+    met = lookup_join(picks, target, ["pick"], scratch)
+    seen = scratch.settle(met.selectExpr(*picks.df.columns, root), picks.rows)
     while True:
-        step = seen.select(F.col("vertex").alias("root"), F.col("root").alias("next"))
-        ahead = seen.df.withColumn("next", F.col("root"))
-        for _ in range(_HOPS):
-            ahead = lookup_join(ahead.drop("root").withColumnRenamed("next", "root"), step, ["root"], scratch)
-        arrived = scratch.save(ahead, moved=F.count_if(F.col("next") != F.col("root")))
+        step = seen.select("vertex AS root", "root AS next")
+        ahead = seen.df
+        for hop in range(_HOPS):
+            if hop:
+                ahead = ahead.drop("root").withColumnRenamed("next", "root")
+            ahead = lookup_join(ahead, step, ["root"], scratch)
+        arrived = scratch.save(ahead, moved=F.expr("count_if(next <> root)"))
         if not arrived.metrics["moved"]:
-            return Saved(arrived.df.drop("next"), arrived.rows, arrived.path)
-        seen = Saved(arrived.df.drop("root").withColumnRenamed("next", "root"), arrived.rows, arrived.path)
+            return arrived.select(*picks.df.columns, "root")
+        seen = arrived.select(*picks.df.columns, "next AS root")
 
 
-def relabel(rows: DataFrame | Saved, column: str, roots: Saved, scratch: Scratch, how: str = "inner", **carried: str) -> DataFrame:
-    """Replace the vertex in ``column`` by its root; ``carried`` names further root columns to bring along.
+def relabel(
+    rows: DataFrame | Saved, column: str, roots: Saved, scratch: Scratch, how: str = "inner", **carried: str
+) -> DataFrame:
+    """Replace the vertex in ``column`` by its root; ``carried`` renames further root columns to bring along.
 
     With ``how="left"`` a vertex that took no part in the round stays as it is.
     """
-    table = roots.select(
-        F.col("vertex").alias(column), F.col("root").alias("to_root"),
-        *[F.col(c).alias(name) for c, name in carried.items()],
-    )
+    table = roots.select(f"vertex AS {column}", "root AS to_root", *[f"{c} AS {name}" for c, name in carried.items()])
     joined = lookup_join(rows, table, [column], scratch, how)
-    return joined.withColumn(column, F.coalesce("to_root", column)).drop("to_root")
+    return joined.withColumn(column, F.expr(f"coalesce(to_root, {column})")).drop("to_root")
 
 
 def _contractions(edges: DataFrame, scratch: Scratch) -> list[Saved]:
@@ -82,7 +80,7 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         # Put the rounds together from the last, smallest one back, so that each table is read once.
         to_end = rounds[-1].select("vertex", "root")
         for earlier in reversed(rounds[:-1]):
-            later = to_end.select(F.col("vertex").alias("root"), F.col("root").alias("end"))
+            later = to_end.select("vertex AS root", "root AS end")
             to_end = scratch.settle(
                 lookup_join(earlier.select("vertex", "root"), later, ["root"], scratch, "left")
                 .select("vertex", F.coalesce("end", "root").alias("root")),

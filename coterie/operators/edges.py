@@ -75,8 +75,8 @@ def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch:
 
     # At most min_shared - 1 items per user, so these arrays are short.
     lists = scratch.save(aside.df.groupBy("user").agg(F.collect_list("item").alias("aside")))
-    of_src = lists.select(F.col("user").alias("src"), F.col("aside").alias("src_aside"))
-    of_dst = lists.select(F.col("user").alias("dst"), F.col("aside").alias("dst_aside"))
+    of_src = lists.select("user AS src", "aside AS src_aside")
+    of_dst = lists.select("user AS dst", "aside AS dst_aside")
     both = lookup_join(lookup_join(met, of_src, ["src"], scratch, "left"), of_dst, ["dst"], scratch, "left")
     none = F.array().cast(held.df.select(F.array("item").alias("a")).schema["a"].dataType)
     both = (

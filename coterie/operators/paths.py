@@ -88,7 +88,7 @@ def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
         both.df.groupBy("vertex").agg(F.count(F.lit(1)).alias("degree")).where(F.col("degree") > block)
         .select("vertex", F.ceil(F.col("degree") / block).cast("int").alias("own"))
     )
-    of_other = of_vertex.select(F.col("vertex").alias("to"), F.col("own").alias("blocks"))
+    of_other = of_vertex.select("vertex AS to", "own AS blocks")
     one = lookup_join(both, of_vertex, ["vertex"], scratch, "left")
     cut = lookup_join(one, of_other, ["to"], scratch, "left").select(
         "vertex",

@@ -25,9 +25,9 @@ class Saved:
     path: str = ""
     metrics: dict = field(default_factory=dict)
 
-    def select(self, *columns: Column | str) -> "Saved":
-        """The same rows under other columns."""
-        return Saved(self.df.select(*columns), self.rows, self.path)
+    def select(self, *columns: str) -> "Saved":
+        """The same rows under other columns, given as SQL expressions."""
+        return Saved(self.df.selectExpr(*columns), self.rows, self.path)
 
 
 def shared_folder(spark: SparkSession) -> str:
