@@ -11,6 +11,7 @@ from .operators.paths import (
     bfs_levels, edge_betweenness, reachable, shortest_path_counts, source_edge_credit,
 )
 from .operators.structural import structural_components, structural_similarity
+from .plans.scratch import clear_results
 from .sources import (
     betweenness_lines, co_active_hours, community_lines, customer_parts, read_ratings,
     write_communities, write_scores,
@@ -18,7 +19,7 @@ from .sources import (
 
 __all__ = [
     "adjacency", "affiliation_sets", "affiliations", "best_communities", "betweenness_lines",
-    "bfs_levels", "co_active_hours", "coaffiliation_edges", "community_lines", "community_members",
+    "bfs_levels", "clear_results", "co_active_hours", "coaffiliation_edges", "community_lines", "community_members",
     "connected_components", "customer_parts", "cut_curve", "degrees", "edge_betweenness",
     "edges_after", "graph_size", "modularity", "reachable", "read_ratings", "removal_order",
     "shortest_path_counts", "source_edge_credit", "structural_components",

@@ -36,6 +36,8 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
         raise ValueError("min_shared must be at least 1")
     with Scratch(rows.sparkSession) as scratch:
         held = scratch.save(affiliations(rows).where("user IS NOT NULL AND item IS NOT NULL"))
+        if held.rows > limit(scratch.spark, "broadcastRows"):
+            held = _with_enough_items(held, min_shared, scratch)
         popular = None
         if held.rows > limit(scratch.spark, "popularItem") and min_shared > 1:
             popular = scratch.save(
@@ -51,6 +53,14 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
         ).df
 
 
+def _with_enough_items(held: Saved, min_shared: int, scratch: Scratch) -> Saved:
+    """Without the many users who hold too few items to share ``min_shared`` with anybody."""
+    enough = scratch.save(
+        held.df.groupBy("user").agg(F.count(F.lit(1)).alias("items")).where(F.col("items") >= min_shared).select("user")
+    )
+    return scratch.save(lookup_join(held, enough, ["user"], scratch, "left_semi"))
+
+
 def _meetings(held: Saved, scratch: Scratch) -> DataFrame:
     return (
         pairs_within(held, "item", "user", scratch)

@@ -43,6 +43,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def remove(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def clear_results(spark: SparkSession) -> None:
+    """Remove every result written so far in this process; their DataFrames can no longer be read."""
+    while Scratch.with_results:
+        remove(spark, Scratch.with_results.pop())
+
+
 class Scratch:
     """Owns the steps of one operator call; used as a context manager.
 
@@ -50,6 +61,8 @@ class Scratch:
     back the DataFrame handed to the caller.
     """
 
+    with_results: set[str] = set()
+
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self.root = f"{shared_folder(spark)}/coterie-{uuid.uuid4().hex}"
@@ -62,11 +75,13 @@ class Scratch:
     def __exit__(self, *_) -> None:
         for df in self._cached:
             df.unpersist()
-        self.drop(f"{self.root}/steps")
+        remove(self.spark, f"{self.root}/steps")
 
     def folder(self, keep: bool = False) -> str:
         """A new folder for a step, or for several steps read back as one table."""
         self._count += 1
+        if keep:
+            self.with_results.add(self.root)
         return f"{self.root}/{'kept' if keep else 'steps'}/{self._count:05d}"
 
     def save(
@@ -100,8 +115,3 @@ class Scratch:
         df = df.persist()
         self._cached.append(df)
         return df
-
-    def drop(self, path: str) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        files = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        files.delete(hadoop, True)
