@@ -6,11 +6,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
+from ..plans.limits import limit
 from ..plans.lists import sorted_lists
 from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join
 
-# Steps that a vertex looks ahead between two checks whether all have arrived.
+# Steps that a vertex looks ahead in a small table between two checks whether all have arrived.
 _HOPS = 6
 
 
@@ -25,13 +26,13 @@ def tree_roots(picks: Saved, scratch: Scratch) -> Saved:
     root = "CASE WHEN back = vertex AND vertex < pick THEN vertex ELSE pick END AS root"
     met = lookup_join(picks, target, ["pick"], scratch)
     seen = scratch.settle(met.selectExpr(*picks.df.columns, root), picks.rows)
+    # Looking up a small table again is cheap; a large one is written and checked after each step.
+    hops = _HOPS if picks.rows <= limit(scratch.spark, "broadcastRows") else 1
     while True:
         step = seen.select("vertex AS root", "root AS next")
-        ahead = seen.df
-        for hop in range(_HOPS):
-            if hop:
-                ahead = ahead.drop("root").withColumnRenamed("next", "root")
-            ahead = lookup_join(ahead, step, ["root"], scratch)
+        ahead = lookup_join(seen, step, ["root"], scratch)
+        for _ in range(hops - 1):
+            ahead = lookup_join(ahead.drop("root").withColumnRenamed("next", "root"), step, ["root"], scratch)
         arrived = scratch.save(ahead, moved=F.expr("count_if(next <> root)"))
         if not arrived.metrics["moved"]:
             return arrived.select(*picks.df.columns, "root")
