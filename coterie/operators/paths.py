@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
-from ..plans.limits import limit
+from ..plans.limits import limit, partitions
 from ..plans.scratch import Scratch
 from ..plans.skew import lookup_join
 
@@ -76,10 +76,11 @@ class _Neighbours:
 
 def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
     spark = scratch.spark
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     both = scratch.save(
         edges.select(both_directions("src", "dst")).select(F.col("src").alias("vertex"), F.col("dst").alias("to"))
     )
+    # Every vertex may reach every other, and each of these states meets its neighbours.
+    parts = partitions(spark, both.rows**2)
     if both.rows <= limit(spark, "broadcastRows"):
         return _Neighbours(F.broadcast(both.df.withColumn("blocks", F.lit(1))), both.rows, False, parts)
 

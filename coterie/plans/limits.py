@@ -12,13 +12,15 @@ DEFAULTS = {
     # A table is broadcast only when it was counted and has at most this many rows.
     "broadcastRows": 1_000_000,
     # A key is hot when it holds more than 1/hotKeys of the rows, so there are at most hotKeys.
-    "hotKeys": 1_000,
+    "hotKeys": 10_000,
     # Groups and neighbour lists larger than this are split into blocks of about this size.
     "blockRows": 1_000,
     # Items held by more users than this count as popular in the co-affiliation join.
     "popularItem": 20_000,
     # Arrays longer than this are split over several rows.
     "listRows": 1_000_000,
+    # Work that multiplies its input is spread so that a task makes about this many rows.
+    "rowsPerTask": 500_000,
     # Path searches run in batches of sources so that a partition holds about this many states.
     "statesPerPartition": 2_000_000,
 }
@@ -26,3 +28,12 @@ DEFAULTS = {
 
 def limit(spark: SparkSession, name: str) -> int:
     return int(spark.conf.get(f"spark.coterie.{name}", str(DEFAULTS[name])))
+
+
+def partitions(spark: SparkSession, rows: int) -> int:
+    """How many partitions to use for work that yields up to ``rows`` rows from a small input.
+
+    Adaptive execution sizes partitions by their input, which tells nothing about such work.
+    """
+    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return min(most, max(1, -(-rows // limit(spark, "rowsPerTask"))))

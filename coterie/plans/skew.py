@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .limits import limit
+from .limits import limit, partitions
 from .scratch import Saved, Scratch
 
 
@@ -45,8 +45,7 @@ def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFra
     has to hold more than two blocks, whatever the size of the group.
     """
     block = limit(scratch.spark, "blockRows")
-    # The join multiplies its input, so its parallelism must not shrink to fit the small input.
-    parts = int(scratch.spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions(scratch.spark, rows.rows * min(rows.rows, block))
     wide = None
     if rows.rows > block:
         wide = scratch.save(

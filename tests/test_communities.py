@@ -4,7 +4,7 @@ import pytest
 
 import coterie as ct
 from conftest import G7, G11
-from plain import components, curve, neighbours, pair_modularity, standard_modularity
+from plain import betweenness, components, curve, neighbours, pair_modularity, standard_modularity
 
 WIDE = {"broadcastRows": 0, "blockRows": 2, "hotKeys": 4, "listRows": 3}
 G7_CURVE = [(1, 2, 7 / 27), (3, 3, 0.185185), (6, 4, 0.104938), (7, 5, 0.080247), (8, 6, 0.043210), (9, 7, 0.0)]
@@ -150,6 +150,23 @@ def test_empty_order(spark):
     assert ct.best_communities(empty).collect() == []
 
 
+@pytest.mark.parametrize("parts", [1, 7])
+def test_partitioning_changes_nothing(spark, graph, parts):
+    edges = _random_graph(41, 16, 26)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", parts)
+    try:
+        order = ct.removal_order(ct.edge_betweenness(graph(edges).repartition(parts)))
+        ranked = [(r.src, r.dst) for r in order.orderBy("rank").collect()]
+        best = _labels(ct.best_communities(order))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    scores = {e: float(s) for e, s in betweenness(edges).items()}
+    assert ranked == sorted(edges, key=lambda e: (-round(scores[e], 6), e))
+    k = max(curve(ranked), key=lambda r: (r[2], -r[0]))[0]
+    assert best == components(sorted(neighbours(edges)), ranked[k:])
+
+
 def test_two_pairs(spark):
     found = ct.best_communities(_order(spark, [(1, 2), (3, 4)]))
     assert _labels(found) == {1: 1, 2: 2, 3: 3, 4: 3}

@@ -38,7 +38,7 @@ def test_golden_scores(graph):
     assert sum(Fraction(a, b) for a, b in G11_SCORES.values()) == 119 == pytest.approx(sum(found.values()))
 
 
-@pytest.mark.parametrize("forced", [{}, WIDE], ids=["local", "wide"])
+@pytest.mark.parametrize("forced", [{"rowsPerTask": 1}, WIDE], ids=["local", "wide"])
 def test_hub_graph(graph, limits, forced):
     edges = _hub(1)
     with limits(**forced):
@@ -48,7 +48,7 @@ def test_hub_graph(graph, limits, forced):
         assert _states(ct.shortest_path_counts(graph(edges))) == distances(edges)
 
 
-@pytest.mark.parametrize("forced", [{"statesPerPartition": 10}, {**WIDE, "statesPerPartition": 10}], ids=["local", "wide"])
+@pytest.mark.parametrize("forced", [{"statesPerPartition": 10, "rowsPerTask": 1}, {**WIDE, "statesPerPartition": 10, "rowsPerTask": 1}], ids=["local", "wide"])
 def test_batches_of_sources_change_nothing(graph, limits, forced):
     with limits(**forced):
         found = _scores(ct.edge_betweenness(graph(G11)))
