@@ -7,7 +7,7 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .scratch import Saved, Scratch
+from .scratch import Scratch
 
 # Bits that monotonically_increasing_id keeps for the row within its partition.
 _ROW_BITS = 33
