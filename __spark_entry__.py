@@ -6,6 +6,7 @@ components by label spreading for every number of removed edges, modularity by s
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,11 @@ from pyspark.sql import functions as F
 import coterie as ct
 from coterie.plans.scratch import Scratch
 
+# The operators for training data are an optional part.
+_llm = None
+if importlib.util.find_spec("coterie.llm") and importlib.util.find_spec("corpus_pipeline"):
+    from coterie.llm import queries as _llm
+
 # Shared hours that make an edge, chosen so that the test tables give graphs of a useful size.
 HOURS = 12
 HOURS_SMALLEST = 8
@@ -203,6 +209,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "structural_components_half": _structural_components_half,
         "betweenness_lines": _betweenness_lines,
         "community_lines": _community_lines,
+        **(_llm.queries() if _llm else {}),
     }
 
 
@@ -330,4 +337,5 @@ SELECT src, dst, round(similarity, 6) AS similarity FROM sim""",
 SELECT l AS community, CAST(0 AS BIGINT) AS part,
   '[' || string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) || ']' AS line
 FROM lab JOIN best USING (k) GROUP BY l ORDER BY l""",
+        **(_llm.oracle_sql() if _llm else {}),
     }
