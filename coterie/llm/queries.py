@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .exact_dedup import exact_dedup
 from .mixing import mix
 from .quality import quality
+from .simhash import simhash_dedup
 from .text import documents
 
 
@@ -24,11 +25,16 @@ def _op9(spark: SparkSession, folder: str) -> DataFrame:
     return mix(documents(spark, folder))
 
 
+def _op10(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash_dedup(documents(spark, folder))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op6_quality_rules": _op6,
         "op8_exact_dedup": _op8,
         "op9_mixing": _op9,
+        "op10_simhash_dedup": _op10,
     }
 
 
