@@ -6,12 +6,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import token_digests
 from .exact_dedup import exact_dedup
 from .mixing import mix
+from .pii import personal_data
 from .quality import quality
 from .simhash import simhash_dedup
 from .text import documents
 
+# The public tokenizer's description, installed beside the library that reads it.
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
+
+def _op3(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(documents(spark, folder), tokenizer_path())
+
+
+def _op5(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(documents(spark, folder))
+
 
 def _op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
@@ -31,6 +50,8 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op3_bpe": _op3,
+        "op5_pii": _op5,
         "op6_quality_rules": _op6,
         "op8_exact_dedup": _op8,
         "op9_mixing": _op9,
