@@ -44,6 +44,7 @@ _WORDS = "|".join(sorted(SPELLED, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![A-Za-z])(?:{_WORDS})(?:[\x20,.-]{{1,2}}(?:{_WORDS})){{2,}}(?![A-Za-z])", re.I)
 _SPELLED_ONE = re.compile(rf"(?:{_WORDS})", re.I)
 _SPELLED_HINT = re.compile(r"(?:zero|one|two|three|four|five|six|seven|eight|nine)[\x20,.-]{1,2}(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)", re.I)
+_PLUS = re.compile(r"(?:\bplus|\+)\x20\Z", re.I)
 _OPEN, _CLOSE = r"[\(\[\{<]", r"[\)\]\}>]"
 _AT = re.compile(rf"[\x20]?{_OPEN}[\x20]?(?:at|@)[\x20]?{_CLOSE}[\x20]?", re.I)
 _DOT = re.compile(rf"[\x20]?{_OPEN}[\x20]?(?:dot|\.)[\x20]?{_CLOSE}[\x20]?", re.I)
@@ -174,8 +175,11 @@ def deobfuscate(text: str) -> Mapped:
         changes = []
         for run in _SPELLED.finditer(out.text):
             at = run.start()
+            # A written-out or detached plus belongs to the number.
+            if m := _PLUS.search(out.text, max(0, at - 5), at):
+                changes.append((*m.span(), "+"))
             for m in _SPELLED_ONE.finditer(out.text, run.start(), run.end()):
-                if changes and at < m.start() and at > run.start():
+                if run.start() < at < m.start():
                     changes.append((at, m.start(), ""))
                 changes.append((m.start(), m.end(), SPELLED[m[0].lower()]))
                 at = m.end()

@@ -12,6 +12,8 @@ from .mixing import mix
 from .pii import personal_data
 from .quality import quality
 from .simhash import simhash_dedup
+from .substring_dedup import substring_dedup
+from .suffix_dedup import suffix_dedup
 from .text import documents
 
 # The public tokenizer's description, installed beside the library that reads it.
@@ -24,6 +26,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _op2(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup(documents(spark, folder))
+
+
 def _op3(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(documents(spark, folder), tokenizer_path())
 
@@ -36,6 +42,10 @@ def _op6(spark: SparkSession, folder: str) -> DataFrame:
     return quality(documents(spark, folder))
 
 
+def _op7(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup(documents(spark, folder))
+
+
 def _op8(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup(documents(spark, folder))
 
@@ -50,9 +60,11 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": _op2,
         "op3_bpe": _op3,
         "op5_pii": _op5,
         "op6_quality_rules": _op6,
+        "op7_substring_dedup": _op7,
         "op8_exact_dedup": _op8,
         "op9_mixing": _op9,
         "op10_simhash_dedup": _op10,
