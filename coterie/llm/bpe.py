@@ -178,17 +178,14 @@ def build_lexicon(docs: DataFrame, description: str, size: int = LEXICON_WORDS)
     return compile_words((w, model.merge_long(found[w])) for w in sorted(found))
 
 
-def _encoded(description, code):
+def _encoded(description, code, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = WordBpe(description.value, code.value)
         for batch in batches:
-            ids, decoded = [], []
-            for text in batch.column("text"):
-                ids.append(model.encode(text.as_py() or ""))
-                decoded.append(model.decode(ids[-1]))
-            out = {n: batch.column(n) for n in batch.schema.names if n != "text"}
-            out["ids"] = pa.array([x.tobytes() for x in ids], pa.binary())
-            out["decoded"] = pa.array(decoded, pa.string())
+            ids = [model.encode(text.as_py() or "") for text in batch.column("text")]
+            out = {"doc_id": batch.column("doc_id"), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
+            if decoded:
+                out["decoded"] = pa.array([model.decode(x) for x in ids], pa.string())
             yield pa.RecordBatch.from_pydict(out)
 
     return encode
@@ -212,14 +209,15 @@ def _digested(description, code):
     return digest
 
 
-def encode(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> DataFrame:
+def encode(docs: DataFrame, path: str, size: int = LEXICON_WORDS, decoded: bool = True) -> DataFrame:
     """``(doc_id, ids, decoded)``: token ids as little-endian unsigned 32-bit integers, and the text they decode to.
 
     One row for each row of ``docs (doc_id, text)``; null and empty texts have no ids. Strings of added tokens in
     a text become those tokens. ``path`` is the description of the tokenizer, which only the driver reads. Other
     columns are ignored.
     """
-    return _over(docs, path, size, _encoded, "doc_id long, ids binary, decoded string")
+    schema = "doc_id long, ids binary" + ", decoded string" * decoded
+    return _over(docs, path, size, lambda *sent: _encoded(*sent, decoded), schema)
 
 
 def token_digests(docs: DataFrame, path: str, size: int = LEXICON_WORDS) -> DataFrame:

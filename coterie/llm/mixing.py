@@ -44,7 +44,8 @@ def _targets(sources: Saved, share: float, most: float, scratch: Scratch) -> Sav
 
 
 def mix(
-    docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 0
+    docs: DataFrame, weights: tuple = (5, 2, 1), share: float = 1.5, epochs: float = 2.0, seed: int = 0,
+    with_raw: bool = False,
 ) -> DataFrame:
     """``(doc_id, size, source_size, target, taken)``, one row for each row of ``docs (doc_id, text, source)``.
 
@@ -60,10 +61,11 @@ def mix(
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
         place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length(whole()), F.substring(whole(), 1, 64)), F.lit(1 << 40))
+        raw = [F.sha2(whole(), 256).alias("raw_sha256")] if with_raw else []
         sized = scratch.save(
             docs.select(
                 F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(whole()).alias("size"),
-                place.alias("place"),
+                place.alias("place"), *raw,
             ),
             keep=True,
         )
@@ -94,4 +96,5 @@ def mix(
         return sized.df.join(plan.df, F.col("source").eqNullSafe(F.col("of"))).select(
             "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
             (F.col("size") * (F.col("passes") + once_more)).cast("long").alias("taken"),
+            *([(F.col("passes") + once_more).alias("copies"), "raw_sha256"] if with_raw else []),
         )

@@ -11,6 +11,7 @@ from .exact_dedup import exact_dedup
 from .mixing import mix
 from .pii import personal_data
 from .quality import quality
+from .scoring import score
 from .simhash import simhash_dedup
 from .substring_dedup import substring_dedup
 from .suffix_dedup import suffix_dedup
@@ -34,6 +35,10 @@ def _op3(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(documents(spark, folder), tokenizer_path())
 
 
+def _op4(spark: SparkSession, folder: str) -> DataFrame:
+    return score(documents(spark, folder))
+
+
 def _op5(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data(documents(spark, folder))
 
@@ -62,6 +67,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_suffix_dedup": _op2,
         "op3_bpe": _op3,
+        "op4_lm_scoring": _op4,
         "op5_pii": _op5,
         "op6_quality_rules": _op6,
         "op7_substring_dedup": _op7,

@@ -255,8 +255,8 @@ def simhash_dedup(docs: DataFrame, with_raw: bool = False) -> DataFrame:
             )
         named = scratch.save(named)
         component = named.df.groupBy("community").agg(F.min("least").alias("component_id"))
-        names = scratch.save(named.df.join(component, "community").select("fp", "component_id"), keep=True)
+        names = scratch.save(named.df.join(component, "community").select("fp", "community", "component_id"), keep=True)
         return rows.df.join(names.df, "fp").select(
             "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
-            *(["raw_sha256"] if with_raw else []),
+            *(["raw_sha256", "community"] if with_raw else []),
         )

@@ -29,7 +29,7 @@ def _word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def _read(text: bytes) -> np.ndarray:
+def word_hashes(text: bytes) -> np.ndarray:
     """A 64-bit hash of each word, from sums over its bytes; a piece of the text at a time."""
     start, end = _word_places(text)
     if not len(start):
@@ -105,5 +105,5 @@ def _run(docs: DataFrame, window: int, finish, schema: str) -> DataFrame:
     if window < 2:
         raise ValueError("window must be at least 2")
     with Scratch(docs.sparkSession) as scratch:
-        shape = Shape(window, window // 2, _read, _identify(window), earlier_only=True)
+        shape = Shape(window, window // 2, word_hashes, _identify(window), earlier_only=True)
         return removed(packed(docs, scratch), shape, finish, schema, scratch)

@@ -43,17 +43,16 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
-def same_rows(docs: DataFrame, decisions: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose ``(doc_id, text)`` is in ``decisions (keep_doc, keep_sha)``, each once.
+def same_rows(docs: DataFrame, decisions: DataFrame, once: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose ``(doc_id, text)`` is in ``decisions (keep_doc, keep_sha)``.
 
-    Texts are compared by SHA-256, so two rows that share an id but not a text are told apart, and a
-    row that is there several times stays once. Columns of ``docs`` are all returned.
+    Texts are compared by SHA-256, so two rows that share an id but not a text are told apart. With
+    ``once`` a row that is there several times stays once. All columns of ``docs`` are returned.
     """
-    sha = F.sha2(whole(), 256)
-    marked = docs.withColumn("__sha", sha)
+    marked = docs.withColumn("__sha", F.sha2(whole(), 256))
     joined = marked.join(
         decisions.distinct(),
         marked["doc_id"].eqNullSafe(F.col("keep_doc")) & (F.col("__sha") == F.col("keep_sha")),
         "left_semi",
     )
-    return joined.dropDuplicates(["doc_id", "__sha"]).drop("__sha")
+    return (joined.dropDuplicates(["doc_id", "__sha"]) if once else joined).drop("__sha")
