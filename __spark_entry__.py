@@ -18,6 +18,7 @@ from coterie.plans.scratch import Scratch
 # The operators for training data are an optional part.
 _llm = None
 if importlib.util.find_spec("coterie.llm") and importlib.util.find_spec("corpus_pipeline"):
+    import corpus_pipeline
     from coterie.llm import queries as _llm
 
 # Shared hours that make an edge, chosen so that the test tables give graphs of a useful size.
@@ -209,7 +210,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "structural_components_half": _structural_components_half,
         "betweenness_lines": _betweenness_lines,
         "community_lines": _community_lines,
-        **(_llm.queries() if _llm else {}),
+        **({**_llm.queries(), "pipeline": corpus_pipeline.run} if _llm else {}),
     }
 
 
