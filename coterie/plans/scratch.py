@@ -97,7 +97,7 @@ class Scratch:
         counted = df.observe(
             seen, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in metrics.items()]
         )
-        counted.write.parquet(path)
+        counted.write.parquet(path, compression="zstd")
         found = seen.get
         return Saved(self.read(path, df.schema), found.pop("rows"), path, found)
 
