@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .bpe import token_digests
 from .exact_dedup import exact_dedup
+from .line_dedup import line_dedup
 from .mixing import mix
 from .pii import personal_data
 from .quality import quality
@@ -27,6 +28,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path(TOKENIZER)
 
 
+def _op1(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup(documents(spark, folder))
+
+
 def _op2(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup(documents(spark, folder))
 
@@ -65,6 +70,7 @@ def _op10(spark: SparkSession, folder: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_line_dedup": _op1,
         "op2_suffix_dedup": _op2,
         "op3_bpe": _op3,
         "op4_lm_scoring": _op4,
