@@ -63,8 +63,8 @@ def _candidates(firsts: Saved, similar: int) -> DataFrame:
     right = prefixes.repartition("word").select(
         "word", F.col("id").alias("other"), F.col("n").alias("m"), F.col("k").alias("j")
     )
-    # Shared words lie at or behind the common one, or before it in both.
-    most = F.least(F.col("n") - F.col("k"), F.col("m") - F.col("j")) + F.least("k", "j")
+    # At the first word that a pair shares, all others it shares lie behind.
+    most = F.least(F.col("n") - F.col("k"), F.col("m") - F.col("j"))
     return (
         left.join(right, "word")
         .where(
