@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..plans.order import with_rank
 from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join
-from .text import whole, words
+from .text import WHITE, whole, words
 
 # Least similarity, in hundredths.
 SIMILAR = 80
@@ -94,7 +94,8 @@ def _judged(docs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
     """Every line with a word: ``(doc_id, row, pos, lh, id, gone, linked)``."""
     rarity = _rarity(docs, scratch)
     carried = [F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row")]
-    keys = _lines(docs, *carried).select(
+    # Asking for the size here would take the line apart once more to filter.
+    keys = _lines(docs, *carried).where(F.trim("line", F.lit(WHITE)) != "").select(
         "doc_id", "row", "pos", F.xxhash64("line").alias("lh"), _keys(F.col("line"), rarity).alias("keys")
     )
     n = F.size("keys")
@@ -104,7 +105,7 @@ def _judged(docs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
             F.transform(
                 F.slice("keys", 1, n - F.ceil(n * similar / 100).cast("int") + 1), lambda k: F.hash(k)
             ).alias("prefix"),
-        ).where("n > 0"),
+        ),
         keep=True,
     )
     place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "pos")

@@ -31,7 +31,14 @@ def without_white(text: Column) -> Column:
 def words(text: Column) -> Column:
     """The words between white space, in order; an empty array for a text without any."""
     bare = F.trim(text, F.lit(WHITE))
-    return F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, "[\\x20\\x09-\\x0D]+"))
+    # One blank between words is the usual case, and splitting at a plain character is fast.
+    odd = F.contains(bare, F.lit("  "))
+    for c in WHITE[1:]:
+        odd = odd | F.contains(bare, F.lit(c))
+    return (
+        F.when(bare == "", F.array().cast("array<string>"))
+        .when(odd, F.split(bare, "[\\x20\\x09-\\x0D]+")).otherwise(F.split(bare, " "))
+    )
 
 
 def n_words(text: Column) -> Column:
