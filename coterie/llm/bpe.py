@@ -22,16 +22,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+from ..plans.scratch import Scratch
 from .lexicon import Transducer, compile_words
 
 # Words compiled into the transducer: the most frequent ones. It bounds the broadcast, not the result.
 LEXICON_WORDS = 60_000
 # Words that a task keeps looked up, and counts before it sends them on.
-HELD_WORDS = 150_000
+HELD_WORDS = 500_000
 # Blocks of Unicode on which the regex and unicodedata modules agree with the tokenizer's own tables (tested for
 # every code point); a text with any other character is normalised and split by the tokenizer's parts.
 _COMMON = regex.compile("[\\x00-ԯ‐-‧€]*+")
-_SPACE = regex.compile(r"\s+")
 
 
 def read_file(path: str) -> str:
@@ -67,7 +67,8 @@ class WordBpe:
     def words(self, piece: str) -> list[str]:
         """The words of a text without added tokens, normalised."""
         if _COMMON.fullmatch(piece):
-            line = _SPACE.sub(" ", unicodedata.normalize("NFC", piece))
+            # No word holds white space, so it need not be made one blank first.
+            line = unicodedata.normalize("NFC", piece)
             # Letter by letter: lower() alone treats a final sigma by its place.
             line = "".join(c.lower() for c in line) if "Σ" in line else line.lower()
             return self._find(line)
@@ -149,9 +150,21 @@ class WordBpe:
         return " ".join(map(self.names.__getitem__, ids))
 
 
+_last: tuple = (None, None)
+
+
+def _model(description: str, code: bytes | None = None) -> WordBpe:
+    """The model of a Python worker: tasks that follow each other go on with what is looked up already."""
+    global _last
+    key = (hash(description), hash(code))
+    if _last[0] != key:
+        _last = (key, WordBpe(description, code))
+    return _last[1]
+
+
 def _counted(description):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, seen = WordBpe(description.value), Counter()
+        model, seen = _model(description.value), Counter()
 
         def out():
             return pa.RecordBatch.from_pydict({"word": pa.array(list(seen)), "n": pa.array(list(seen.values()), pa.int64())})
@@ -169,10 +182,23 @@ def _counted(description):
 
 
 def build_lexicon(docs: DataFrame, description: str, size: int = LEXICON_WORDS) -> bytes:
-    """The transducer of the ``size`` most frequent words of all texts (ties by the word)."""
-    sent = docs.sparkSession.sparkContext.broadcast(description)
-    counts = docs.select("text").mapInArrow(_counted(sent), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.orderBy(F.desc("n"), "word").limit(size).select("word").collect()
+    """The transducer of the most frequent words of all texts, by levels of frequency: at most ``size`` words."""
+    spark = docs.sparkSession
+    sent = spark.sparkContext.broadcast(description)
+    with Scratch(spark) as scratch:
+        counts = scratch.save(
+            docs.select("text").mapInArrow(_counted(sent), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            .withColumn("level", F.floor(F.log2("n") * 64))
+        )
+        # At most 64 levels per doubling, so the driver sees a few thousand sums before it asks for words.
+        levels = sorted(counts.df.groupBy("level").agg(F.count(F.lit(1)).alias("words")).collect(), reverse=True)
+        least, held = float("inf"), 0
+        for level, n in levels:
+            held += n
+            if held > size:
+                break
+            least = level
+        top = counts.df.where(F.col("level") >= least).select("word").collect()
     model = WordBpe(description)
     found = {r["word"].encode("utf-8", "surrogatepass"): r["word"] for r in top}
     return compile_words((w, model.merge_long(found[w])) for w in sorted(found))
@@ -180,7 +206,7 @@ def build_lexicon(docs: DataFrame, description: str, size: int = LEXICON_WORDS)
 
 def _encoded(description, code, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = WordBpe(description.value, code.value)
+        model = _model(description.value, code.value)
         for batch in batches:
             ids = [model.encode(text.as_py() or "") for text in batch.column("text")]
             out = {"doc_id": batch.column("doc_id"), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
@@ -193,7 +219,7 @@ def _encoded(description, code, decoded: bool):
 
 def _digested(description, code):
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = WordBpe(description.value, code.value)
+        model = _model(description.value, code.value)
         for batch in batches:
             counts, ids_sha, decoded_sha = [], [], []
             for text in batch.column("text"):
