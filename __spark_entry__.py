@@ -27,6 +27,8 @@ HOURS_SMALLEST = 8
 PARTS = 4
 CUT = 100
 LATE = 150
+MU = 3
+ROW = 5
 
 
 def _edges(spark: SparkSession, folder: str) -> DataFrame:
@@ -96,16 +98,32 @@ def _degrees(spark, folder):
     return ct.degrees(_edges(spark, folder))
 
 
+def _strongest(edges):
+    """The vertices of the edges with the greatest weight: a source set that comes from the tables."""
+    best = edges.agg(F.max("weight").alias("weight"))
+    return ct.vertices(edges.join(best, "weight", "left_semi"))
+
+
+def _repeated(spark, folder):
+    """The graph with every edge in both orientations, and once more."""
+    edges = _edges(spark, folder)
+    both = ct.symmetrize(edges)
+    return both.unionByName(both)
+
+
 def _bfs_levels(spark, folder):
-    return ct.bfs_levels(_edges(spark, folder))
+    edges = _edges(spark, folder)
+    return ct.bfs_levels(edges, _strongest(edges))
 
 
 def _path_counts(spark, folder):
-    return ct.shortest_path_counts(_edges(spark, folder))
+    edges = _edges(spark, folder)
+    return ct.shortest_path_counts(edges, _strongest(edges))
 
 
 def _source_edge_credit(spark, folder):
-    return _rounded(ct.source_edge_credit(_edges(spark, folder)), "credit")
+    edges = _edges(spark, folder)
+    return _rounded(ct.source_edge_credit(edges, _strongest(edges)), "credit")
 
 
 def _edge_betweenness(spark, folder):
@@ -175,6 +193,34 @@ def _betweenness_lines(spark, folder):
     return ct.betweenness_lines(_scores(spark, folder), digits=6)
 
 
+def _betweenness_repeated(spark, folder):
+    return _rounded(ct.edge_betweenness(_repeated(spark, folder)), "score")
+
+
+def _similarity_repeated(spark, folder):
+    return _rounded(ct.structural_similarity(_repeated(spark, folder)), "similarity")
+
+
+def _structural_components_mu(spark, folder):
+    return ct.structural_components(_edges(spark, folder), epsilon=0.5, mu=MU)
+
+
+def _vertices(spark, folder):
+    return ct.vertices(_edges(spark, folder))
+
+
+def _affiliation_sets_rows(spark, folder):
+    return _as_text(ct.affiliation_sets(ct.co_active_hours(spark, folder), row_length=ROW), "items")
+
+
+def _adjacency_rows(spark, folder):
+    return _as_text(ct.adjacency(_edges(spark, folder), row_length=ROW), "neighbours")
+
+
+def _community_lines_rows(spark, folder):
+    return ct.community_lines(_best_communities(spark, folder), row_length=ROW)
+
+
 def _community_lines(spark, folder):
     return ct.community_lines(_best_communities(spark, folder))
 
@@ -210,6 +256,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "structural_components_half": _structural_components_half,
         "betweenness_lines": _betweenness_lines,
         "community_lines": _community_lines,
+        "betweenness_repeated": _betweenness_repeated,
+        "similarity_repeated": _similarity_repeated,
+        "structural_components_mu": _structural_components_mu,
+        "vertices": _vertices,
+        "affiliation_sets_rows": _affiliation_sets_rows,
+        "adjacency_rows": _adjacency_rows,
+        "community_lines_rows": _community_lines_rows,
         **({**_llm.queries(), "pipeline": corpus_pipeline.run} if _llm else {}),
     }
 
@@ -229,12 +282,13 @@ _B = f"""{_N}, b(s, v, d, c) USING KEY (s, v) AS (
   UNION
   SELECT f.s, n.t, f.d + 1, sum(f.c) FROM b f JOIN n ON n.s = f.v
   LEFT JOIN recurring.b r ON r.s = f.s AND r.v = n.t WHERE r.s IS NULL GROUP BY f.s, n.t, f.d)"""
+_STRONGEST = """strongest AS (SELECT unnest([src, dst]) AS s FROM e WHERE weight = (SELECT max(weight) FROM e))"""
 _SCORES = f"""{_B}, scores AS MATERIALIZED (
   SELECT least(n.s, n.t) AS src, greatest(n.s, n.t) AS dst, sum(x.c * y.c / z.c) / 2 AS score
   FROM n JOIN b x ON x.v = n.s JOIN b y ON y.s = n.t JOIN b z ON z.s = x.s AND z.v = y.v
   WHERE z.d = x.d + 1 + y.d GROUP BY 1, 2)"""
 _RANKED = f"""{_SCORES}, o AS MATERIALIZED (
-  SELECT src, dst, row_number() OVER (ORDER BY round(score, 6) DESC, src, dst) AS rank FROM scores)"""
+  SELECT src, dst, row_number() OVER (ORDER BY CAST(printf('%.9e', score) AS DOUBLE) DESC, src, dst) AS rank FROM scores)"""
 
 
 def _labels(ks: str) -> str:
@@ -301,12 +355,12 @@ GROUP BY x.u, y.u HAVING count(*) >= {PARTS}""",
   string_agg(CAST(t AS VARCHAR), ',' ORDER BY t) AS neighbours FROM n GROUP BY s""",
         "graph_size": f"WITH {_N} SELECT (SELECT count(*) FROM v) AS n_vertices, m AS n_edges FROM g",
         "degrees": f"WITH {_N} SELECT v AS vertex, k AS degree FROM v",
-        "bfs_levels": f"WITH RECURSIVE {_B} SELECT s AS source, v AS vertex, d AS depth FROM b",
-        "path_counts": f"WITH RECURSIVE {_B} SELECT s AS source, v AS vertex, d AS depth, c AS sigma FROM b",
-        "source_edge_credit": f"""WITH RECURSIVE {_B}
+        "bfs_levels": f"WITH RECURSIVE {_B}, {_STRONGEST} SELECT s AS source, v AS vertex, d AS depth FROM b WHERE s IN (SELECT s FROM strongest)",
+        "path_counts": f"WITH RECURSIVE {_B}, {_STRONGEST} SELECT s AS source, v AS vertex, d AS depth, c AS sigma FROM b WHERE s IN (SELECT s FROM strongest)",
+        "source_edge_credit": f"""WITH RECURSIVE {_B}, {_STRONGEST}
 SELECT x.s AS source, least(n.s, n.t) AS src, greatest(n.s, n.t) AS dst, round(sum(x.c * y.c / z.c), 6) AS credit
 FROM n JOIN b x ON x.v = n.s JOIN b y ON y.s = n.t JOIN b z ON z.s = x.s AND z.v = y.v
-WHERE z.d = x.d + 1 + y.d GROUP BY 1, 2, 3""",
+WHERE z.d = x.d + 1 + y.d AND x.s IN (SELECT s FROM strongest) GROUP BY 1, 2, 3""",
         "edge_betweenness": f"WITH RECURSIVE {_SCORES} SELECT src, dst, round(score, 6) AS score FROM scores",
         "removal_order": f"WITH RECURSIVE {_RANKED} SELECT src, dst, rank FROM o",
         "edges_after_k": f"WITH RECURSIVE {_RANKED} SELECT src, dst FROM o WHERE rank > {CUT}",
@@ -338,5 +392,32 @@ SELECT src, dst, round(similarity, 6) AS similarity FROM sim""",
 SELECT l AS community, CAST(0 AS BIGINT) AS part,
   '[' || string_agg(CAST(v AS VARCHAR), ',' ORDER BY v) || ']' AS line
 FROM lab JOIN best USING (k) GROUP BY l ORDER BY l""",
+        "betweenness_repeated": f"WITH RECURSIVE {_SCORES} SELECT src, dst, round(score, 6) AS score FROM scores",
+        "similarity_repeated": f"""WITH {_similarity(1)}
+SELECT src, dst, round(similarity, 6) AS similarity FROM sim""",
+        "structural_components_mu": f"""WITH RECURSIVE {_similarity(1)}, w AS MATERIALIZED (
+  SELECT src AS s, dst AS t FROM sim WHERE similarity >= 0.5 UNION ALL SELECT dst, src FROM sim WHERE similarity >= 0.5),
+core AS MATERIALIZED (SELECT s AS v FROM w GROUP BY s HAVING count(*) + 1 >= {MU}),
+cw AS MATERIALIZED (SELECT s, t FROM w WHERE s IN (SELECT v FROM core) AND t IN (SELECT v FROM core)),
+lab(v, l) USING KEY (v) AS (
+  SELECT v, v FROM core
+  UNION
+  SELECT cw.t, min(f.l) FROM lab f JOIN cw ON cw.s = f.v JOIN recurring.lab r ON r.v = cw.t
+  WHERE f.l < r.l GROUP BY cw.t),
+touch AS (SELECT w.s AS v, min(x.l) AS l FROM w JOIN lab x ON x.v = w.t GROUP BY w.s),
+every AS (SELECT v.v, coalesce(lab.l, touch.l, v.v) AS l FROM v LEFT JOIN lab ON lab.v = v.v LEFT JOIN touch ON touch.v = v.v)
+SELECT min(v) OVER (PARTITION BY l) AS community, v AS vertex FROM every""",
+        "vertices": f"WITH {_N} SELECT v AS vertex FROM v",
+        "affiliation_sets_rows": f"""WITH {_AFF}, p AS (
+  SELECT u, i, (row_number() OVER (PARTITION BY u ORDER BY i) - 1) // {ROW} AS part FROM aff)
+SELECT u AS "user", part, string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) AS items FROM p GROUP BY u, part""",
+        "adjacency_rows": f"""WITH {_N}, p AS (
+  SELECT s, t, (row_number() OVER (PARTITION BY s ORDER BY t) - 1) // {ROW} AS part FROM n)
+SELECT s AS vertex, part, string_agg(CAST(t AS VARCHAR), ',' ORDER BY t) AS neighbours FROM p GROUP BY s, part""",
+        "community_lines_rows": f"""WITH RECURSIVE {_BEST}, p AS (
+  SELECT l, v, (row_number() OVER (PARTITION BY l ORDER BY v) - 1) // {ROW} AS part FROM lab JOIN best USING (k))
+SELECT l AS community, part, CASE WHEN part = 0 THEN '[' ELSE '' END || string_agg(CAST(v AS VARCHAR), ',' ORDER BY v)
+  || CASE WHEN part = max(part) OVER (PARTITION BY l) THEN ']' ELSE ',' END AS line
+FROM p GROUP BY l, part ORDER BY l, part""",
         **(_llm.oracle_sql() if _llm else {}),
     }

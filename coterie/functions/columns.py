@@ -28,5 +28,9 @@ def score_line(digits: int | None = None) -> Column:
 
 
 def community_line() -> Column:
-    """``[v1,v2,...]`` from a sorted ``members`` array."""
-    return F.concat(F.lit("["), F.array_join(F.col("members").cast("array<string>"), ","), F.lit("]"))
+    """``[v1,v2,...]`` from ``members``; only the ``first`` line opens and only the ``last`` one closes.
+
+    A line that goes on ends in a comma, so joining a community's lines gives its one list.
+    """
+    members = F.array_join(F.col("members").cast("array<string>"), ",")
+    return F.concat(F.when(F.col("first"), "[").otherwise(""), members, F.when(F.col("last"), "]").otherwise(","))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
 from ..plans.limits import limit
-from ..plans.lists import sorted_lists
+from ..plans.lists import ROW_LENGTH, sorted_lists
 from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join
 
@@ -57,7 +57,7 @@ def _contractions(edges: DataFrame, scratch: Scratch) -> list[Saved]:
     Every vertex picks its smallest neighbour, so each round at least halves the vertices.
     """
     rounds = []
-    left = scratch.save(edges.select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    left = scratch.save(edges.where("src <> dst").select(F.col("src").alias("a"), F.col("dst").alias("b")))
     while left.rows:
         picks = (
             left.df.select(both_directions("a", "b")).groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("pick"))
@@ -95,8 +95,8 @@ def connected_components(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         return scratch.save(labels, keep=True).df
 
 
-def community_members(labels: DataFrame) -> DataFrame:
-    """``(community, part, members)``: the sorted vertices of each community."""
+def community_members(labels: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
+    """``(community, part, members)``: the sorted vertices of each community, ``row_length`` to a row."""
     with Scratch(labels.sparkSession) as scratch:
         saved = scratch.save(labels.select("community", "vertex"))
-        return scratch.save(sorted_lists(saved, "community", "vertex", "members", scratch), keep=True).df
+        return scratch.save(sorted_lists(saved, "community", "vertex", "members", scratch, row_length), keep=True).df

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import both_directions
+from ..functions import both_directions, edge_key
 from ..plans.limits import limit
-from ..plans.lists import sorted_lists
+from ..plans.lists import ROW_LENGTH, sorted_lists
 from ..plans.scratch import Saved, Scratch
 from ..plans.skew import lookup_join, pairs_within
 
@@ -17,11 +17,29 @@ def affiliations(rows: DataFrame) -> DataFrame:
     return rows.select("user", "item").distinct()
 
 
-def affiliation_sets(rows: DataFrame) -> DataFrame:
-    """``(user, part, items)``: the sorted distinct items of each user."""
+def simple_edges(edges: DataFrame) -> DataFrame:
+    """``(src, dst)`` of the simple undirected graph: ``src < dst``, each edge once, no nulls, no self-loops.
+
+    All graph operators read their edges through this, so repeats and either orientation give the same
+    result. Tables that an operator of this library made are simple already and pass as they are.
+    """
+    if getattr(edges, "_coterie_simple", False):
+        return mark_simple(edges.select("src", "dst"))
+    # A null end makes the comparison null, which filters the row.
+    return mark_simple(edges.where("src <> dst").select(*edge_key("src", "dst")).distinct())
+
+
+def mark_simple(edges: DataFrame) -> DataFrame:
+    """Note on this very DataFrame that its edges are simple; whatever is derived from it starts without the mark."""
+    edges._coterie_simple = True
+    return edges
+
+
+def affiliation_sets(rows: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
+    """``(user, part, items)``: the sorted distinct items of each user, ``row_length`` to a row."""
     with Scratch(rows.sparkSession) as scratch:
-        saved = scratch.save(affiliations(rows), keep=True)
-        return scratch.save(sorted_lists(saved, "user", "item", "items", scratch), keep=True).df
+        saved = scratch.save(affiliations(rows))
+        return scratch.save(sorted_lists(saved, "user", "item", "items", scratch, row_length), keep=True).df
 
 
 def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
@@ -48,9 +66,7 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
             counts = _meetings(held, scratch)
         else:
             counts = _meetings_of_popular(held, popular, min_shared, scratch)
-        return scratch.save(
-            counts.where(F.col("weight") >= min_shared), keep=True
-        ).df
+        return mark_simple(scratch.save(counts.where(F.col("weight") >= min_shared), keep=True).df)
 
 
 def _with_enough_items(held: Saved, min_shared: int, scratch: Scratch) -> Saved:
@@ -130,28 +146,28 @@ def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch:
 
 def symmetrize(edges: DataFrame) -> DataFrame:
     """Each edge in both directions."""
-    return edges.select(both_directions("src", "dst"))
+    return simple_edges(edges).select(both_directions("src", "dst"))
 
 
-def adjacency(edges: DataFrame) -> DataFrame:
-    """``(vertex, part, neighbours)``: the sorted neighbours of each vertex."""
+def adjacency(edges: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
+    """``(vertex, part, neighbours)``: the sorted neighbours of each vertex, ``row_length`` to a row."""
     with Scratch(edges.sparkSession) as scratch:
         both = scratch.save(
-            symmetrize(edges).distinct().select(F.col("src").alias("vertex"), F.col("dst").alias("neighbour"))
+            symmetrize(edges).select(F.col("src").alias("vertex"), F.col("dst").alias("neighbour"))
         )
-        lists = sorted_lists(both, "vertex", "neighbour", "neighbours", scratch)
+        lists = sorted_lists(both, "vertex", "neighbour", "neighbours", scratch, row_length)
         return scratch.save(lists, keep=True).df
 
 
 def vertices(edges: DataFrame) -> DataFrame:
-    """Every endpoint once."""
-    return edges.select(F.explode(F.array("src", "dst")).alias("vertex")).distinct()
+    """Every endpoint of an edge once."""
+    return edges.where("src <> dst").select(F.explode(F.array("src", "dst")).alias("vertex")).distinct()
 
 
 def degrees(edges: DataFrame) -> DataFrame:
     """``(vertex, degree)``."""
     return (
-        edges.select(F.explode(F.array("src", "dst")).alias("vertex"))
+        simple_edges(edges).select(F.explode(F.array("src", "dst")).alias("vertex"))
         .groupBy("vertex").agg(F.count(F.lit(1)).alias("degree"))
     )
 

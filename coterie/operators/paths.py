@@ -21,6 +21,8 @@ from ..functions import both_directions, edge_key
 from ..plans.limits import limit, partitions
 from ..plans.scratch import Scratch
 from ..plans.skew import lookup_join
+from .components import connected_components
+from .edges import mark_simple, simple_edges, vertices
 
 _STATES = "source long, vertex long, sigma double, blocks int, depth int"
 _CREDITS = "source long, vertex long, sigma double, gathered double, blocks int, depth int"
@@ -77,7 +79,7 @@ class _Neighbours:
 def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
     spark = scratch.spark
     both = scratch.save(
-        edges.select(both_directions("src", "dst")).select(F.col("src").alias("vertex"), F.col("dst").alias("to"))
+        simple_edges(edges).select(both_directions("src", "dst")).select(F.col("src").alias("vertex"), F.col("dst").alias("to"))
     )
     # Every vertex may reach every other, and each of these states meets its neighbours.
     parts = partitions(spark, both.rows**2)
@@ -128,7 +130,9 @@ def _search(near: _Neighbours, roots: DataFrame, scratch: Scratch) -> tuple[str,
             .agg(F.expr("sum(sigma) AS sigma"), F.expr("max(blocks) AS blocks"), F.expr("max(known) AS known"))
             .where("known = 0").drop("known")
         )
-        levels.append(scratch.save(fresh, path=f"{folder}/depth={len(levels)}"))
+        levels.append(scratch.save(fresh, path=f"{folder}/depth={len(levels)}", most=F.max("sigma")))
+        if levels[-1].metrics["most"] == float("inf"):
+            raise OverflowError("more shortest paths between two vertices than a double can count")
     return folder, len(levels) - 2
 
 
@@ -175,10 +179,11 @@ def _by_source(spark: SparkSession):
     return _setting(spark, "spark.sql.requireAllClusterKeysForCoPartition", "false")
 
 
-def shortest_path_counts(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def shortest_path_counts(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """``(source, vertex, depth, sigma)``: hop distance and number of shortest paths.
 
-    ``sources`` is a DataFrame with a ``vertex`` column; all vertices by default.
+    ``sources`` is a DataFrame with a ``vertex`` column. There is a row for every vertex that a source reaches, so
+    pass ``vertices(edges)`` only where the square of their number is wanted.
     """
     with Scratch(edges.sparkSession) as scratch:
         near = _neighbours(edges, scratch)
@@ -187,18 +192,19 @@ def shortest_path_counts(edges: DataFrame, sources: DataFrame | None = None) ->
         return scratch.save(states, keep=True).df
 
 
-def bfs_levels(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def bfs_levels(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """``(source, vertex, depth)``: the hop level of every reached vertex."""
     return shortest_path_counts(edges, sources).select("source", "vertex", "depth")
 
 
 def reachable(edges: DataFrame, vertex: int) -> DataFrame:
-    """All vertices connected to ``vertex``, itself included."""
-    start = edges.sparkSession.range(1).select(F.lit(vertex).cast("long").alias("vertex"))
-    return bfs_levels(edges, start).select("vertex")
+    """All vertices connected to ``vertex``, itself included; rounds grow with the logarithm of the graph only."""
+    labels = connected_components(vertices(edges), edges)
+    own = labels.where(F.col("vertex") == vertex).select("community")
+    return labels.join(F.broadcast(own), "community", "left_semi").select("vertex")  # one row
 
 
-def source_edge_credit(edges: DataFrame, sources: DataFrame | None = None) -> DataFrame:
+def source_edge_credit(edges: DataFrame, sources: DataFrame) -> DataFrame:
     """``(source, src, dst, credit)``: what each source adds to each edge it uses."""
     spark = edges.sparkSession
     with Scratch(spark) as scratch, _by_source(spark):
@@ -240,4 +246,4 @@ def edge_betweenness(
                     total = scratch.save(sums)
                 else:
                     scores = scratch.save(sums.selectExpr("src", "dst", "credit / 2 AS score"), keep=True)
-        return scores.df
+        return mark_simple(scores.df)

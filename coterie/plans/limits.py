@@ -17,8 +17,6 @@ DEFAULTS = {
     "blockRows": 1_000,
     # Items held by more users than this count as popular in the co-affiliation join.
     "popularItem": 20_000,
-    # Arrays longer than this are split over several rows.
-    "listRows": 1_000_000,
     # Work that multiplies its input is spread so that a task makes about this many rows.
     "rowsPerTask": 500_000,
     # Path searches run in batches of sources so that a partition holds about this many states.

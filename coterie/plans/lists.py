@@ -5,19 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .limits import limit
 from .order import with_rank
 from .scratch import Saved, Scratch
 from .skew import lookup_join
 
 
-def sorted_lists(rows: Saved, key: str, value: str, name: str, scratch: Scratch) -> DataFrame:
+# Values in one row unless the caller says otherwise.
+ROW_LENGTH = 1_000_000
+
+
+def sorted_lists(rows: Saved, key: str, value: str, name: str, scratch: Scratch, row_length: int) -> DataFrame:
     """``(key, part, name)``: the sorted values of each key, whole.
 
-    A key with at most ``listRows`` values has one row with ``part = 0``. A larger one continues in
-    parts 1, 2, ... in value order, so no single array grows with the data.
+    The value in place i (from 0) of its key is in part ``i // row_length``, whatever the size of the key or the
+    table, so no array is longer than ``row_length``.
     """
-    longest = limit(scratch.spark, "listRows")
+    if row_length < 1:
+        raise ValueError("row_length must be at least 1")
+    longest = row_length
     cut = rows.df.select(key, F.lit(0).cast("long").alias("part"), value)
     long_keys = None
     if rows.rows > longest:

@@ -6,6 +6,8 @@ that the optimiser can use, and can be removed as soon as nothing reads it any m
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from dataclasses import dataclass, field
@@ -16,6 +18,10 @@ from pyspark.sql import functions as F
 from .limits import limit
 
 
+# Folders made for local sessions that name none, by application.
+_temporary: dict[str, str] = {}
+
+
 @dataclass(frozen=True)
 class Saved:
     """A step: how to read it, how many rows it has at most, and the metrics asked for."""
@@ -36,11 +42,14 @@ def shared_folder(spark: SparkSession) -> str:
     if configured:
         return configured
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="coterie-"))
-    return context.getCheckpointDir()
+    if context.getCheckpointDir() is not None:
+        return context.getCheckpointDir()
+    if not context.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _temporary:
+        _temporary[context.applicationId] = tempfile.mkdtemp(prefix="coterie-")
+        atexit.register(shutil.rmtree, _temporary[context.applicationId], ignore_errors=True)
+    return _temporary[context.applicationId]
 
 
 def remove(spark: SparkSession, folder: str) -> None:
@@ -49,9 +58,18 @@ def remove(spark: SparkSession, folder: str) -> None:
 
 
 def clear_results(spark: SparkSession) -> None:
-    """Remove every result written so far in this process; their DataFrames can no longer be read."""
-    while Scratch.with_results:
-        remove(spark, Scratch.with_results.pop())
+    """Remove every result that this application has written; their DataFrames can no longer be read."""
+    for root in [r for r, owner in Scratch.with_results.items() if owner == spark.sparkContext.applicationId]:
+        remove(spark, root)
+        del Scratch.with_results[root]
+
+
+def release(result: DataFrame) -> None:
+    """Remove what backs one result of an operator; it and what was derived from it can no longer be read."""
+    root = getattr(result, "_coterie_result", None)
+    if root in Scratch.with_results:
+        remove(result.sparkSession, root)
+        del Scratch.with_results[root]
 
 
 class Scratch:
@@ -61,7 +79,8 @@ class Scratch:
     back the DataFrame handed to the caller.
     """
 
-    with_results: set[str] = set()
+    # Folders of results and the applications that wrote them.
+    with_results: dict[str, str] = {}
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -81,7 +100,7 @@ class Scratch:
         """A new folder for a step, or for several steps read back as one table."""
         self._count += 1
         if keep:
-            self.with_results.add(self.root)
+            self.with_results[self.root] = self.spark.sparkContext.applicationId
         return f"{self.root}/{'kept' if keep else 'steps'}/{self._count:05d}"
 
     def save(
@@ -99,7 +118,10 @@ class Scratch:
         )
         counted.write.parquet(path, compression="zstd")
         found = seen.get
-        return Saved(self.read(path, df.schema), found.pop("rows"), path, found)
+        read = self.read(path, df.schema)
+        if keep:
+            read._coterie_result = self.root
+        return Saved(read, found.pop("rows"), path, found)
 
     def settle(self, df: DataFrame, at_most: int) -> Saved:
         """Leave a table that is known to be small as a plan, which is cheap to run again; write others."""

@@ -15,9 +15,11 @@ def read_ratings(spark: SparkSession, path: str, on_error: str = "fail") -> Data
     if on_error not in ("fail", "drop"):
         raise ValueError("on_error must be 'fail' or 'drop'")
     lines = spark.read.text(path)
-    # The first line is that of the first file by name; a scan may start at another one.
-    firsts = (spark.read.text(file).first() for file in sorted(lines.inputFiles()))
-    header = next((row["value"] for row in firsts if row is not None), None)
+    # The first line of the first file by name that has any, found in one scan whichever files it starts with.
+    placed = lines.select(
+        "value", F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id()).alias("place")
+    )
+    header = placed.agg(F.min_by("value", "place")).first()[0]
     if header is not None:
         lines = lines.where(F.col("value") != header)
     fields = F.split("value", ",", -1)

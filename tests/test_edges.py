@@ -67,8 +67,10 @@ def test_affiliation_sets(spark, limits):
     df = spark.createDataFrame([(1, 3), (1, 1), (1, 3), (2, 5), (1, 2)], "user long, item long")
     rows = [(r.user, r.part, r["items"]) for r in ct.affiliation_sets(df).orderBy("user", "part").collect()]
     assert rows == [(1, 0, [1, 2, 3]), (2, 0, [5])]
-    with limits(listRows=2):
-        rows = [(r.user, r.part, r["items"]) for r in ct.affiliation_sets(df).orderBy("user", "part").collect()]
+    for settings in ({}, {"broadcastRows": 0, "hotKeys": 2}):
+        with limits(**settings):
+            cut = ct.affiliation_sets(df, row_length=2).orderBy("user", "part").collect()
+    rows = [(r.user, r.part, r["items"]) for r in cut]
     assert rows == [(1, 0, [1, 2]), (1, 1, [3]), (2, 0, [5])]
 
 

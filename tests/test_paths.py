@@ -45,7 +45,7 @@ def test_hub_graph(graph, limits, forced):
         assert _scores(ct.edge_betweenness(graph(edges))) == pytest.approx(
             {e: float(s) for e, s in betweenness(edges).items()}
         )
-        assert _states(ct.shortest_path_counts(graph(edges))) == distances(edges)
+        assert _states(ct.shortest_path_counts(graph(edges), ct.vertices(graph(edges)))) == distances(edges)
 
 
 @pytest.mark.parametrize("forced", [{"statesPerPartition": 10, "rowsPerTask": 1}, {**WIDE, "statesPerPartition": 10, "rowsPerTask": 1}], ids=["local", "wide"])
@@ -67,7 +67,7 @@ def test_credit_of_one_source(spark, graph, limits, forced):
 
 def test_credits_of_all_sources_add_up(graph):
     total = {}
-    for r in ct.source_edge_credit(graph(G7)).collect():
+    for r in ct.source_edge_credit(graph(G7), ct.vertices(graph(G7))).collect():
         total[r.src, r.dst] = total.get((r.src, r.dst), 0) + r.credit / 2
     assert total == pytest.approx({e: float(s) for e, s in betweenness(G7).items()})
 
@@ -88,4 +88,50 @@ def test_reachable(graph):
 def test_smallest_graphs(graph):
     assert _scores(ct.edge_betweenness(graph([(5, 3)]))) == {(3, 5): 1.0}
     assert _scores(ct.edge_betweenness(graph([(1, 2)]).limit(0))) == {}
-    assert ct.bfs_levels(graph([(1, 2)]).limit(0)).collect() == []
+    assert ct.bfs_levels(graph([(1, 2)]).limit(0), ct.vertices(graph([(1, 2)]))).collect() == []
+
+
+def test_repeated_and_turned_edges_change_nothing(spark):
+    square = [(1, 2), (1, 3), (2, 4), (3, 4)]
+    messy = spark.createDataFrame(
+        square + [(2, 1), (1, 2), (4, 3), (5, 5), (None, 3)], "src long, dst long"
+    )
+    assert {(r.src, r.dst): round(r.score, 9) for r in ct.edge_betweenness(messy).collect()} == dict.fromkeys(square, 2.0)
+    tail = [(2, 1), (1, 3), (3, 1), (3, 2), (4, 3), (1, 2)]
+    messy = spark.createDataFrame(tail, "src long, dst long")
+    clean = spark.createDataFrame([(1, 2), (1, 3), (2, 3), (3, 4)], "src long, dst long")
+    assert tuple(ct.graph_size(messy).first()) == (4, 4)
+    for view in (ct.degrees, ct.adjacency, ct.structural_similarity, ct.structural_components, ct.symmetrize):
+        assert sorted(map(tuple, view(messy).collect())) == sorted(map(tuple, view(clean).collect()))
+    labels = ct.connected_components(ct.vertices(clean), clean)
+    assert ct.modularity(messy, labels).first() == ct.modularity(clean, labels).first()
+
+
+def test_too_many_paths_are_an_error(spark):
+    from coterie.operators import paths
+
+    with pytest.raises(OverflowError):
+        edges = spark.createDataFrame([(1, 2)], "src long, dst long")
+        with paths.Scratch(spark) as scratch:
+            near = paths._neighbours(edges, scratch)
+            roots = paths._roots(near, None).withColumn("sigma", paths.F.lit(float("inf")))
+            paths._search(near, roots, scratch)
+
+
+def test_large_scores_have_one_order(spark):
+    rows = [(k, k + 1, 1e12 + 1e-4 * k) for k in range(20)] + [(50, 51, 2e12)]
+    for parts in (1, 7):
+        scores = spark.createDataFrame(rows, "src long, dst long, score double").repartition(parts)
+        order = [(r.src, r.rank) for r in ct.removal_order(scores).collect()]
+        assert sorted(order, key=lambda x: x[1]) == [(50, 1)] + [(k, k + 2) for k in range(20)]
+
+
+def test_results_can_be_released(spark):
+    from coterie.plans.scratch import Scratch
+
+    edges = spark.createDataFrame([(1, 2), (2, 3)], "src long, dst long")
+    before = len(Scratch.with_results)
+    result = ct.structural_components(edges)
+    assert len(Scratch.with_results) == before + 1
+    ct.release(result)
+    assert len(Scratch.with_results) == before

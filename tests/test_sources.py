@@ -65,6 +65,22 @@ def test_written_lines_are_sorted(spark, tmp_path):
 
 def test_long_communities_continue_in_parts(spark, limits):
     labels = spark.createDataFrame([(1, v) for v in range(1, 8)] + [(9, 9)], "community long, vertex long")
-    with limits(listRows=3, broadcastRows=0, hotKeys=2):
-        lines = [tuple(r) for r in ct.community_lines(labels).collect()]
-    assert lines == [(1, 0, "[1,2,3]"), (1, 1, "[4,5,6]"), (1, 2, "[7]"), (9, 0, "[9]")]
+    for settings in ({}, {"broadcastRows": 0, "hotKeys": 2}):
+        with limits(**settings):
+            lines = [tuple(r) for r in ct.community_lines(labels, row_length=3).collect()]
+        assert lines == [(1, 0, "[1,2,3,"), (1, 1, "4,5,6,"), (1, 2, "7]"), (9, 0, "[9]")]
+
+
+def test_wrapped_communities_join_to_one_list(spark, tmp_path):
+    labels = spark.createDataFrame([(1, v) for v in range(1, 8)] + [(9, 9), (10, 10), (10, 11), (10, 12)], "community long, vertex long")
+    ct.write_communities(labels, str(tmp_path / "short"), row_length=3)
+    ct.write_communities(labels, str(tmp_path / "long"))
+    assert "".join(_text(tmp_path / "short")).replace("][", "]\n[").split("\n") == _text(tmp_path / "long")
+
+
+def test_header_after_many_empty_files(spark, tmp_path):
+    for k in range(50):
+        (tmp_path / f"a{k:02}.csv").write_text("")
+    (tmp_path / "b.csv").write_text("userId,movieId\n1,2\n")
+    (tmp_path / "c.csv").write_text("userId,movieId\n3,4\n")
+    assert sorted(map(tuple, ct.read_ratings(spark, str(tmp_path)).collect())) == [(1, 2), (3, 4)]
