@@ -19,7 +19,7 @@ from xxhash import xxh64_intdigest
 
 from ..operators.components import connected_components
 from ..operators.edges import vertices
-from ..plans.scratch import Scratch
+from ..plans.scratch import Scratch, release
 from ..plans.skew import lookup_join
 
 SEED = 42
@@ -254,6 +254,8 @@ def simhash_dedup(docs: DataFrame, with_raw: bool = False) -> DataFrame:
                 "community", F.coalesce("community", "fp")
             )
         named = scratch.save(named)
+        if labels is not None:
+            release(labels)
         component = named.df.groupBy("community").agg(F.min("least").alias("component_id"))
         names = scratch.save(named.df.join(component, "community").select("fp", "community", "component_id"), keep=True)
         return rows.df.join(names.df, "fp").select(
