@@ -146,7 +146,8 @@ def exact_dedup(docs: DataFrame, with_raw: bool = False) -> DataFrame:
             "text_sha256", F.sha2("bare", 256)
         )
         asked = suspected.df.select(F.col("doc_id").alias("id"), F.col("text_sha256").alias("sha")).distinct()
-        compared = texts.join(
+        # Always by a shuffle: how many suspects there are follows the input, so they are not broadcast.
+        compared = texts.hint("merge").join(
             asked, texts["doc_id"].eqNullSafe(asked["id"]) & (texts["text_sha256"] == asked["sha"]), "left_semi"
         )
         verified = scratch.save(
