@@ -160,9 +160,10 @@ def exact_dedup(docs: DataFrame, with_raw: bool = False) -> DataFrame:
             raise ValueError("two different texts have the same SHA-256")
         # The greatest struct: most code points, then smallest id (the negated null is least), then first row.
         rank = F.max(F.struct("points", (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("back"), "doc_id", "row"))
+        # Summed before the shuffle, so that a group with very many copies is a row per task.
         groups = (
-            keys.df.join(verified.df.select("fp", "text_sha256"), ["fp", "text_sha256"], "left_semi")
-            .groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("held"), rank.alias("best"))
+            keys.df.groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("held"), rank.alias("best"))
+            .where("held > 1").join(verified.df.select("fp", "text_sha256"), ["fp", "text_sha256"], "left_semi")
         )
         groups = scratch.save(groups, keep=True)
         out = keys.df.join(groups.df, ["fp", "text_sha256"], "left")
