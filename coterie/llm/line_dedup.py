@@ -18,7 +18,7 @@ from .text import WHITE, whole, words
 # Least similarity, in hundredths.
 SIMILAR = 80
 # Words are counted in this many hash buckets: a fixed number, so the counts of any corpus are one short array.
-_BITS = 14
+_BITS = 16
 
 
 def _rarity(docs: DataFrame, scratch: Scratch) -> Column:
@@ -28,7 +28,7 @@ def _rarity(docs: DataFrame, scratch: Scratch) -> Column:
     counts = docs.select(F.explode(words(whole())).alias("w")).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
     held = scratch.save(counts.unionByName(every).groupBy("bucket").agg(F.sum("n").alias("n")))
-    rows = sorted(held.df.collect(), key=lambda r: (r["n"], r["bucket"]))  # 2^14 rows, whatever the corpus
+    rows = sorted(held.df.collect(), key=lambda r: (r["n"], r["bucket"]))  # 2^16 rows, whatever the corpus
     place = [0] * buckets
     for k, r in enumerate(rows):
         place[r["bucket"]] = k
