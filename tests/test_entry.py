@@ -6,7 +6,8 @@ import __spark_entry__ as driver
 FOLDER = "/root/testdata/sf0.01"
 QUICK = [
     "ratings_text", "affiliations", "affiliation_sets", "coaffil_edges", "adjacency", "graph_size",
-    "structural_similarity_open", "structural_components_half",
+    "structural_similarity_open", "structural_components_half", "affiliation_sets_rows", "adjacency_rows", "vertices",
+    "similarity_repeated", "structural_components_mu",
 ]
 
 
@@ -19,7 +20,9 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(driver.queries()) == set(driver.oracle_sql())
+    # Queries on documents are there only with their subpackage, and not all of them have a form in SQL.
+    optional = {*driver._llm.queries(), "pipeline"} if driver._llm else set()
+    assert set(driver.queries()) - optional == set(driver.oracle_sql()) - optional
 
 
 def test_flagship(spark):
