@@ -2,7 +2,9 @@
 
 A line is the set of its words. Words are put in one order from rare to frequent, so that two lines with a
 Jaccard similarity of at least t share a word among the first ``n - ceil(t n) + 1`` of each. Pairs that do are
-cut by length and by how much can still be shared behind the common word, then verified on the whole sets.
+cut by length, by how much can still be shared behind the common word and by a bound on the words that only one has (the
+parities of 128 classes of words), then verified on the whole sets. A word is its 64-bit hash: two words of a pair of lines are taken for one
+with a probability of about n^2 / 2^65.
 """
 
 from __future__ import annotations
@@ -10,10 +12,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.order import with_rank
+from ..plans.limits import limit
 from ..plans.scratch import Saved, Scratch
-from ..plans.skew import lookup_join
-from .text import WHITE, whole, words
+from .text import whole
 
 # Least similarity, in hundredths.
 SIMILAR = 80
@@ -21,28 +22,17 @@ SIMILAR = 80
 _BITS = 16
 
 
-def _rarity(docs: DataFrame, scratch: Scratch) -> Column:
-    """The place of each hash bucket when all are sorted by how many words of the corpus they hold; a literal."""
+def _rarity(taken: Saved, scratch: Scratch) -> Column:
+    """A literal array: what to XOR to a word's hash, by its top bits, to put the bucket's place from rare to frequent there."""
     buckets = 1 << _BITS
-    bucket = F.shiftrightunsigned(F.xxhash64("w"), 64 - _BITS).cast("int")
-    counts = docs.select(F.explode(words(whole())).alias("w")).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
-    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"), F.lit(0).cast("long").alias("n"))
-    held = scratch.save(counts.unionByName(every).groupBy("bucket").agg(F.sum("n").alias("n")))
-    rows = sorted(held.df.collect(), key=lambda r: (r["n"], r["bucket"]))  # 2^16 rows, whatever the corpus
-    place = [0] * buckets
-    for k, r in enumerate(rows):
-        place[r["bucket"]] = k
-    return F.split(F.lit(",".join(map(str, place))), ",").cast("array<bigint>")
-
-
-def _keys(line: Column, rarity: Column) -> Column:
-    """The line's distinct words as 64-bit keys, rarest first: the bucket's place, then the rest of the hash."""
-    hashes = F.transform(F.array_distinct(words(line)), lambda w: F.xxhash64(w))
-    rest = F.lit((1 << (64 - _BITS)) - 1)
-    half = 1 << (_BITS - 1)  # signed order
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(
-        F.get(rarity, F.shiftrightunsigned(h, 64 - _BITS).cast("int")) - half, 64 - _BITS
-    ).bitwiseOR(h.bitwiseAND(rest))))
+    bucket = F.shiftrightunsigned("w", 64 - _BITS).cast("int")
+    counts = taken.df.select(F.explode("words").alias("w")).groupBy(bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+    rows = {r["bucket"]: r["n"] for r in counts.collect()}  # 2^16 rows at most, whatever the corpus
+    turned = [0] * buckets
+    for place, held in enumerate(sorted(range(buckets), key=lambda k: (rows.get(k, 0), k))):
+        top = ((place - (buckets >> 1)) & (buckets - 1)) ^ held
+        turned[held] = (top - buckets if top >= buckets >> 1 else top) << (64 - _BITS)
+    return F.split(F.lit(",".join(map(str, turned))), ",").cast("array<bigint>")
 
 
 def _enough(shared: Column, n: Column, m: Column, similar: int) -> Column:
@@ -57,77 +47,98 @@ def _lines(docs: DataFrame, *carried: Column) -> DataFrame:
 
 
 def _candidates(firsts: Saved, similar: int) -> DataFrame:
-    """``(id, other)`` with ``other < id``: pairs that share a prefix word and pass the filters."""
-    prefixes = firsts.df.select("id", F.posexplode("prefix").alias("k", "word"), "n")
-    left = prefixes.repartition("word")
-    right = prefixes.repartition("word").select(
-        "word", F.col("id").alias("other"), F.col("n").alias("m"), F.col("k").alias("j")
-    )
+    """``(set, other)`` with ``set < other``: pairs that share a prefix word and pass the filters."""
+    # Both sides are one exchange, used twice.
+    prefixes = firsts.df.select("set", "n", "odd", "upper", F.posexplode("prefix").alias("k", "word"))
+    a, b = prefixes.alias("a"), prefixes.alias("b")
+    n, m = F.col("a.n"), F.col("b.n")
     # At the first word that a pair shares, all others it shares lie behind.
-    most = F.least(F.col("n") - F.col("k"), F.col("m") - F.col("j"))
+    behind = F.least(n - F.col("a.k"), m - F.col("b.k"))
+    # Of each class of words whose numbers differ in parity, one is in one line only; there are 128, 64 with the upper bit.
+    upper = F.col("a.upper").bitwiseXOR(F.col("b.upper"))
+    lower = F.col("a.odd").bitwiseXOR(F.col("b.odd")).bitwiseXOR(upper)
+    apart = F.bit_count(upper) + F.bit_count(lower)
     return (
-        left.join(right, "word")
+        a.join(b, F.col("a.word") == F.col("b.word"))
         .where(
-            (F.col("other") < F.col("id")) & (100 * F.least("n", "m") >= similar * F.greatest("n", "m"))
-            & _enough(most, F.col("n"), F.col("m"), similar)
+            (F.col("a.set") < F.col("b.set")) & (100 * F.least(n, m) >= similar * F.greatest(n, m))
+            & _enough(behind, n, m, similar) & ((n + m - apart) * (100 + similar) >= 2 * similar * (n + m))
         )
-        .select("id", "other").distinct()
+        .select(F.col("a.set").alias("set"), F.col("b.set").alias("other")).distinct()
     )
 
 
-def _verified(docs: DataFrame, pairs: Saved, firsts: Saved, rarity: Column, similar: int, scratch: Scratch) -> Saved:
-    """The pairs whose whole sets are similar. Only lines that are in a pair are taken apart again."""
-    asked = scratch.save(pairs.df.select(F.explode(F.array("id", "other")).alias("id")).distinct())
-    named = scratch.save(lookup_join(firsts.select("id", "lh"), asked, ["id"], scratch))
-    found = lookup_join(_lines(docs).select(F.xxhash64("line").alias("lh"), "line"), named, ["lh"], scratch)
-    sets = scratch.save(
-        found.groupBy("id").agg(F.first("line").alias("line")).select("id", _keys(F.col("line"), rarity).alias("keys"))
-    )
-    both = pairs.df.join(sets.df, "id").join(
-        sets.df.select(F.col("id").alias("other"), F.col("keys").alias("others")), "other"
+def _links(taken: Saved, firsts: Saved, similar: int, scratch: Scratch) -> DataFrame:
+    """``(set, links)``: how many earlier sets are similar to it on their whole words."""
+    pairs = scratch.save(_candidates(firsts, similar))
+    asked = scratch.save(pairs.df.select(F.explode(F.array("set", "other")).alias("set")).distinct())
+    places = firsts.df.select("set", "row", "pos", F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "pos").alias("place"))
+    named = scratch.save(places.join(_checked(asked, scratch), "set"))
+    sets = scratch.save(taken.df.select("row", "pos", "words").join(_checked(named, scratch), ["row", "pos"]).select("set", "place", "words"))
+    both = pairs.df.join(sets.df, "set").join(
+        sets.df.select(F.col("set").alias("other"), F.col("place").alias("place2"), F.col("words").alias("words2")), "other"
     )
-    shared = F.size(F.array_intersect("keys", "others"))
-    return scratch.save(both.where(_enough(shared, F.size("keys"), F.size("others"), similar)).select("id", "other"))
+    shared = F.size(F.array_intersect("words", "words2"))
+    later = F.when(F.col("place") < F.col("place2"), F.col("other")).otherwise(F.col("set"))
+    similar_pairs = both.where(_enough(shared, F.size("words"), F.size("words2"), similar))
+    return similar_pairs.groupBy(later.alias("set")).agg(F.count(F.lit(1)).alias("links"))
+
+
+def _checked(table: Saved, scratch: Scratch) -> DataFrame:
+    """The table, to be broadcast if it was counted to be small; its keys are unique, so no key is hot beyond."""
+    return F.broadcast(table.df) if table.rows <= limit(scratch.spark, "broadcastRows") else table.df
 
 
 def _judged(docs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
-    """Every line with a word: ``(doc_id, row, pos, lh, id, gone, linked)``."""
-    rarity = _rarity(docs, scratch)
-    carried = [F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row")]
-    # Asking for the size here would take the line apart once more to filter.
-    keys = _lines(docs, *carried).where(F.trim("line", F.lit(WHITE)) != "").select(
-        "doc_id", "row", "pos", F.xxhash64("line").alias("lh"), _keys(F.col("line"), rarity).alias("keys")
+    """Every line with a word: ``(doc_id, row, pos, lh, set, gone, links)``."""
+    carried = [
+        F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row"),
+        whole().rlike("[\\x09\\x0B-\\x0D]").alias("blank"),
+    ]
+    # Texts are taken apart once; from here on a word is its hash.
+    # Splitting at a plain character is fast, so the pattern is for texts with other white space only.
+    split = F.when(F.col("blank"), F.split("line", "[\\x20\\x09-\\x0D]+")).otherwise(F.split("line", " "))
+    hashes = F.transform(split, lambda w: F.xxhash64(w))
+    taken = scratch.save(
+        # White space that is doubled or at an end leaves an empty word.
+        _lines(docs, *carried).select(
+            "doc_id", "row", "pos", F.xxhash64("line").alias("lh"),
+            F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit(""))).alias("words"),
+        ).where(F.size("words") > 0)
     )
-    n = F.size("keys")
+    turned = _rarity(taken, scratch)
+    keys = F.sort_array(F.transform("words", lambda h: h.bitwiseXOR(turned[F.shiftrightunsigned(h, 64 - _BITS)])))
+    n = F.size("words")
     lines = scratch.save(
-        keys.select(
-            "doc_id", "row", "pos", "lh", n.alias("n"), F.xxhash64("keys").alias("set"),
-            F.transform(
-                F.slice("keys", 1, n - F.ceil(n * similar / 100).cast("int") + 1), lambda k: F.hash(k)
-            ).alias("prefix"),
-        ),
-        keep=True,
+        taken.df.select("doc_id", "row", "pos", "lh", "words", keys.alias("keys")).select(
+            "doc_id", "row", "pos", "lh", F.xxhash64("keys").alias("set"), n.alias("n"), _parity(False).alias("odd"), _parity(True).alias("upper"),
+            F.transform(F.slice("keys", 1, n - F.ceil(n * similar / 100).cast("int") + 1), lambda k: F.hash(k)).alias("prefix"),
+        )
     )
-    place = F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "pos")
-    sets = lines.df.groupBy("set").agg(F.min(place).alias("p")).select("set", F.col("p.row").alias("row"), F.col("p.pos").alias("pos"))
-    firsts = scratch.save(with_rank(
-        lines.df.join(sets, ["set", "row", "pos"]),
-        [F.isnull("doc_id"), F.col("doc_id"), F.col("row"), F.col("pos")], "id", scratch,
-    ))
-    pairs = scratch.save(_candidates(firsts, similar))
-    links = _verified(docs, pairs, firsts, rarity, similar, scratch) if pairs.rows else pairs
-    matched = scratch.save(links.df.groupBy("id").agg(F.count(F.lit(1)).alias("links")))
+    # Copies of a set are folded before the shuffle; the earliest line stands for it.
+    held = ["doc_id", "row", "pos", "n", "odd", "upper", "prefix"]
+    first = F.min(F.struct(F.isnull("doc_id").alias("none"), *held)).alias("p")
+    firsts = scratch.save(lines.df.groupBy("set").agg(first).select("set", *[f"p.{c}" for c in held]))
+    links = _links(taken, firsts, similar, scratch)
     of_set = scratch.save(
-        lookup_join(firsts.select("id", "set", "row AS first_row", "pos AS first_pos"), matched, ["id"], scratch, "left"),
-        keep=True,
+        firsts.df.select("set", F.col("row").alias("first_row"), F.col("pos").alias("first_pos")).join(links, "set", "left")
     )
     copy = (F.col("row") != F.col("first_row")) | (F.col("pos") != F.col("first_pos"))
     return lines.df.select("doc_id", "row", "pos", "lh", "set").join(of_set.df, "set").select(
-        "doc_id", "row", "pos", "lh", "id", (copy | F.col("links").isNotNull()).alias("gone"),
+        "doc_id", "row", "pos", "lh", "set", (copy | F.col("links").isNotNull()).alias("gone"),
         F.coalesce("links", F.lit(0)).alias("links"),
     )
 
 
+def _parity(upper: bool) -> Column:
+    """For each value of six bits of a hash, whether an odd number of the words has it; ``upper`` counts those with the next bit set."""
+    def bit(h: Column) -> Column:
+        counted = F.shiftright(h, 6).bitwiseAND(1) if upper else F.lit(1).cast("long")
+        return F.call_function("shiftleft", counted, h.bitwiseAND(63).cast("int"))
+
+    return F.aggregate("words", F.lit(0).cast("long"), lambda odd, h: odd.bitwiseXOR(bit(h)))
+
+
 def line_dedup(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
     """``(doc_id, n_lines, n_removed, n_links, kept_digest)``, one row for each row of ``docs (doc_id, text)``.
 
