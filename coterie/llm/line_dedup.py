@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.limits import limit
-from ..plans.scratch import Saved, Scratch
+from ..plans.scratch import Saved, Scratch, remove
 from .text import whole
 
 # Least similarity, in hundredths.
@@ -46,14 +46,25 @@ def _lines(docs: DataFrame, *carried: Column) -> DataFrame:
     return rows.select(*rows.columns[:-1], F.posexplode(F.split("t", "\n")).alias("pos", "line"))
 
 
+def _words(blank: Column) -> Column:
+    """The distinct words of ``line`` as hashes; ``blank``: whether it may have white space other than a space."""
+    # Splitting at a plain character is fast, so the pattern is for texts with other white space only.
+    split = F.when(blank, F.split("line", "[\\x20\\x09-\\x0D]+")).otherwise(F.split("line", " "))
+    # White space that is doubled or at an end leaves an empty word.
+    return F.array_remove(F.array_distinct(F.transform(split, lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+
+
 def _candidates(firsts: Saved, similar: int) -> DataFrame:
     """``(set, other)`` with ``set < other``: pairs that share a prefix word and pass the filters."""
     # Both sides are one exchange, used twice.
-    prefixes = firsts.df.select("set", "n", "odd", "upper", F.posexplode("prefix").alias("k", "word"))
+    prefixes = firsts.df.select("set", "n", "odd", "upper", F.posexplode("prefix").alias("k", "word")).select(
+        "word", "set", (F.shiftleft(F.col("n").cast("long"), 32) + F.col("k")).alias("nk"), "odd", "upper"
+    )
     a, b = prefixes.alias("a"), prefixes.alias("b")
-    n, m = F.col("a.n"), F.col("b.n")
+    n, m = F.shiftright("a.nk", 32), F.shiftright("b.nk", 32)
+    low = F.lit((1 << 32) - 1)
     # At the first word that a pair shares, all others it shares lie behind.
-    behind = F.least(n - F.col("a.k"), m - F.col("b.k"))
+    behind = F.least(n - F.col("a.nk").bitwiseAND(low), m - F.col("b.nk").bitwiseAND(low))
     # Of each class of words whose numbers differ in parity, one is in one line only; there are 128, 64 with the upper bit.
     upper = F.col("a.upper").bitwiseXOR(F.col("b.upper"))
     lower = F.col("a.odd").bitwiseXOR(F.col("b.odd")).bitwiseXOR(upper)
@@ -68,13 +79,16 @@ def _candidates(firsts: Saved, similar: int) -> DataFrame:
     )
 
 
-def _links(taken: Saved, firsts: Saved, similar: int, scratch: Scratch) -> DataFrame:
+def _links(docs: DataFrame, firsts: Saved, similar: int, scratch: Scratch) -> DataFrame:
     """``(set, links)``: how many earlier sets are similar to it on their whole words."""
     pairs = scratch.save(_candidates(firsts, similar))
     asked = scratch.save(pairs.df.select(F.explode(F.array("set", "other")).alias("set")).distinct())
-    places = firsts.df.select("set", "row", "pos", F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "pos").alias("place"))
+    places = firsts.df.select("set", "lh", F.struct(F.isnull("doc_id").alias("none"), "doc_id", "row", "pos").alias("place"))
     named = scratch.save(places.join(_checked(asked, scratch), "set"))
-    sets = scratch.save(taken.df.select("row", "pos", "words").join(_checked(named, scratch), ["row", "pos"]).select("set", "place", "words"))
+    # Only lines that are in a pair are taken apart again, which needs less room than to keep the words of all.
+    found = _lines(docs).select(F.xxhash64("line").alias("lh"), "line").join(_checked(named, scratch), "lh")
+    texts = found.groupBy("set").agg(F.first("line").alias("line"), F.first("place").alias("place"))
+    sets = scratch.save(texts.select("set", "place", _words(F.lit(True)).alias("words")))
     both = pairs.df.join(sets.df, "set").join(
         sets.df.select(F.col("set").alias("other"), F.col("place").alias("place2"), F.col("words").alias("words2")), "other"
     )
@@ -96,14 +110,10 @@ def _judged(docs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
         whole().rlike("[\\x09\\x0B-\\x0D]").alias("blank"),
     ]
     # Texts are taken apart once; from here on a word is its hash.
-    # Splitting at a plain character is fast, so the pattern is for texts with other white space only.
-    split = F.when(F.col("blank"), F.split("line", "[\\x20\\x09-\\x0D]+")).otherwise(F.split("line", " "))
-    hashes = F.transform(split, lambda w: F.xxhash64(w))
     taken = scratch.save(
-        # White space that is doubled or at an end leaves an empty word.
         _lines(docs, *carried).select(
             "doc_id", "row", "pos", F.xxhash64("line").alias("lh"),
-            F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit(""))).alias("words"),
+            _words(F.col("blank")).alias("words"),
         ).where(F.size("words") > 0)
     )
     turned = _rarity(taken, scratch)
@@ -115,11 +125,12 @@ def _judged(docs: DataFrame, similar: int, scratch: Scratch) -> DataFrame:
             F.transform(F.slice("keys", 1, n - F.ceil(n * similar / 100).cast("int") + 1), lambda k: F.hash(k)).alias("prefix"),
         )
     )
+    remove(scratch.spark, taken.path)
     # Copies of a set are folded before the shuffle; the earliest line stands for it.
-    held = ["doc_id", "row", "pos", "n", "odd", "upper", "prefix"]
+    held = ["doc_id", "row", "pos", "lh", "n", "odd", "upper", "prefix"]
     first = F.min(F.struct(F.isnull("doc_id").alias("none"), *held)).alias("p")
     firsts = scratch.save(lines.df.groupBy("set").agg(first).select("set", *[f"p.{c}" for c in held]))
-    links = _links(taken, firsts, similar, scratch)
+    links = _links(docs, firsts, similar, scratch)
     of_set = scratch.save(
         firsts.df.select("set", F.col("row").alias("first_row"), F.col("pos").alias("first_pos")).join(links, "set", "left")
     )
@@ -158,7 +169,7 @@ def line_dedup(docs: DataFrame, similar: int = SIMILAR) -> DataFrame:
         found = scratch.save(rows)
         # Rows without any line, by what the others leave of each id.
         every = docs.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(
-            F.sum((F.trim(whole(), F.lit(" \t\n\x0b\x0c\r")) == "").cast("long")).alias("empty")
+            F.sum((~whole().rlike("[^\\x20\\x09-\\x0D]")).cast("long")).alias("empty")
         )
         none = every.where("empty > 0").select("doc_id", F.explode(F.sequence(F.lit(1).cast("long"), "empty"))).select(
             "doc_id", *[F.lit(0).cast("long").alias(c) for c in ("n_lines", "n_removed", "n_links", "kept_digest")]
