@@ -17,8 +17,8 @@ import coterie as ct
 FOLDER = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
-# Shared hours per edge: at 14 the graph is sparse and deep, at 12 dense and shallow.
-SPARSE, DENSE, PARTS = 14, 12, 4
+# Shared hours per edge: at 14 the graph is sparse and deep, at 12 dense and shallow; at 10 it has 68,328 edges.
+SPARSE, DENSE, LARGE, PARTS = 14, 12, 10, 4
 
 
 def _hours(spark, k):
@@ -41,6 +41,9 @@ QUERIES = {
     "communities_sparse": lambda spark: _communities(_hours(spark, SPARSE)),
     "communities_dense": lambda spark: _communities(_hours(spark, DENSE)),
     "structural_dense": lambda spark: ct.community_lines(ct.structural_components(_hours(spark, DENSE))),
+    "betweenness_large": lambda spark: ct.edge_betweenness(_hours(spark, LARGE)),
+    "communities_large": lambda spark: _communities(_hours(spark, LARGE)),
+    "structural_large": lambda spark: ct.community_lines(ct.structural_components(_hours(spark, LARGE))),
 }
 
 

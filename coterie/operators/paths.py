@@ -81,8 +81,9 @@ def _neighbours(edges: DataFrame, scratch: Scratch) -> _Neighbours:
     both = scratch.save(
         simple_edges(edges).select(both_directions("src", "dst")).select(F.col("src").alias("vertex"), F.col("dst").alias("to"))
     )
-    # Every vertex may reach every other, and each of these states meets its neighbours.
-    parts = partitions(spark, both.rows**2)
+    # Every vertex may reach every other, and each of these states meets its neighbours. Sources run in batches
+    # that bound what a partition holds, so there need not be more partitions than the session's.
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), partitions(spark, both.rows**2))
     if both.rows <= limit(spark, "broadcastRows"):
         return _Neighbours(F.broadcast(both.df.withColumn("blocks", F.lit(1))), both.rows, False, parts)
 

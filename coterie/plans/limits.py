@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 DEFAULTS = {
     # A table is broadcast only when it was counted and has at most this many rows.
     "broadcastRows": 1_000_000,
+    # And only when the files it was saved in hold at most this many bytes, for rows of any width.
+    "broadcastBytes": 64 << 20,
     # A key is hot when it holds more than 1/hotKeys of the rows, so there are at most hotKeys.
     "hotKeys": 10_000,
     # Groups and neighbour lists larger than this are split into blocks of about this size.
@@ -29,9 +31,9 @@ def limit(spark: SparkSession, name: str) -> int:
 
 
 def partitions(spark: SparkSession, rows: int) -> int:
-    """How many partitions to use for work that yields up to ``rows`` rows from a small input.
+    """How many partitions to use for work that yields ``rows`` rows from a smaller input.
 
-    Adaptive execution sizes partitions by their input, which tells nothing about such work.
+    Adaptive execution sizes partitions by their input, which tells nothing about such work. There is no
+    ceiling, so that the rows of a task do not grow with the data.
     """
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return min(most, max(1, -(-rows // limit(spark, "rowsPerTask"))))
+    return max(1, -(-rows // limit(spark, "rowsPerTask")))

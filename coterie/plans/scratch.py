@@ -57,6 +57,12 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def size(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files in a folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(path).getLength()
+
+
 def clear_results(spark: SparkSession) -> None:
     """Remove every result that this application has written; their DataFrames can no longer be read."""
     for root in [r for r, owner in Scratch.with_results.items() if owner == spark.sparkContext.applicationId]:

@@ -6,7 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .limits import limit, partitions
-from .scratch import Saved, Scratch
+from .scratch import Saved, Scratch, size
+
+
+def _fits(table: Saved, scratch: Scratch) -> bool:
+    """Whether a table is small enough to broadcast, by its rows and by the files it was saved in."""
+    if table.rows > limit(scratch.spark, "broadcastRows"):
+        return False
+    return not table.path or size(scratch.spark, table.path) <= limit(scratch.spark, "broadcastBytes")
 
 
 def lookup_join(
@@ -20,7 +27,7 @@ def lookup_join(
     then read three times, it is written first unless it is a saved step already.
     """
     spark = scratch.spark
-    if table.rows <= limit(spark, "broadcastRows"):
+    if _fits(table, scratch):
         rows = big.df if isinstance(big, Saved) else big
         return rows.join(F.broadcast(table.df), on, how)
     if not isinstance(big, Saved):
@@ -45,15 +52,18 @@ def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFra
     has to hold more than two blocks, whatever the size of the group.
     """
     block = limit(scratch.spark, "blockRows")
-    parts = partitions(scratch.spark, rows.rows * min(rows.rows, block))
-    wide = None
+    pairs, wide = rows.rows**2 // 2, None
     if rows.rows > block:
-        wide = scratch.save(
-            rows.df.groupBy(key)
-            .agg(F.count(F.lit(1)).alias("held"))
-            .where(F.col("held") > block)
-            .select(key, F.ceil(F.col("held") / block).cast("int").alias("blocks"))
+        # The sizes of the groups give the exact number of pairs.
+        held = F.col("held").cast("double")
+        counted = scratch.save(
+            rows.df.groupBy(key).agg(F.count(F.lit(1)).alias("held")),
+            pairs=F.sum(held * (held - 1) / 2), wide=F.sum((held > block).cast("long")),
         )
+        pairs = int(counted.metrics["pairs"])
+        blocks = F.ceil(F.col("held") / block).cast("int").alias("blocks")
+        wide = Saved(counted.df.where(F.col("held") > block).select(key, blocks), counted.metrics["wide"])
+    parts = partitions(scratch.spark, pairs)
     if wide is None or wide.rows == 0:
         grouped = rows.df.select(key, value).repartition(parts, key)
         left = grouped.withColumnRenamed(value, "x")

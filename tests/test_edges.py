@@ -6,6 +6,8 @@ import pytest
 
 import coterie as ct
 from conftest import G7
+from coterie.plans.scratch import Scratch
+from coterie.plans.skew import pairs_within
 
 
 def _expected(rows, k):
@@ -35,10 +37,11 @@ SKEW = [
     {"blockRows": 4},
     {"popularItem": 10},
     {"popularItem": 5, "blockRows": 4, "broadcastRows": 0, "hotKeys": 4},
+    {"popularItem": 5, "blockRows": 4, "broadcastBytes": 0, "hotKeys": 4, "rowsPerTask": 100},
 ]
 
 
-@pytest.mark.parametrize("forced", SKEW, ids=["plain", "blocks", "popular", "all"])
+@pytest.mark.parametrize("forced", SKEW, ids=["plain", "blocks", "popular", "all", "bytes"])
 @pytest.mark.parametrize("k", [1, 3, 9])
 def test_shared_items(spark, limits, forced, k):
     rows = _sample(k)
@@ -88,3 +91,15 @@ def test_adjacency_merges_both_directions(spark):
     edges = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (4, 5), (4, 6), (3, 1), (1, 5)], "src long, dst long")
     near = {r.vertex: r.neighbours for r in ct.adjacency(edges).collect()}
     assert near[1] == [2, 3, 4, 5] and near[3] == [1]
+
+
+def test_partitions_follow_the_number_of_pairs(spark, limits):
+    found = []
+    for holders in (8, 16, 32):
+        rows = spark.range(holders * 10).selectExpr("id % 10 AS item", "id DIV 10 AS user")
+        with limits(rowsPerTask=100, blockRows=50), Scratch(spark) as scratch:
+            pairs = pairs_within(scratch.save(rows), "item", "user", scratch)
+            assert pairs.count() == 10 * holders * (holders - 1) // 2
+            found.append(pairs.rdd.getNumPartitions())
+    # 280, 1200 and 4960 pairs; the session has 4 partitions.
+    assert found == [3, 12, 50]

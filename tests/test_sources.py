@@ -1,6 +1,7 @@
 import pytest
 
 import coterie as ct
+from conftest import G7
 
 
 def _file(tmp_path, text, name="ratings.csv"):
@@ -84,3 +85,19 @@ def test_header_after_many_empty_files(spark, tmp_path):
     (tmp_path / "b.csv").write_text("userId,movieId\n1,2\n")
     (tmp_path / "c.csv").write_text("userId,movieId\n3,4\n")
     assert sorted(map(tuple, ct.read_ratings(spark, str(tmp_path)).collect())) == [(1, 2), (3, 4)]
+
+
+def test_from_ratings_text_to_lines(spark, tmp_path):
+    """The whole chain on the graph of seven: an edge's two users hold one item that nobody else holds."""
+    path = _file(tmp_path, "userId,item\n" + "".join(f"{u},{i}\n" for i, e in enumerate(G7) for u in e))
+    edges = ct.coaffiliation_edges(ct.read_ratings(spark, path), min_shared=1)
+    scores = ct.edge_betweenness(edges)
+    ct.write_scores(scores, str(tmp_path / "scores"), digits=1)
+    ct.write_communities(ct.best_communities(ct.removal_order(scores)), str(tmp_path / "communities"))
+    ct.write_communities(ct.structural_components(edges, epsilon=0.8305), str(tmp_path / "clusters"))
+    read = lambda name: [r.value for r in spark.read.text(str(tmp_path / name)).collect()]
+    assert sorted(read("scores")) == [
+        "(1,2,5.0)", "(1,3,1.0)", "(2,3,5.0)", "(2,4,12.0)", "(4,5,4.5)", "(4,6,4.0)", "(4,7,4.5)", "(5,6,1.5)", "(6,7,1.5)",
+    ]
+    assert sorted(read("communities")) == ["[1,2,3]", "[4,5,6,7]"]
+    assert sorted(read("clusters")) == ["[1,2,3]", "[4,5,6,7]"]
