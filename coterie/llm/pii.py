@@ -28,6 +28,7 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++)(?:\.[0-9]++)(?:\.[0-9]++)")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGITS = re.compile(r"[0-9]")
+_NUMERALS = frozenset("0123456789")
 
 # Cyrillic and Greek letters that look like Latin ones.
 LOOK_ALIKES = dict(zip(
@@ -40,19 +41,26 @@ SPELLED = {
     "eight": "8", "nine": "9",
 }
 _WORDS = "|".join(sorted(SPELLED, key=len, reverse=True))
-# Three spelled digits in a row at least: single ones are ordinary words.
-_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{_WORDS})(?:[\x20,.-]{{1,2}}(?:{_WORDS})){{2,}}(?![A-Za-z])", re.I)
+# One spelled digit or more in a row. Fewer than three are ordinary words, unless a number, a plus or a dot adjoins.
+_SPELLED = re.compile(rf"(?<![A-Za-z])(?:{_WORDS})(?:[\x20,.-]{{1,2}}(?:{_WORDS}))*(?![A-Za-z])", re.I)
 _SPELLED_ONE = re.compile(rf"(?:{_WORDS})", re.I)
-_SPELLED_HINT = re.compile(r"(?:zero|one|two|three|four|five|six|seven|eight|nine)[\x20,.-]{1,2}(?:zero|oh|one|two|three|four|five|six|seven|eight|nine)", re.I)
 _PLUS = re.compile(r"(?:\bplus|\+)\x20\Z", re.I)
 _OPEN, _CLOSE = r"[\(\[\{<]", r"[\)\]\}>]"
-_AT = re.compile(rf"[\x20]?{_OPEN}[\x20]?(?:at|@)[\x20]?{_CLOSE}[\x20]?", re.I)
-_DOT = re.compile(rf"[\x20]?{_OPEN}[\x20]?(?:dot|\.)[\x20]?{_CLOSE}[\x20]?", re.I)
-# Bare words count only together: name at host dot tld.
-_BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]+(\x20at\x20)[A-Za-z0-9-]+((?:\x20dot\x20[A-Za-z0-9-]+)+)(?![A-Za-z0-9-])", re.I
-)
+_BRACKET_AT = rf"[\x20]?{_OPEN}[\x20]?(?:at|@)[\x20]?{_CLOSE}[\x20]?"
+_BRACKET_DOT = rf"[\x20]?{_OPEN}[\x20]?(?:dot|\.)[\x20]?{_CLOSE}[\x20]?"
+_DOT_SIGN = rf"{_BRACKET_DOT}|\x20dot\x20"
+_BEFORE_NUMBER = re.compile(rf"(?:[0-9][\x20().-]{{0,3}}|\bplus\x20|\+\x20?|{_DOT_SIGN})\Z", re.I)
+_AFTER_NUMBER = re.compile(rf"[\x20().-]{{0,3}}[0-9]|{_DOT_SIGN}", re.I)
+_BETWEEN_NUMBERS = re.compile(r"[\x20().-]{0,3}")
+_AT = re.compile(_BRACKET_AT, re.I)
+_DOT = re.compile(_BRACKET_DOT, re.I)
+# Bare words and signs set off by blanks count only together with another sign: name at host dot tld.
+_ANY_AT = re.compile(rf"{_BRACKET_AT}|\x20at\x20|\x20?@\x20?", re.I)
+_HOST = re.compile(rf"[A-Za-z0-9-]++(?:(?:{_DOT_SIGN}|\.)[A-Za-z0-9-]++)+", re.I)
+_DISGUISED_DOT = re.compile(_DOT_SIGN, re.I)
+_BEFORE_DOT = re.compile(rf"(?:{_DOT_SIGN})\Z", re.I)
 _BARE_DOT = re.compile(r"\x20dot\x20", re.I)
+_NUMBER_DOT = re.compile(r"(?<=[0-9])\x20dot\x20(?=[0-9])", re.I)
 _AT_HINT = re.compile(r"[\(\[\{<]\x20?(?:at|@|dot|\.)\x20?[\)\]\}>]|\x20dot\x20", re.I)
 # Characters that the first transducer rewrites, apart from those that NFKC turns into ASCII.
 _ODD = re.compile("[" + "".join(LOOK_ALIKES) + "​-‍⁠﻿­²³¹⁰-₎‐-―․−①-⓿！-～\U0001d400-\U0001d7ff]")
@@ -166,30 +174,81 @@ def _plain_character(c: str) -> str:
     return simple if simple.isascii() else c
 
 
+def _spelled(text: str) -> list[tuple[int, int, str]]:
+    """Changes of the spelled digits: three in a row or more, and fewer beside a number, a plus or a dot."""
+    runs = list(_SPELLED.finditer(text))
+    good = [len(_SPELLED_ONE.findall(m[0])) >= 3 for m in runs]
+    for k, m in enumerate(runs):
+        good[k] = good[k] or bool(_BEFORE_NUMBER.search(text, max(0, m.start() - 8), m.start()) or _AFTER_NUMBER.match(text, m.end()))
+    # A run is a number to the runs beside it.
+    for order in (range(1, len(runs)), range(len(runs) - 2, -1, -1)):
+        for k in order:
+            other = k - 1 if order.step > 0 else k + 1
+            i, j = sorted((k, other))
+            if good[other] and not good[k]:
+                good[k] = bool(_BETWEEN_NUMBERS.fullmatch(text, runs[i].end(), runs[j].start()))
+    changes = []
+    for run, wanted in zip(runs, good):
+        if not wanted:
+            continue
+        at = run.start()
+        # A written-out or detached plus belongs to the number.
+        if m := _PLUS.search(text, max(0, at - 5), at):
+            changes.append((*m.span(), "+"))
+        # Beside a number and its dot, dots part numbers.
+        dotted = (at > 1 and text[at - 1] == "." and text[at - 2] in _NUMERALS) or (
+            text[run.end() : run.end() + 1] == "." and text[run.end() + 1 : run.end() + 2] in _NUMERALS
+        )
+        for m in _SPELLED_ONE.finditer(text, run.start(), run.end()):
+            if run.start() < at < m.start() and not (dotted and text[at : m.start()] == "."):
+                changes.append((at, m.start(), ""))
+            changes.append((m.start(), m.end(), SPELLED[m[0].lower()]))
+            at = m.end()
+    return changes
+
+
+def _mixed_mails(text: str) -> list[tuple[int, int, str]]:
+    """Changes of the bare words in mail addresses with any mix of signs; around each at, as in plain ones."""
+    changes, done = [], 0
+    at = _ANY_AT.search(text)
+    while at:
+        host = _HOST.match(text, at.end()) if at.start() > done and text[at.start() - 1] in _LOCAL else None
+        # A plain or bracketed at settles what it is; other ones need a dot in disguise: "look at mail.org" is prose.
+        sure = at[0] == "@" or any(c in "([{<" for c in at[0])
+        disguised = host and _DISGUISED_DOT.search(text, *host.span())
+        if host and (disguised or (sure and at[0] != "@")):
+            start = at.start()
+            while True:
+                while start > done and text[start - 1] in _LOCAL:
+                    start -= 1
+                m = _BEFORE_DOT.search(text, max(done, start - 9), start)
+                if not m or m.start() == done or text[m.start() - 1] not in _LOCAL:
+                    break
+                if _BARE_DOT.fullmatch(m[0]):
+                    changes.append((*m.span(), "."))
+                start = m.start()
+            if not sure or at[0] == "@":
+                changes.append((*at.span(), "@"))
+            changes += [(*m.span(), ".") for m in _BARE_DOT.finditer(text, *host.span())]
+            done = host.end()
+            at = _ANY_AT.search(text, done)
+        else:
+            # The blank behind may stand before the next one.
+            at = _ANY_AT.search(text, at.end() - (text[at.end() - 1] == " "))
+    return changes
+
+
 def deobfuscate(text: str) -> Mapped:
     """The text after the three transducers; the same object without edits if nothing applies."""
     out = Mapped(text)
     if not text.isascii():
         out = out.rewrite([(m.start(), m.end(), _plain_character(m[0])) for m in _ODD.finditer(text)])
-    if _SPELLED_HINT.search(out.text):
-        changes = []
-        for run in _SPELLED.finditer(out.text):
-            at = run.start()
-            # A written-out or detached plus belongs to the number.
-            if m := _PLUS.search(out.text, max(0, at - 5), at):
-                changes.append((*m.span(), "+"))
-            for m in _SPELLED_ONE.finditer(out.text, run.start(), run.end()):
-                if run.start() < at < m.start():
-                    changes.append((at, m.start(), ""))
-                changes.append((m.start(), m.end(), SPELLED[m[0].lower()]))
-                at = m.end()
-        out = out.rewrite(changes)
+    out = out.rewrite(_spelled(out.text))
     if _AT_HINT.search(out.text):
         changes = [(m.start(), m.end(), "@") for m in _AT.finditer(out.text)]
         changes += [(m.start(), m.end(), ".") for m in _DOT.finditer(out.text)]
-        for m in _BARE.finditer(out.text):
-            changes.append((*m.span(1), "@"))
-            changes += [(d.start(), d.end(), ".") for d in _BARE_DOT.finditer(out.text, *m.span(2))]
+        changes += [(m.start(), m.end(), ".") for m in _NUMBER_DOT.finditer(out.text)]
+        changes += _mixed_mails(out.text)
         changes.sort()
         kept = []
         for c in changes:

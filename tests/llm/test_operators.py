@@ -229,6 +229,20 @@ def test_probabilities_sum_to_one():
     ("plus four nine three zero nine zero one eight two zero", "phone:0:54"),
     ("we met at noon, one two three and dot", ""),
     ("x" * 5000 + "@", ""), ("1" * 5000 + ".", ""), ("", ""),
+    ("john [at] mail dot org", "email:0:22"),
+    ("john at mail [dot] org", "email:0:22"),
+    ("to john@mail dot org", "email:3:20"),
+    ("john @ mail (dot) co dot uk", "email:0:27"),
+    ("john dot smith at mail dot org", "email:0:30"),
+    ("look at mail.org, a dot and john@mail.org", "email:28:41"),
+    ("10 dot 0 dot 0 dot 1", "ip:0:20"),
+    ("10.0 dot 0 [dot] 1", "ip:0:18"),
+    ("one nine two dot one six eight dot one dot one", "ip:0:46"),
+    ("10.zero.zero.one", "ip:0:16"),
+    ("+49 three zero 901820", "phone:0:21"),
+    ("plus four nine (three zero) 901820", "phone:0:34"),
+    ("four 111 1111 1111 1111", "card:0:23"),
+    ("one dot at two points, plus one", ""),
 ])
 def test_personal_data_spans(text, spans):
     assert pii.as_text(pii.find(text)[1]) == spans
