@@ -92,6 +92,57 @@ def test_line_dedup(docs, rows):
     assert [r for r in found if r[0] not in (None, 7, 12)] == sorted((r for r in expected if r[0] not in (None, 7, 12)), key=str)
 
 
+def test_removed_lines_and_kept_texts(docs, rows):
+    def digest(pos, line):
+        of_line = xxhash.xxh64_intdigest(line.encode(), seed=42)
+        return xxhash.xxh64_intdigest(struct.pack("<Q", of_line), seed=xxhash.xxh64_intdigest(struct.pack("<i", pos), seed=42))
+
+    firsts, gone, texts, digests, links = {}, [], [], [], []
+    for doc, text, _ in sorted(rows, key=lambda r: (r[0] is None, r[0])):
+        kept, of_row = [], 0
+        for pos, line in enumerate((text or "").split("\n")):
+            s = frozenset(WORD.findall(line))
+            if not s:
+                kept.append(line)
+                continue
+            if s in firsts:
+                own, similar = firsts[s]
+                gone.append((doc, pos, own, *(similar[0] if similar else own), len(similar)))
+            else:
+                similar = [p for o, (p, _) in firsts.items() if 10 * len(s & o) >= 8 * len(s | o)]
+                firsts[s] = ((doc, pos), similar)
+                links += [(doc, pos, *p) for p in similar]
+                if similar:
+                    gone.append((doc, pos, (doc, pos), *similar[0], len(similar)))
+                else:
+                    kept.append(line)
+                    of_row ^= digest(pos, line)
+        texts.append((doc, None if text is None else "\n".join(kept)))
+        digests.append((doc, of_row - (1 << 64) if of_row >> 63 else of_row))
+    assert links and any(g[5] for g in gone)
+
+    pairs = line_dedup.line_links(docs).collect()
+    assert sorted((r.doc_id, r.pos, r.match_doc, r.match_pos) for r in pairs) == sorted(links)
+    lines = line_dedup.removed_lines(docs).collect()
+    flat = [(d, p, *match, n) for d, p, _, *match, n in gone]
+    assert sorted(((r.doc_id, r.pos, r.match_doc, r.match_pos, r.n_links) for r in lines), key=str) == sorted(flat, key=str)
+    # One class id for each set of words.
+    named = {(r.doc_id, r.pos): r.class_id for r in pairs} | {(r.match_doc, r.match_pos): r.match_id for r in pairs}
+    named |= {(r.match_doc, r.match_pos): r.match_id for r in lines}
+    assert len(set(named.values())) == len(named)
+    own = Counter((d, p, named[c]) for d, p, c, *_ in gone)
+    assert Counter((r.doc_id, r.pos, r.class_id) for r in lines) == own
+    assert _rows(line_dedup.without_removed_lines(docs), "doc_id", "text") == sorted(texts, key=str)
+
+    found = line_dedup.line_dedup(docs).collect()
+    assert sorted(((r.doc_id, r.kept_digest) for r in found), key=str) == sorted(digests, key=str)
+    empty = lambda x: "" if x is None else x
+    told = Counter((empty(r.doc_id), *part.split(":")) for r in found for part in r.removed.split(",") if part)
+    assert told == Counter(
+        (empty(r.doc_id), str(r.pos), str(r.class_id), str(r.match_id), str(empty(r.match_doc)), str(r.match_pos)) for r in lines
+    )
+
+
 def test_suffix_dedup(docs, rows):
     texts = [(d, (t or "").encode()) for d, t, _ in rows]
     starts = Counter(t[p : p + 200] for _, t in texts for p in range(len(t) - 199))
