@@ -60,7 +60,8 @@ def _answer(table: pa.Table) -> pa.Table:
     sizes = [len(k) for k in keys]
     blocks = np.repeat(table["block"].to_numpy(), sizes)
     every, place = np.unique(np.concatenate(keys), return_inverse=True)
-    totals = np.bincount(place, counts, len(every)).astype(np.uint32)[place]
+    # Sums of a whole corpus; their upper bytes are mostly zeros, which cost little.
+    totals = np.bincount(place, counts, len(every)).astype(np.int64)[place]
     coded = table["orders"].to_pylist()
     orders = np.zeros(len(place), np.int64) if coded[0] is None else np.concatenate([expand(c, np.int64) for c in coded])
     # The first asker of each key: by its order, then by its block.
@@ -81,11 +82,11 @@ def answered(requests: DataFrame) -> DataFrame:
 
 def totals_of(keys: np.ndarray, answers: pa.Table, owners: int) -> tuple[np.ndarray, np.ndarray]:
     """The totals of the ascending ``keys``, and whether this block is the first to hold each."""
-    totals, first = np.zeros(len(keys), np.uint32), np.zeros(len(keys), bool)
+    totals, first = np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
     owner = _by_owner(keys, owners)
     starts = dict(zip(*(x.tolist() for x in np.unique(owner, return_index=True))))
     for to, code, bits in zip(*(answers[n].to_pylist() for n in ("owner", "totals", "first"))):
-        got = expand(code, np.uint32)
+        got = expand(code, np.int64)
         at = slice(starts[to], starts[to] + len(got))
         totals[at] = got
         first[at] = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(got)).astype(bool)

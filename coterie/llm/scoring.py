@@ -78,7 +78,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         n = v = 0
         for code, bits in zip(batch.column("totals").to_pylist(), batch.column("first").to_pylist()):
-            totals = expand(code, np.uint32)
+            totals = expand(code, np.int64)
             own = totals[np.unpackbits(np.frombuffer(bits, np.uint8), count=len(totals)).astype(bool)]
             n, v = n + int(own.sum(dtype=np.int64)), v + int((own > 0).sum())
         yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64()), "v": pa.array([v], pa.int64())})
@@ -131,7 +131,6 @@ def _score(n: int, v: int, strength: float, word_owners: int, pair_owners: int):
             tokens = Tokens(*unpacked(data.as_py()))
             words, _, place = tokens.counted(tokens.tokens)
             counts, _ = totals_of(words, answers.filter(pa.compute.invert(of_pairs)), word_owners)
-            counts = counts.astype(np.int64)
             pairs, where = np.unique(tokens.pairs, return_index=True)
             pair_counts, _ = totals_of(pairs, answers.filter(of_pairs), pair_owners)
             before = np.roll(place, 1) + 1

@@ -11,7 +11,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from coterie.llm import blocks, line_dedup, mixing, pii, quality, scoring, simhash, substring_dedup, suffix_dedup
+from coterie.llm import blocks, exchange, line_dedup, mixing, pii, quality, scoring, simhash, substring_dedup, suffix_dedup
 from coterie.llm.bpe import WordBpe, encode, read_file, token_digests
 from coterie.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from coterie.llm.lexicon import Transducer, compile_words
@@ -257,6 +257,21 @@ def test_scores_and_held_out_gain(docs, rows):
     assert sorted(found, key=str) == sorted(expected, key=str)
 
 
+def test_totals_beyond_32_bits():
+    import numpy as np
+    import pyarrow as pa
+
+    keys = np.array([3, 1 << 63], np.uint64)
+    asked = [exchange.request(block, keys, np.array([3_000_000_000, 1]), None, 1) for block in (0, 1)]
+    answers = exchange._answer(pa.Table.from_batches([exchange.request_batch(asked)]))
+    for block, first in ((0, True), (1, False)):
+        own = answers.filter(pa.compute.equal(answers["block"], block))
+        totals, firsts = exchange.totals_of(keys, own, 1)
+        assert totals.tolist() == [6_000_000_000, 2] and firsts.tolist() == [first] * 2
+    sums = [b.to_pylist() for b in scoring._sums(answers.to_batches())]
+    assert sum(r["n"] for rows in sums for r in rows) == 6_000_000_002
+
+
 def test_probabilities_sum_to_one():
     import numpy as np
 
