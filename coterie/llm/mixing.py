@@ -11,6 +11,8 @@ from .text import n_words, whole
 
 # Slots of a source's hash range in which sizes are summed before the fractional repetition is cut.
 SLOTS = 4096
+# Equal rows that are numbered in one array.
+_DEALT = 10_000
 
 
 def _targets(sources: Saved, share: float, most: float, scratch: Scratch) -> Saved:
@@ -53,22 +55,25 @@ def mix(
     ``share`` times all sizes; no source is to give more than ``epochs`` times its size, and what it
     cannot give goes to the others by weight. Each document is taken the whole number of
     times that its source repeats. The rest of the target is one more pass over a seeded sample: documents lie at
-    a hash position, slots of positions are summed, and the pass stops where the sums reach the
+    a hash position (of the id, the whole text and a number among equal rows), slots of positions are summed, and the pass stops where the sums reach the
     rest; inside the slot where that happens, at the same share of its positions. Texts without words
     have size 0 and give nothing; rows that are there twice count twice. No document is repeated more
     than ``epochs`` times, rounded up.
     """
     spark = docs.sparkSession
     with Scratch(spark) as scratch:
-        place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", F.length(whole()), F.substring(whole(), 1, 64)), F.lit(1 << 40))
         raw = [F.sha2(whole(), 256).alias("raw_sha256")] if with_raw else []
-        sized = scratch.save(
-            docs.select(
-                F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(whole()).alias("size"),
-                place.alias("place"), *raw,
-            ),
-            keep=True,
+        rows = docs.select(
+            F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(whole()).alias("size"),
+            F.xxhash64(whole()).alias("of_text"), *raw,
         )
+        # Equal rows are folded ahead of the shuffle and dealt out again, each with a number and so with a place of its own.
+        alike = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
+        several = alike.withColumn("low", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(_DEALT).cast("long"))))
+        numbered = several.withColumn("number", F.explode(F.sequence(F.col("low"), F.least(F.col("n"), F.col("low") + _DEALT) - 1)))
+        place = F.pmod(F.xxhash64(F.lit(seed), "doc_id", "of_text", "number"), F.lit(1 << 40))
+        kept = [c for c in rows.columns if c != "of_text"]
+        sized = scratch.save(numbered.select(*kept, place.alias("place")), keep=True)
         sums = scratch.save(sized.df.groupBy("source").agg(F.sum("size").cast("long").alias("source_size")))
         ranked = with_rank(sums.df, [F.col("source").asc_nulls_last()], "rank", scratch)
         weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.col("rank") - 1, F.lit(len(weights))).cast("int") + 1)

@@ -401,6 +401,21 @@ def test_mix(docs, rows):
     assert all(r.taken <= 2 * r["size"] for r in found) and len(found) == len(rows)
 
 
+def test_mix_meets_its_targets_with_many_equal_rows(spark):
+    rows = [(None, "one two three", "a")] * 600 + [(k, "four five", "a") for k in range(60)]
+    head = "x" * 80
+    rows += [(None, f"{head} {k:04}", "b") for k in range(600)] + [(None, "six", None)] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    for share in (0.4, 0.7, 1.3):
+        found = mixing.mix(docs, share=share).collect()
+        assert len(found) == len(rows)
+        for target in {(r.source_size, r.target) for r in found}:
+            taken = sum(r.taken for r in found if (r.source_size, r.target) == target)
+            assert abs(taken - target[1]) <= 8, (share, target, taken)
+        again = mixing.mix(docs.repartition(7), share=share).collect()
+        assert sorted(map(tuple, found), key=str) == sorted(map(tuple, again), key=str)
+
+
 def test_simhash(docs, rows, monkeypatch):
     prints = []
     for doc, text, _ in rows:
