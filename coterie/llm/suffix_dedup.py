@@ -1,10 +1,10 @@
-"""Removal of repeated byte strings by bucket-pointer refinement.
+"""Removal of repeated byte strings by anchored window hashes; no bucket-pointer refinement.
 
-Strings are bucketed by a gram of 40 bytes at sampled anchors; a bucket with one member is done. The bucket
-identifier of a longer string is made of those of its parts at later offsets: 80 bytes of two of 40, 160 of two
-of 80, and 200 of one of 160 and one of 40, each level reusing the identifiers that the one before has left for all
-offsets. Identifiers are 64-bit hashes, so buckets are the same in all partitions, and owners of ranges of
-identifiers sort them and count their members.
+Windows that share a sampled anchor are a run. The grams of 40 bytes at anchors and the whole runs are counted over the corpus by their
+hashes: a run that occurs twice as a whole is repeated, one whose gram occurs nowhere else is done. Only in the runs left
+open are single windows counted, by a hash of all 200 bytes. That hash is put together from those of 40, 80 and 160
+bytes, which is arithmetic inside a block: these lengths are neither sorted nor looked up. Owners of ranges of the
+64-bit hashes count them.
 """
 
 from __future__ import annotations
