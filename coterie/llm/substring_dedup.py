@@ -1,8 +1,9 @@
-"""Removal of word windows that occur earlier, by level-wise doubling.
+"""Removal of word windows that occur earlier, by anchored hashes with one check of half windows.
 
-Windows of half the length are looked up at sampled anchors that every full window contains; those that occur once are
-dropped. Only what is left is extended to twice the length and looked up again, with the place of its first
-occurrence.
+Windows of half the length are looked up at sampled anchors that every full window contains, together with the whole
+runs of windows at an anchor. A run that occurs earlier as a whole is settled, one whose half window occurs once is dropped. Only in
+what is left are full windows looked up, with the place of their first occurrence. Whatever the length, there is this
+one step from half to full and no loop over levels.
 """
 
 from __future__ import annotations
