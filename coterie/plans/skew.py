@@ -9,25 +9,27 @@ from .limits import limit, partitions
 from .scratch import Saved, Scratch, size
 
 
-def _fits(table: Saved, scratch: Scratch) -> bool:
+def _fits(table: Saved, scratch: Scratch, most: int | None = None) -> bool:
     """Whether a table is small enough to broadcast, by its rows and by the files it was saved in."""
-    if table.rows > limit(scratch.spark, "broadcastRows"):
+    rows = limit(scratch.spark, "broadcastRows")
+    if table.rows > (rows if most is None else min(rows, most)):
         return False
     return not table.path or size(scratch.spark, table.path) <= limit(scratch.spark, "broadcastBytes")
 
 
 def lookup_join(
-    big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner"
+    big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner", most: int | None = None
 ) -> DataFrame:
     """Join ``big`` to a table with few rows per key (usually one).
 
     A table counted to be small is broadcast. Beyond that size the hot keys of ``big`` are
     found by a pre-aggregated count; by the pigeonhole principle there are at most ``hotKeys``
     of them, so their table rows are broadcast and only the even rest is shuffled. As ``big`` is
-    then read three times, it is written first unless it is a saved step already.
+    then read three times, it is written first unless it is a saved step already. ``most`` lowers the number
+    of rows that may be broadcast, for tables with wide rows.
     """
     spark = scratch.spark
-    if _fits(table, scratch):
+    if _fits(table, scratch, most):
         rows = big.df if isinstance(big, Saved) else big
         return rows.join(F.broadcast(table.df), on, how)
     if not isinstance(big, Saved):
