@@ -38,6 +38,10 @@ _ENDS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_ENDS + b"\t", _BREAK * len(_ENDS) + b" ").translate(
     bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 )
+# Bits of a gram's name for its code in a block, for the block in its partition and for the partition.
+_CODE_BITS, _BLOCK_BITS, _PART_BITS = 31, 12, 20
+# Rows of grams, with their words, that may be broadcast.
+_SMALL = 50_000
 _RELATION = "block long, lang string, tokens long, places binary, codes binary"
 _WORDS = f"{_RELATION}, words array<string>, counts array<long>"
 _GRAMS = f"{_RELATION}, firsts array<long>, seconds array<long>, counts array<long>"
@@ -57,6 +61,8 @@ def _occurrences(block_tokens: int):
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, made, size, held = TaskContext.get().partitionId(), 0, 0, {}
+        if part >> _PART_BITS:
+            raise ValueError("more partitions than names of blocks")
 
         def out() -> pa.RecordBatch:
             nonlocal made, size, held
@@ -67,7 +73,9 @@ def _occurrences(block_tokens: int):
                 places = np.flatnonzero(codes != words.index(_BREAK).as_py())
                 codes, counts = codes[places], np.bincount(codes, minlength=len(words))
                 counts[words.index(_BREAK).as_py()] = 0
-                rows.append((part << 32 | made, lang, len(places), squeeze(places.astype(np.int32)), squeeze(codes),
+                if made >> _BLOCK_BITS:
+                    raise ValueError("more text in a partition than names of blocks")
+                rows.append((part << _BLOCK_BITS | made, lang, len(places), squeeze(places.astype(np.int32)), squeeze(codes),
                              words.cast(pa.string()).to_pylist(), counts.tolist()))
                 made += 1
             size, held = 0, {}
@@ -115,25 +123,20 @@ def _extend(key: tuple, relation: pa.Table, frequent: pa.Table) -> pa.Table:
     return pa.table({n: pa.array(v, kinds.get(n, pa.list_(pa.int64()))) for n, v in rows.items()})
 
 
-def _frequent(relation: Saved, names: list[str], min_count: int) -> DataFrame:
-    """Grams that occur often enough, by the sums of what each block counted."""
-    zipped = F.inline(F.arrays_zip(*names, "counts"))
-    by = ["lang", *names]
-    return (
-        relation.df.select("lang", zipped).where("counts > 0").groupBy(*by).agg(F.sum("counts").alias("a"))
-        .where(F.col("a") >= min_count).withColumn("id", F.monotonically_increasing_id())
-    )
-
+def _frequent(relation: Saved, names: list[str], min_count: int, scratch: Scratch) -> Saved:
+    """``(block, code, id, a, lang, *names)``: the grams of each block that are frequent in all blocks together.
 
-def _coded(relation: Saved, names: list[str], frequent: Saved, scratch: Scratch) -> DataFrame:
-    """``(block, code, id)``: what the frequent grams are called in each block."""
-    again = scratch.read(relation.path, relation.df.schema)
-    grams = again.select("block", "lang", F.posexplode(F.arrays_zip(*names)).alias("code", "gram")).select(
-        "block", "code", "lang", *[F.col("gram")[n].alias(n) for n in names]
-    )
-    by = ["lang", *names]
-    small = frequent.select(*by, "id")
-    return lookup_join(grams, small, by, scratch).select("block", "code", "id")
+    One shuffle by gram serves the group-count and the semi-join: every row, a gram of a block with its count there, meets
+    the sum of its gram. A gram is named by the first block that has it and by its code there.
+    """
+    rows = relation.df.select("block", "lang", F.posexplode(F.arrays_zip(*names, "counts")).alias("code", "gram")).select(
+        "block", "code", "lang", *[F.col("gram")[n].alias(n) for n in (*names, "counts")]
+    ).where("counts > 0")
+    # Ids are not shared by languages, words are.
+    same = Window.partitionBy(*names, *(["lang"] if names == ["words"] else []))
+    own = F.shiftleft("block", _CODE_BITS).bitwiseOR(F.col("code").cast("long"))
+    counted = rows.withColumn("a", F.sum("counts").over(same)).withColumn("id", F.min(own).over(same))
+    return scratch.save(counted.where(F.col("a") >= min_count).drop("counts").withColumn("named", own == F.col("id")))
 
 
 def _shortest_cut() -> Column:
@@ -161,28 +164,27 @@ def mined(docs: DataFrame, longest: int, min_count: int, scratch: Scratch) -> tu
     )
     relation = scratch.save(texts.mapInArrow(_occurrences(BLOCK_TOKENS), _WORDS))
     sizes = scratch.save(relation.df.groupBy("lang").agg(F.sum("tokens").alias("n"))).df
-    names = ["words"]
+    frequent = _frequent(relation, ["words"], min_count, scratch)
     none = F.array().cast("array<bigint>")
     levels = [scratch.save(
-        _frequent(relation, names, min_count)
-        .select("lang", "id", "words", "a", F.col("words").alias("phrase"), F.col("words").alias("last"),
-                none.alias("prefixes"), none.alias("suffixes"))
+        frequent.df.where("named").select("lang", "id", F.col("words").alias("phrase"), F.col("words").alias("last"), "a",
+                                          none.alias("prefixes"), none.alias("suffixes"))
     )]
-    found = levels[0]
     for _ in range(longest - 1):
-        if not found.rows:
+        if not frequent.rows:
             break
-        coded = _coded(relation, names, found, scratch)
         relation = scratch.save(
             relation.df.select("block", "lang", "places", "codes").groupBy("block")
-            .cogroup(coded.groupBy("block")).applyInArrow(_extend, _GRAMS)
+            .cogroup(frequent.df.select("block", "code", "id").groupBy("block")).applyInArrow(_extend, _GRAMS)
         )
-        names = ["firsts", "seconds"]
+        frequent = _frequent(relation, ["firsts", "seconds"], min_count, scratch)
+        found = scratch.save(frequent.df.where("named").select("lang", "id", "firsts", "seconds", "a"))
         shorter = levels[-1]
-        found = scratch.save(_frequent(relation, names, min_count))
         part = lambda side, *more: shorter.select(f"id AS {side}s", f"a AS {side}_a", *more)
-        one = lookup_join(found, part("first", "phrase AS first_phrase", "prefixes AS first_prefixes"), ["firsts"], scratch)
-        both = lookup_join(one, part("second", "last", "suffixes AS second_suffixes"), ["seconds"], scratch)
+        one = lookup_join(
+            found, part("first", "phrase AS first_phrase", "prefixes AS first_prefixes"), ["firsts"], scratch, most=_SMALL
+        )
+        both = lookup_join(one, part("second", "last", "suffixes AS second_suffixes"), ["seconds"], scratch, most=_SMALL)
         levels.append(scratch.save(both.select(
             "lang", "id", F.concat_ws(" ", "first_phrase", "last").alias("phrase"), "last", "a",
             F.concat("first_prefixes", F.array("first_a")).alias("prefixes"),
@@ -203,7 +205,7 @@ def _uncovered(grams: Saved, longer: Saved | None, scratch: Scratch) -> DataFram
         longer.df.select(F.explode(F.array("first", "second")).alias("id"), F.col("a").alias("longer"))
         .groupBy("id").agg(F.max("longer").alias("longer"))
     )
-    marked = lookup_join(grams, around, ["id"], scratch, "left")
+    marked = lookup_join(grams, around, ["id"], scratch, "left", most=_SMALL)
     exact = lambda c: F.col(c).cast("decimal(20,0)")
     return marked.where(F.col("longer").isNull() | (100 * exact("longer") < COVERED * exact("a"))).drop("longer")
 
