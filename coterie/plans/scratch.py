@@ -57,6 +57,11 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def exists(spark: SparkSession, folder: str) -> bool:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
+
+
 def size(spark: SparkSession, folder: str) -> int:
     """Bytes of all files in a folder."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)

@@ -5,6 +5,7 @@ import pytest
 
 import coterie as ct
 from conftest import G7, G11
+from coterie.operators import paths
 from plain import betweenness, distances
 
 G11_SCORES = {
@@ -55,6 +56,94 @@ def test_batches_of_sources_change_nothing(graph, limits, forced):
     assert found == pytest.approx({e: a / b for e, (a, b) in G11_SCORES.items()})
 
 
+@pytest.mark.parametrize("forced", [{}, WIDE], ids=["local", "wide"])
+def test_full_packs(spark, graph, limits, monkeypatch, forced):
+    """Several sources to a row, the last pack not full, sources at different depths of a vertex."""
+    monkeypatch.setattr(paths, "_PACKS_EACH", 1)
+    edges = _hub(3)
+    with limits(**{**forced, "rowsPerTask": 1000}):
+        assert _scores(ct.edge_betweenness(graph(edges))) == pytest.approx({e: float(s) for e, s in betweenness(edges).items()})
+        assert _states(ct.shortest_path_counts(graph(edges), ct.vertices(graph(edges)))) == distances(edges)
+        with paths.Scratch(spark) as scratch:
+            near = paths._neighbours(graph(edges), scratch)
+            assert paths._packs(near, None, scratch).width > 3
+
+
+def _sparse(seed, n=22, m=24):
+    """Random sparse edges: trees that hang off cycles, whole trees, single edges and several components."""
+    pick = random.Random(seed)
+    return sorted({tuple(sorted(pick.sample(range(n), 2))) for _ in range(m)} | {(n, n + 1), (n + 2, n + 3), (n + 3, n + 4)})
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_pendant_trees(graph, seed):
+    edges = _sparse(seed, m=18 + 4 * seed)
+    found = _scores(ct.edge_betweenness(graph(edges)))
+    assert found == pytest.approx({e: float(s) for e, s in betweenness(edges).items()})
+
+
+def test_leaves_go_until_few_are_left(spark, graph):
+    edges = [(1, 2), (1, 3), (2, 3), (3, 4), (4, 5), (4, 6), (8, 9)]
+    with paths.Scratch(spark) as scratch:
+        left, leaves, hefts = paths._without_leaves(graph(edges), scratch)
+        assert sorted(map(tuple, left.df.collect())) == [(1, 2), (1, 3), (2, 3)]
+        assert [sorted(map(tuple, x.df.collect())) for x in leaves] == [[(5, 4, 1.0), (6, 4, 1.0), (8, 9, 1.0)], [(4, 3, 3.0)]]
+        assert sorted(map(tuple, hefts.df.collect())) == [(3, 4.0), (4, 3.0), (9, 2.0)]
+
+
+class Lost(Exception):
+    pass
+
+
+def _stops_after(monkeypatch, batches):
+    """Lose the driver when a batch after the first ``batches`` begins."""
+    real, begun = paths._search, []
+
+    def search(*arguments):
+        begun.append(1)
+        if len(begun) > batches:
+            raise Lost()
+        return real(*arguments)
+
+    monkeypatch.setattr(paths, "_search", search)
+    return begun
+
+
+@pytest.mark.parametrize("query", ["scores", "counts", "credit"])
+def test_a_lost_run_goes_on_after_its_last_complete_batch(spark, graph, monkeypatch, tmp_path, query):
+    edges = graph([(1, 2), (1, 3), (2, 3), (3, 4)])
+    everyone = ct.vertices(edges)
+    run = {
+        "scores": lambda **more: ct.edge_betweenness(edges, **more),
+        "counts": lambda **more: ct.shortest_path_counts(edges, everyone, **more),
+        "credit": lambda **more: ct.source_edge_credit(edges, everyone, **more),
+    }[query]
+    rows = lambda df: sorted(tuple(round(x, 9) for x in r) for r in df.collect())
+    expected, folder = rows(run()), str(tmp_path / "run")
+    with monkeypatch.context() as patch:
+        _stops_after(patch, 1)
+        with pytest.raises(Lost):
+            run(batches=2, resume=folder)
+    # A batch that was written but not noted is run again.
+    spark.range(3).write.parquet(f"{folder}/rows/batch=1")
+    with monkeypatch.context() as patch:
+        begun = _stops_after(patch, 9)
+        assert rows(run(batches=2, resume=folder)) == expected
+        assert len(begun) == 1
+        assert rows(run(resume=folder)) == expected and len(begun) == 1
+    with pytest.raises(ValueError):
+        ct.edge_betweenness(graph(G7), resume=folder)
+
+
+def test_credit_takes_two_expansions(spark, graph, monkeypatch):
+    """One round down and one up for each level, and nothing that follows all edges once more."""
+    seen = []
+    real = paths._Neighbours.expand
+    monkeypatch.setattr(paths._Neighbours, "expand", lambda self, states: seen.append(1) or real(self, states))
+    ct.edge_betweenness(graph([(1, 2), (2, 3), (3, 4), (4, 5), (5, 6), (1, 6)])).collect()
+    assert len(seen) == 2 * 3 + 1  # three levels each way, and the one that finds nothing
+
+
 @pytest.mark.parametrize("forced", [{}, WIDE], ids=["local", "wide"])
 def test_credit_of_one_source(spark, graph, limits, forced):
     start = spark.createDataFrame([(1,), (1,), (77,)], "vertex long")
@@ -108,14 +197,12 @@ def test_repeated_and_turned_edges_change_nothing(spark):
 
 
 def test_too_many_paths_are_an_error(spark):
-    from coterie.operators import paths
-
     with pytest.raises(OverflowError):
         edges = spark.createDataFrame([(1, 2)], "src long, dst long")
         with paths.Scratch(spark) as scratch:
             near = paths._neighbours(edges, scratch)
-            roots = paths._roots(near, None).withColumn("sigma", paths.F.lit(float("inf")))
-            paths._search(near, roots, scratch)
+            packs = paths._packs(near, None, scratch)
+            paths._search(near, packs.roots().withColumn("s0", paths.F.lit(float("inf"))), packs.width, scratch)
 
 
 def test_large_scores_have_one_order(spark):
