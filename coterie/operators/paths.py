@@ -22,7 +22,7 @@ from collections.abc import Callable
 from contextlib import contextmanager
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
@@ -162,14 +162,12 @@ def _packs(near: _Neighbours, sources: DataFrame | None, scratch: Scratch, width
     found = near.df.groupBy(F.col("to").alias("source")).agg(F.max("blocks").alias("blocks"), F.max("heft").alias("own"))
     if sources is not None:
         found = found.join(sources.select(F.col("vertex").alias("source")).distinct(), "source", "left_semi")
-    ranked = scratch.save(with_rank(found, [F.col("own"), F.col("source")], "rank", scratch).withColumn("rank", F.col("rank") - 1))
-    width = width or min(PACK, max(1, ranked.rows // (near.parts * _PACKS_EACH)))
+    width = width or min(PACK, max(1, found.count() // (near.parts * _PACKS_EACH)))
+    ranked = with_rank(found, [F.col("own"), F.col("source")], "rank", scratch).withColumn("rank", F.col("rank") - 1)
     # A run of ranks with one weight; it is named by its first rank.
     run = F.floor(F.col("rank") / width)
-    firsts = ranked.df.groupBy(run.alias("run"), "own").agg(F.min("rank").alias("pack"))
-    cut = ranked.df.withColumn("run", run).join(firsts, ["run", "own"]).select(
-        "source", "pack", (F.col("rank") % width).cast("int").alias("slot"), "own", "blocks"
-    )
+    first = F.min("rank").over(Window.partitionBy(run, "own"))  # at most ``width`` rows
+    cut = ranked.select("source", first.alias("pack"), (F.col("rank") % width).cast("int").alias("slot"), "own", "blocks")
     return _Packs(scratch.save(cut), width)
 
 
@@ -481,7 +479,7 @@ def edge_betweenness(
             core, leaves, hefts = _without_leaves(edges, scratch)
             edges = mark_simple(core.df)
         sums = _in_batches("betweenness", edges, sources, batches, resume, scratch, _edge_sums, hefts)
-        summed = scratch.save(sums.groupBy("src", "dst").agg(F.expr("sum(credit) AS credit")))
+        summed = scratch.settle(sums.groupBy("src", "dst").agg(F.expr("sum(credit) AS credit")), edges.count() if leaves else 0)
         scores = summed.df.where("dst IS NOT NULL").select("src", "dst", (F.col("credit") / 2).alias("score"))
         if leaves:
             reach = Saved(summed.df.where("dst IS NULL").select(F.col("src").alias("vertex"), F.col("credit").alias("others")), summed.rows, summed.path)
