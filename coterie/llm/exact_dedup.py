@@ -158,8 +158,8 @@ def exact_dedup(docs: DataFrame, with_raw: bool = False) -> DataFrame:
         )
         if (verified.metrics["unlike"] or 1) > 1:
             raise ValueError("two different texts have the same SHA-256")
-        # The greatest struct: most code points, then smallest id (the negated null is least), then first row.
-        rank = F.max(F.struct("points", (-F.col("doc_id")).alias("neg"), (-F.col("row")).alias("back"), "doc_id", "row"))
+        # The greatest struct: most code points, then smallest id (a null is least; turned bits cannot overflow), then first row.
+        rank = F.max(F.struct("points", F.bitwise_not("doc_id").alias("neg"), F.bitwise_not("row").alias("back"), "doc_id", "row"))
         # Summed before the shuffle, so that a group with very many copies is a row per task.
         groups = (
             keys.df.groupBy("fp", "text_sha256").agg(F.count(F.lit(1)).alias("held"), rank.alias("best"))

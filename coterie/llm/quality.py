@@ -92,7 +92,7 @@ def host_verdicts(measured: DataFrame, worst: float = 0.5) -> DataFrame:
     rate = F.col("n_failed") / F.col("n_docs")
     moments = hosts.agg(
         F.sum("n_docs").alias("n"), F.sum("n_failed").alias("k"), F.count(F.lit(1)).alias("hosts"),
-        F.sum(F.col("n_failed") * rate).alias("squares"), F.sum(F.col("n_docs") * F.col("n_docs")).cast("double").alias("sizes"),
+        F.sum(F.col("n_failed") * rate).alias("squares"), F.sum(F.col("n_docs").cast("double") * F.col("n_docs")).alias("sizes"),
     )
     mean = F.col("k") / F.col("n")
     # Weighted between-host variance less its part from sampling.

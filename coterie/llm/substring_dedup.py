@@ -19,6 +19,8 @@ from .blocks import packed
 from .repeats import PIECE, Rolling, Shape, _UP, _DOWN, per_document, removed, together
 
 WINDOW = 20
+# Bytes from which a word has a cryptographic hash. Sums over bytes take some built words of 1,024 letters and more for one.
+_LONG_WORD = 256
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -31,7 +33,7 @@ def _word_places(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 
 def word_hashes(text: bytes) -> np.ndarray:
-    """A 64-bit hash of each word, from sums over its bytes; a piece of the text at a time."""
+    """A 64-bit hash of each word: from sums over its bytes, a piece of the text at a time, and by BLAKE2 for long words."""
     start, end = _word_places(text)
     if not len(start):
         return np.zeros(0, np.uint64)
@@ -41,14 +43,14 @@ def word_hashes(text: bytes) -> np.ndarray:
     while at < len(start):
         to = max(at + 1, int(np.searchsorted(end, start[at] + PIECE, "right")))
         low, high = int(start[at]), int(end[to - 1])
-        if high - low > PIECE:  # one very long word
-            out[at] = int.from_bytes(hashlib.blake2b(text[low:high], digest_size=8).digest(), "little")
-        else:
+        if high - low <= PIECE:  # else it is one long word
             sums = np.zeros(high - low + 1, np.uint64)
             np.cumsum((raw[low:high].astype(np.uint64) + np.uint64(1)) * _UP[: high - low], out=sums[1:])
             s, e = start[at:to] - low, end[at:to] - low
             out[at:to] = together((sums[e] - sums[s]) * _DOWN[s], (e - s).astype(np.uint64))
         at = to
+    for k in np.flatnonzero(end - start >= _LONG_WORD).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(text[start[k] : end[k]], digest_size=8).digest(), "little")
     return out
 
 

@@ -448,3 +448,57 @@ def test_bit_sliced_distances():
     for radius in (1, 2, 3, 5):
         hits = simhash._lanes(simhash.within_radius(simhash._planes(values), radius), 300)
         assert hits.tolist() == [k for k, v in enumerate(values) if int(v).bit_count() <= radius]
+
+
+def _built_words(length):
+    """Two words that differ in every letter and that sums of powers of an odd base modulo 2^64 take for one."""
+    bits = [bin(k).count("1") % 2 for k in range(length)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("length", [1024, 2048, 4096])
+def test_built_words_are_told_apart(spark, length):
+    one, other = _built_words(length)
+    common = " ".join(f"w{k}" for k in range(19))
+    rows = [(1, f"{common} {one}"), (2, f"{common} {other}"), (3, f"{common} {one}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert [r.n_removed for r in sorted(substring_dedup.substring_dedup(docs).collect())] == [0, 0, 20]
+    ids = [k for k in range(99) if not scoring.held_out(k)][:1] + [k for k in range(99) if scoring.held_out(k)][:2]
+    docs = spark.createDataFrame(list(zip(ids, (one, other, one))), "doc_id long, text string")
+    assert {r.doc_id: r.n_known for r in scoring.score(docs).collect()} == {ids[0]: 2, ids[1]: 1, ids[2]: 2}
+
+
+def test_exact_dedup_of_the_smallest_id(spark):
+    low = -(1 << 63)
+    docs = spark.createDataFrame([(5, "a b"), (low, "ab "), (None, "a b"), (low, "x")], "doc_id long, text string")
+    found = _rows(exact_dedup(docs), "doc_id", "keep_id", "kept")
+    assert sorted(found, key=str) == sorted([(5, low, False), (low, low, True), (None, low, False), (low, low, True)], key=str)
+
+
+def test_symbols_and_verdicts_of_hosts(spark):
+    """Counts of symbols, and ``kept`` against a plain version of the shrunk rates."""
+    rng = random.Random(4)
+    plain = lambda n: " ".join("".join(rng.choice("abcdef") for _ in range(rng.randint(3, 8))) for _ in range(n))
+    rows = []
+    for host, share, n in (("bad", 0.9, 30), ("good", 0.1, 30), (None, 0.8, 10), ("tiny", 1.0, 1), ("clean", 0.0, 25)):
+        for k in range(n):
+            noisy = k < share * n
+            noise = "".join(" " + "".join(rng.choices("#*$%&|<>", k=4)) for _ in range(12))
+            rows.append((len(rows), plain(30) + (noise if noisy else "") if k else "short #", host))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    soft, hosts = {}, {}
+    for doc, text, host in rows:
+        words = WORD.findall(text)
+        symbols = sum(c in "#*$%&|<>" for c in text)
+        soft[doc] = (len(words) < 10, symbols * 10 > len(words), symbols)
+        hosts.setdefault(host, []).append(any(soft[doc][:2]))
+    n, k = sum(map(len, hosts.values())), sum(map(sum, hosts.values()))
+    mean = k / n
+    squares, sizes = sum(sum(h) ** 2 / len(h) for h in hosts.values()), sum(len(h) ** 2 for h in hosts.values())
+    between = squares - n * mean * mean - (len(hosts) - 1) * mean * (1 - mean)
+    spread = max(between / max(n - sizes / n, 1e-9), 1e-9)
+    strength = max(1.0, min(1e6, mean * (1 - mean) / spread - 1))
+    bad = {host for host, h in hosts.items() if (sum(h) + mean * strength) / (len(h) + strength) > 0.5}
+    assert "bad" in bad and "good" not in bad
+    expected = {doc: (soft[doc][2], not (soft[doc][0] or (soft[doc][1] and host in bad))) for doc, _, host in rows}
+    assert {r.doc_id: (r.n_symbols, r.kept) for r in quality.quality(docs).collect()} == expected
