@@ -29,6 +29,8 @@ from .lexicon import Transducer, compile_words
 LEXICON_WORDS = 60_000
 # Words that a task keeps looked up, and counts before it sends them on.
 HELD_WORDS = 500_000
+# Code points of the words that are counted, compiled and kept; longer ones are merged whenever they come.
+LONGEST = 64
 # Blocks of Unicode on which the regex and unicodedata modules agree with the tokenizer's own tables (tested for
 # every code point); a text with any other character is normalised and split by the tokenizer's parts.
 _COMMON = regex.compile("[\\x00-ԯ‐-‧€]*+")
@@ -62,7 +64,8 @@ class WordBpe:
         others = (b for b in range(256) if b not in set(plain))
         self._byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
         self._lexicon = Transducer(code) if code else None
-        self._held: dict[str, bytes] = {}
+        # Of words seen: the ids and the text that they decode to.
+        self._held: dict[str, tuple[bytes, bytes]] = {}
 
     def words(self, piece: str) -> list[str]:
         """The words of a text without added tokens, normalised."""
@@ -77,7 +80,7 @@ class WordBpe:
 
     def pieces(self, text: str) -> list[str]:
         """The text cut at added tokens, which have the odd places."""
-        return self._added.split(text) if "<|" in text else [text]
+        return self._added.split(text) if any(token in text for token in self.added) else [text]
 
     def merge(self, word: str) -> list[int]:
         """The ids of one word by its merges."""
@@ -96,14 +99,17 @@ class WordBpe:
             ids[at : at + 2] = [best[1]]
         return ids
 
-    def _look_up(self, word: str) -> bytes:
+    def _both(self, ids: array) -> tuple[bytes, bytes]:
+        return ids.tobytes(), self.decode(ids).encode("utf-8", "surrogatepass")
+
+    def _look_up(self, word: str) -> tuple[bytes, bytes]:
         ids = self._lexicon.get(word.encode("utf-8", "surrogatepass")) if self._lexicon else None
-        code = array("I", self.merge_long(word) if ids is None else ids).tobytes()
+        both = self._both(array("I", self.merge_long(word) if ids is None else ids))
         if len(self._held) >= HELD_WORDS:
             self._held.clear()
-        if len(word) <= 64:
-            self._held[word] = code
-        return code
+        if len(word) <= LONGEST:
+            self._held[word] = both
+        return both
 
     def merge_long(self, word: str) -> list[int]:
         """As merge(); a long word goes through a heap, whose work grows with n log n only."""
@@ -135,15 +141,22 @@ class WordBpe:
                 heappush(heap, (found[0], p, ids[p], made, found[1]))
         return [i for i in ids if i >= 0]
 
-    def encode(self, text: str) -> array:
+    def both(self, text: str) -> tuple[bytes, bytes]:
+        """The ids of a text as little-endian unsigned 32-bit integers, and the UTF-8 text that they decode to.
+
+        Decoding joins tokens by spaces, so it joins what the words decode to.
+        """
         held, look_up = self._held, self._look_up
         out = []
         for k, piece in enumerate(self.pieces(text)):
             if k % 2:
-                out.append(array("I", [self.added[piece]]).tobytes())
+                out.append(self._both(array("I", [self.added[piece]])))
             else:
                 out += [held[w] if w in held else look_up(w) for w in self.words(piece)]
-        return array("I", b"".join(out))
+        return b"".join([ids for ids, _ in out]), b" ".join([decoded for _, decoded in out])
+
+    def encode(self, text: str) -> array:
+        return array("I", self.both(text)[0])
 
     def decode(self, ids: array) -> str:
         """The tokens joined by spaces: the description names no decoder."""
@@ -187,7 +200,7 @@ def build_lexicon(docs: DataFrame, description: str, size: int = LEXICON_WORDS)
     sent = spark.sparkContext.broadcast(description)
     with Scratch(spark) as scratch:
         counts = scratch.save(
-            docs.select("text").mapInArrow(_counted(sent), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+            docs.select("text").mapInArrow(_counted(sent), "word string, n long").where(F.length("word") <= LONGEST).groupBy("word").agg(F.sum("n").alias("n"))
             .withColumn("level", F.floor(F.log2("n") * 64))
         )
         # At most 64 levels per doubling, so the driver sees a few thousand sums before it asks for words.
@@ -208,10 +221,10 @@ def _encoded(description, code, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(description.value, code.value)
         for batch in batches:
-            ids = [model.encode(text.as_py() or "") for text in batch.column("text")]
-            out = {"doc_id": batch.column("doc_id"), "ids": pa.array([x.tobytes() for x in ids], pa.binary())}
+            both = [model.both(text.as_py() or "") for text in batch.column("text")]
+            out = {"doc_id": batch.column("doc_id"), "ids": pa.array([ids for ids, _ in both], pa.binary())}
             if decoded:
-                out["decoded"] = pa.array([model.decode(x) for x in ids], pa.string())
+                out["decoded"] = pa.array([text for _, text in both], pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_pydict(out)
 
     return encode
@@ -223,10 +236,10 @@ def _digested(description, code):
         for batch in batches:
             counts, ids_sha, decoded_sha = [], [], []
             for text in batch.column("text"):
-                ids = model.encode(text.as_py() or "")
-                counts.append(len(ids))
-                ids_sha.append(hashlib.sha256(ids.tobytes()).hexdigest())
-                decoded_sha.append(hashlib.sha256(model.decode(ids).encode("utf-8", "surrogatepass")).hexdigest())
+                ids, decoded = model.both(text.as_py() or "")
+                counts.append(len(ids) // 4)
+                ids_sha.append(hashlib.sha256(ids).hexdigest())
+                decoded_sha.append(hashlib.sha256(decoded).hexdigest())
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch.column("doc_id"), "n_tokens": pa.array(counts, pa.int64()),
                 "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string()),
