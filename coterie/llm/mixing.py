@@ -101,5 +101,5 @@ def mix(
         return sized.df.join(plan.df, F.col("source").eqNullSafe(F.col("of"))).select(
             "doc_id", "size", "source_size", F.col("target").cast("double").alias("target"),
             (F.col("size") * (F.col("passes") + once_more)).cast("long").alias("taken"),
-            *([(F.col("passes") + once_more).alias("copies"), "raw_sha256"] if with_raw else []),
+            *([(F.col("passes") + once_more).alias("copies"), "raw_sha256", "source"] if with_raw else []),
         )

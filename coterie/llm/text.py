@@ -50,16 +50,30 @@ def n_words(text: Column) -> Column:
     return F.when(bare == "", F.lit(0)).otherwise(gaps + 1).cast("long")
 
 
+def packed_rows(docs: DataFrame) -> DataFrame:
+    """``(id, sha, tie, row)``: each row whole, in one column, so that no name of its own columns can clash.
+
+    ``sha`` is the SHA-256 of its text (a null one as empty), ``tie`` a hash of all other columns.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    others = [c for c, (name, kind) in zip(columns, docs.dtypes) if name != "text" and "map<" not in kind]
+    return docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.sha2(whole(), 256).alias("sha"), F.xxhash64(*others).alias("tie"),
+        F.struct(*columns).alias("row"),
+    )
+
+
 def same_rows(docs: DataFrame, decisions: DataFrame, once: bool = False) -> DataFrame:
     """The rows of ``docs`` whose ``(doc_id, text)`` is in ``decisions (keep_doc, keep_sha)``.
 
     Texts are compared by SHA-256, so two rows that share an id but not a text are told apart. With
-    ``once`` a row that is there several times stays once. All columns of ``docs`` are returned.
+    ``once`` a row that is there several times stays once: of rows with equal id and text the one with the least
+    hash of its other columns. All columns of ``docs`` are returned, whatever their names.
     """
-    marked = docs.withColumn("__sha", F.sha2(whole(), 256))
+    marked = packed_rows(docs)
     joined = marked.join(
-        decisions.distinct(),
-        marked["doc_id"].eqNullSafe(F.col("keep_doc")) & (F.col("__sha") == F.col("keep_sha")),
-        "left_semi",
+        decisions.distinct(), marked["id"].eqNullSafe(F.col("keep_doc")) & (marked["sha"] == F.col("keep_sha")), "left_semi"
     )
-    return (joined.dropDuplicates(["doc_id", "__sha"]) if once else joined).drop("__sha")
+    if once:
+        joined = joined.groupBy("id", "sha").agg(F.min_by("row", "tie").alias("row"))
+    return joined.select("row.*")

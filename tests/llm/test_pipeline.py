@@ -34,3 +34,76 @@ def test_one_of_each_near_group_stays(spark):
 
     groups = {r.component_id for r in simhash_dedup(docs).collect()}
     assert {r.doc_id for r in corpus_pipeline.near_copies(spark, docs, "").collect()} == groups
+
+
+NAMES = "keep_doc string, keep_sha string, __sha string, __time string, __copies string, __doc string, row string, id string, `a.b` string"
+
+
+def test_columns_of_any_name_stay(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    own = tuple("abcdefghi")
+    rows = [(1, text, "s", *own), (2, text + " more", "s", *own), (None, text.upper() + " other", None, *own)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, source string, {NAMES}")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        found = {tuple(r) for r in out.collect()}
+        assert found and found <= set(rows)
+
+
+def test_stages_on_empty_and_null_tables(spark):
+    schema = "doc_id long, text string, source string"
+    for rows in ([], [(None, None, None)] * 2 + [(1, "", "a")]):
+        docs = spark.createDataFrame(rows, schema)
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, "").collect()
+            if name == "quality rules" or not rows:
+                assert out == []
+            elif name in ("exact dedup", "SimHash near-dedup"):
+                assert len(out) == 1
+            elif name == "mixing sources":
+                assert out == []
+            else:
+                assert [r.n_tokens for r in out] == [0, 0, 0]
+
+
+def test_one_of_equal_rows_is_always_the_same(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    rows = [(1, text, "a", k) for k in range(6)]
+    found = set()
+    for parts in (1, 3):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n int").repartition(parts)
+        found |= {tuple(r) for r in corpus_pipeline.exact_copies(spark, docs, "").collect()}
+    assert len(found) == 1
+
+
+def test_copies_stay_with_their_source(spark):
+    text = " ".join(f"word{k}" for k in range(60))
+    docs = spark.createDataFrame([(1, text, "a"), (1, text, "b")], "doc_id long, text string, source string")
+    from coterie.llm.mixing import mix
+
+    expected = sorted((r.source for r in mix(docs, with_raw=True).collect() for _ in range(r.copies)))
+    assert sorted(r.source for r in corpus_pipeline.mixed_sources(spark, docs, "").collect()) == expected
+    assert set(expected) == {"a", "b"}
+
+
+def test_the_whole_chain(spark, tmp_path):
+    """run() gives what its stages give one after the other, and its ids are those of the tokenizer."""
+    import struct
+
+    from tokenizers import Tokenizer
+
+    from coterie.llm.queries import tokenizer_path
+
+    texts = [" ".join(f"word{k}{j}" for k in range(30)) for j in range(12)]
+    rows = [(k, t, "en", "ab"[k % 2], len(t or "")) for k, t in enumerate(texts + texts[:4] + ["short", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    step = docs
+    for _, stage in corpus_pipeline.STAGES:
+        step = stage(spark, step, str(tmp_path))
+    found = sorted(map(tuple, corpus_pipeline.run(spark, str(tmp_path)).collect()))
+    assert found == sorted(map(tuple, step.collect())) and found
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    for doc, n, ids in found:
+        assert doc < 12 and list(struct.unpack(f"<{n}I", ids)) == tokenizer.encode(texts[doc], add_special_tokens=False).ids
