@@ -6,7 +6,6 @@ components by label spreading for every number of removed edges, modularity by s
 
 from __future__ import annotations
 
-import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,10 +15,11 @@ import coterie as ct
 from coterie.plans.scratch import Scratch
 
 # The operators for training data are an optional part.
-_llm = None
-if importlib.util.find_spec("coterie.llm") and importlib.util.find_spec("corpus_pipeline"):
+try:
     import corpus_pipeline
     from coterie.llm import queries as _llm
+except ImportError:
+    _llm = None
 
 # Shared hours that make an edge, chosen so that the test tables give graphs of a useful size.
 HOURS = 12
