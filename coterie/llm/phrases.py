@@ -11,6 +11,7 @@ number". A gram is one row per block and level, however often it occurs, so no g
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ TOP = 2000
 COVERED = 50
 # Tokens in a block, and bytes of text that are split at once (up to the next end of a piece).
 BLOCK_TOKENS = 1_000_000
+# Full blocks that the open blocks of all languages of a task may add up to.
+_ALL_BLOCKS = 6
 _CHUNK = 1 << 20
 _BREAK = b"."
 _ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -40,6 +43,8 @@ _TABLE = bytes.maketrans(_ENDS + b"\t", _BREAK * len(_ENDS) + b" ").translate(
 )
 # Bits of a gram's name for its code in a block, for the block in its partition and for the partition.
 _CODE_BITS, _BLOCK_BITS, _PART_BITS = 31, 12, 20
+# Slices of a language that are ranked apart, for each task's worth of rows.
+_SLICES = 16
 # Rows of grams, with their words, that may be broadcast.
 _SMALL = 50_000
 _RELATION = "block long, lang string, tokens long, places binary, codes binary"
@@ -60,25 +65,28 @@ def _occurrences(block_tokens: int):
     """Blocks of the occurrence relation of length one: sorted places with local word codes, the words and their counts."""
 
     def occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, size, held = TaskContext.get().partitionId(), 0, 0, {}
+        part, made = TaskContext.get().partitionId(), 0
         if part >> _PART_BITS:
             raise ValueError("more partitions than names of blocks")
+        # By language: codes of the words so far, the break being 0, and the tokens as codes.
+        held: dict[str, tuple[dict[bytes, int], array]] = {}
+        size = 0
 
-        def out() -> pa.RecordBatch:
-            nonlocal made, size, held
+        def out(langs: list[str]) -> pa.RecordBatch:
+            nonlocal made, size
             rows = []
-            for lang, tokens in held.items():
-                coded = pa.array(tokens, pa.binary()).dictionary_encode()
-                codes, words = coded.indices.to_numpy(), coded.dictionary
-                places = np.flatnonzero(codes != words.index(_BREAK).as_py())
-                codes, counts = codes[places], np.bincount(codes, minlength=len(words))
-                counts[words.index(_BREAK).as_py()] = 0
+            for lang in langs:
+                known, tokens = held.pop(lang)
+                size -= len(tokens)
                 if made >> _BLOCK_BITS:
                     raise ValueError("more text in a partition than names of blocks")
-                rows.append((part << _BLOCK_BITS | made, lang, len(places), squeeze(places.astype(np.int32)), squeeze(codes),
-                             words.cast(pa.string()).to_pylist(), counts.tolist()))
+                codes = np.frombuffer(tokens, np.int32)
+                places = np.flatnonzero(codes)
+                counts = np.bincount(codes, minlength=len(known))
+                counts[0] = 0
+                rows.append((part << _BLOCK_BITS | made, lang, len(places), squeeze(places.astype(np.int32)), squeeze(codes[places]),
+                             pa.array(known, pa.binary()).cast(pa.string()).to_pylist(), counts.tolist()))
                 made += 1
-            size, held = 0, {}
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
             names = ["block", "lang", "tokens", "places", "codes", "words", "counts"]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
@@ -87,12 +95,17 @@ def _occurrences(block_tokens: int):
             texts = batch.column("text").cast(pa.large_binary())
             for lang, text in zip(batch.column("lang").to_pylist(), texts):
                 for tokens in _tokens(text.as_py() or b""):
-                    held.setdefault(lang, []).extend(tokens)
+                    known, codes = held.setdefault(lang, ({_BREAK: 0}, array("i")))
+                    for word in set(tokens).difference(known):
+                        known[word] = len(known)
+                    codes.extend(map(known.__getitem__, tokens))
                     size += len(tokens)
-                    if size >= block_tokens:
-                        yield out()
+                    if len(codes) >= block_tokens:
+                        yield out([lang])
+                    elif size >= _ALL_BLOCKS * block_tokens:
+                        yield out(list(held))
         if held:
-            yield out()
+            yield out(list(held))
 
     return occurrences
 
@@ -237,7 +250,7 @@ def collocations(docs: DataFrame, longest: int = LONGEST, min_count: int = MIN_C
         scored = scratch.save(every.withColumn("best", _shortest_cut()).select("lang", "phrase", "a", "best.l", "best.r", "best.score"))
         # Ranked in slices first, so that no task sorts all phrases of a language.
         order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-        slices = F.pmod(F.xxhash64("phrase"), F.lit(partitions(scratch.spark, scored.rows)))
+        slices = F.pmod(F.xxhash64("phrase"), F.lit(_SLICES * partitions(scratch.spark, scored.rows)))
         first = scored.df.withColumn("slice", slices).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "slice").orderBy(*order)))
         last = first.where(F.col("rank") <= top).withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)))
         ranked = scratch.save(last.where(F.col("rank") <= top).drop("slice"))
