@@ -137,19 +137,24 @@ def _extend(key: tuple, relation: pa.Table, frequent: pa.Table) -> pa.Table:
 
 
 def _frequent(relation: Saved, names: list[str], min_count: int, scratch: Scratch) -> Saved:
-    """``(block, code, id, a, lang, *names)``: the grams of each block that are frequent in all blocks together.
+    """``(block, code, id, a, named, *names)``: the grams of each block that are frequent in all blocks together.
 
     One shuffle by gram serves the group-count and the semi-join: every row, a gram of a block with its count there, meets
-    the sum of its gram. A gram is named by the first block that has it and by its code there.
+    the sum of its gram. A gram is named by the first block that has it and by its code there, both in one number.
     """
-    rows = relation.df.select("block", "lang", F.posexplode(F.arrays_zip(*names, "counts")).alias("code", "gram")).select(
-        "block", "code", "lang", *[F.col("gram")[n].alias(n) for n in (*names, "counts")]
-    ).where("counts > 0")
+    gram = F.posexplode(F.arrays_zip(*names, "counts")).alias("code", "gram")
     # Ids are not shared by languages, words are.
-    same = Window.partitionBy(*names, *(["lang"] if names == ["words"] else []))
+    by = [*names, *(["lang"] if names == ["words"] else [])]
     own = F.shiftleft("block", _CODE_BITS).bitwiseOR(F.col("code").cast("long"))
-    counted = rows.withColumn("a", F.sum("counts").over(same)).withColumn("id", F.min(own).over(same))
-    return scratch.save(counted.where(F.col("a") >= min_count).drop("counts").withColumn("named", own == F.col("id")))
+    rows = relation.df.select("block", "lang", gram).select(
+        own.alias("own"), *[F.col("lang") if n == "lang" else F.col("gram")[n].alias(n) for n in by], F.col("gram.counts").alias("counts")
+    ).where("counts > 0")
+    same = Window.partitionBy(*by)
+    counted = rows.withColumn("a", F.sum("counts").over(same)).withColumn("id", F.min("own").over(same))
+    code = F.col("own").bitwiseAND(F.lit((1 << _CODE_BITS) - 1)).cast("int")
+    return scratch.save(counted.where(F.col("a") >= min_count).select(
+        F.shiftright("own", _CODE_BITS).alias("block"), code.alias("code"), "id", "a", (F.col("own") == F.col("id")).alias("named"), *by
+    ))
 
 
 def _shortest_cut() -> Column:
@@ -191,11 +196,11 @@ def mined(docs: DataFrame, longest: int, min_count: int, scratch: Scratch) -> tu
             .cogroup(frequent.df.select("block", "code", "id").groupBy("block")).applyInArrow(_extend, _GRAMS)
         )
         frequent = _frequent(relation, ["firsts", "seconds"], min_count, scratch)
-        found = scratch.save(frequent.df.where("named").select("lang", "id", "firsts", "seconds", "a"))
+        found = scratch.save(frequent.df.where("named").select("id", "firsts", "seconds", "a"))
         shorter = levels[-1]
         part = lambda side, *more: shorter.select(f"id AS {side}s", f"a AS {side}_a", *more)
         one = lookup_join(
-            found, part("first", "phrase AS first_phrase", "prefixes AS first_prefixes"), ["firsts"], scratch, most=_SMALL
+            found, part("first", "lang", "phrase AS first_phrase", "prefixes AS first_prefixes"), ["firsts"], scratch, most=_SMALL
         )
         both = lookup_join(one, part("second", "last", "suffixes AS second_suffixes"), ["seconds"], scratch, most=_SMALL)
         levels.append(scratch.save(both.select(
