@@ -9,7 +9,7 @@ from .limits import limit, partitions
 from .scratch import Saved, Scratch, size
 
 
-def _fits(table: Saved, scratch: Scratch, most: int | None = None) -> bool:
+def fits(table: Saved, scratch: Scratch, most: int | None = None) -> bool:
     """Whether a table is small enough to broadcast, by its rows and by the files it was saved in."""
     rows = limit(scratch.spark, "broadcastRows")
     if table.rows > (rows if most is None else min(rows, most)):
@@ -18,7 +18,8 @@ def _fits(table: Saved, scratch: Scratch, most: int | None = None) -> bool:
 
 
 def lookup_join(
-    big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner", most: int | None = None
+    big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner", most: int | None = None,
+    keys_of: Saved | None = None,
 ) -> DataFrame:
     """Join ``big`` to a table with few rows per key (usually one).
 
@@ -26,24 +27,26 @@ def lookup_join(
     found by a pre-aggregated count; by the pigeonhole principle there are at most ``hotKeys``
     of them, so their table rows are broadcast and only the even rest is shuffled. As ``big`` is
     then read three times, it is written first unless it is a saved step already. ``most`` lowers the number
-    of rows that may be broadcast, for tables with wide rows.
+    of rows that may be broadcast, for tables with wide rows. Where a saved ``keys_of`` holds the keys of ``big`` row
+    by row, hot keys are counted there and ``big`` is not written.
     """
     spark = scratch.spark
-    if _fits(table, scratch, most):
+    if fits(table, scratch, most):
         rows = big.df if isinstance(big, Saved) else big
         return rows.join(F.broadcast(table.df), on, how)
-    if not isinstance(big, Saved):
-        big = scratch.save(big)
-    hot_share = big.rows // limit(spark, "hotKeys")
+    if keys_of is None:
+        big = keys_of = big if isinstance(big, Saved) else scratch.save(big)
+    rows = big.df if isinstance(big, Saved) else big
+    hot_share = keys_of.rows // limit(spark, "hotKeys")
     hot = scratch.save(
-        big.df.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
+        keys_of.df.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
     )
     if hot.rows == 0:
-        return big.df.join(table.df, on, how)
+        return rows.join(table.df, on, how)
     keys = F.broadcast(hot.df)
     hot_table = F.broadcast(table.df.join(keys, on, "left_semi"))
-    even = big.df.join(keys, on, "left_anti").join(table.df, on, how)
-    return even.unionByName(big.df.join(keys, on, "left_semi").join(hot_table, on, how))
+    even = rows.join(keys, on, "left_anti").join(table.df, on, how)
+    return even.unionByName(rows.join(keys, on, "left_semi").join(hot_table, on, how))
 
 
 def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFrame:

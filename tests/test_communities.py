@@ -4,6 +4,7 @@ import pytest
 
 import coterie as ct
 from conftest import G7, G11
+from coterie.plans.scratch import Scratch
 from plain import betweenness, components, curve, neighbours, pair_modularity, standard_modularity
 
 WIDE = {"broadcastRows": 0, "blockRows": 2, "hotKeys": 4}
@@ -202,6 +203,42 @@ def test_similarity(graph, limits, closed, forced):
         assert _similar(ct.structural_similarity(graph(edges), closed)) == pytest.approx(expected)
 
 
+def _dense_with_hubs():
+    """A dense part, two hubs that share most of their many leaves, and a path."""
+    hubs = [(min(h, v), max(h, v)) for h in (9000, 9500) for v in range(9001, 9041) if v % 7 or h == 9000]
+    return sorted({*_random_graph(33, 24, 150), *hubs, (9000, 9500), (9001, 9002), *((7000 + i, 7001 + i) for i in range(9))})
+
+
+@pytest.mark.parametrize("closed", [True, False])
+@pytest.mark.parametrize("forced", [{}, {"blockRows": 4}, WIDE], ids=["plain", "blocks", "wide"])
+def test_similar_edges(graph, limits, closed, forced):
+    """The bounds by degree settle edges, and never another way than the whole count does."""
+    edges = _dense_with_hubs()
+    near = {v: n | ({v} if closed else set()) for v, n in neighbours(edges).items()}
+    value = {(a, b): len(near[a] & near[b]) / (len(near[a]) * len(near[b])) ** 0.5 for a, b in edges}
+    for epsilon in (0.0, 0.2, 0.5, 0.8305, 1.0):
+        with limits(**forced):
+            found = {(r.src, r.dst) for r in ct.similar_edges(graph(edges), epsilon, closed).collect()}
+        assert found == {e for e, s in value.items() if s >= epsilon - 1e-12}
+
+
+def test_no_wedges_are_written(graph, limits, monkeypatch):
+    """What is written stays linear in the edges, however many pairs of neighbours the hubs have."""
+    edges, written = _dense_with_hubs(), []
+    save = Scratch.save
+
+    def counting(self, *args, **kwargs):
+        step = save(self, *args, **kwargs)
+        written.append(step.rows)
+        return step
+
+    monkeypatch.setattr(Scratch, "save", counting)
+    with limits(**WIDE):
+        ct.structural_similarity(graph(edges)).count()
+    degrees = [len(n) for n in neighbours(edges).values()]
+    assert max(written) <= 4 * len(edges) < sum(d * (d - 1) // 2 for d in degrees)
+
+
 def test_cores(graph):
     found = _labels(ct.structural_components(graph(G7), epsilon=0.8, mu=3))
     assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4}

@@ -7,7 +7,8 @@ FOLDER = "/root/testdata/sf0.01"
 QUICK = [
     "ratings_text", "affiliations", "affiliation_sets", "coaffil_edges", "adjacency", "graph_size",
     "structural_similarity_open", "structural_components_half", "affiliation_sets_rows", "adjacency_rows", "vertices",
-    "similarity_repeated", "structural_components_mu",
+    "similarity_repeated", "structural_components_mu", "similar_edges", "ratings_dropped", "betweenness_of_sources",
+    "cut_curve_late",
 ]
 
 
