@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import both_directions, edge_key
 from ..plans.limits import limit
 from ..plans.lists import ROW_LENGTH, sorted_lists
 from ..plans.scratch import Saved, Scratch
-from ..plans.skew import lookup_join, pairs_within
+from ..plans.skew import group_sizes, lookup_join, pairs_within
 
 
 def affiliations(rows: DataFrame) -> DataFrame:
@@ -45,10 +45,10 @@ def affiliation_sets(rows: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame
 def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
     """``(src, dst, weight)`` for every two users who share at least ``min_shared`` distinct items.
 
-    Pairs are counted by a self-join on the item. An item held by more than ``popularItem`` users
-    would dominate that join, so each user sets aside up to ``min_shared - 1`` of their most popular
-    such items first. Any two users with ``min_shared`` items in common still meet on the least
-    popular one, so no edge is missed; what they share among the items set aside is added afterwards.
+    Pairs are counted by a self-join on the item. Where that makes many, a prefix filter goes first: all items are
+    ordered by their number of holders, and each user sets aside the ``min_shared - 1`` with most. Any two users with
+    ``min_shared`` items in common still meet on the rarest one, so no edge is missed; what they share among the
+    items set aside is added afterwards.
     """
     if min_shared < 1:
         raise ValueError("min_shared must be at least 1")
@@ -56,16 +56,12 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
         held = scratch.save(affiliations(rows).where("user IS NOT NULL AND item IS NOT NULL"))
         if held.rows > limit(scratch.spark, "broadcastRows"):
             held = _with_enough_items(held, min_shared, scratch)
-        popular = None
-        if held.rows > limit(scratch.spark, "popularItem") and min_shared > 1:
-            popular = scratch.save(
-                held.df.groupBy("item").agg(F.count(F.lit(1)).alias("holders"))
-                .where(F.col("holders") > limit(scratch.spark, "popularItem"))
-            )
-        if popular is None or popular.rows == 0:
-            counts = _meetings(held, scratch)
-        else:
-            counts = _meetings_of_popular(held, popular, min_shared, scratch)
+        holders = group_sizes(held, "item", scratch)
+        counts = None
+        if min_shared > 1 and holders.metrics["pairs"] > limit(scratch.spark, "pairsPerRow") * held.rows:
+            counts = _meetings_by_prefix(held, holders, min_shared, scratch)
+        if counts is None:
+            counts = _meetings(held, scratch, holders)
         return mark_simple(scratch.save(counts.where(F.col("weight") >= min_shared), keep=True).df)
 
 
@@ -77,70 +73,61 @@ def _with_enough_items(held: Saved, min_shared: int, scratch: Scratch) -> Saved:
     return scratch.save(lookup_join(held, enough, ["user"], scratch, "left_semi"))
 
 
-def _meetings(held: Saved, scratch: Scratch) -> DataFrame:
+def _meetings(held: Saved, scratch: Scratch, holders: Saved) -> DataFrame:
     return (
-        pairs_within(held, "item", "user", scratch)
+        pairs_within(held, "item", "user", scratch, holders)
         .groupBy(F.col("x").alias("src"), F.col("y").alias("dst"))
         .agg(F.count(F.lit(1)).alias("weight"))
     )
 
 
-def _meetings_of_popular(held: Saved, popular: Saved, min_shared: int, scratch: Scratch) -> DataFrame:
-    marked = scratch.save(lookup_join(held, popular, ["item"], scratch, "left"))
+def _meetings_by_prefix(held: Saved, holders: Saved, min_shared: int, scratch: Scratch) -> DataFrame | None:
+    """The weights of all pairs with ``min_shared`` common items, or None where the prefixes make too many pairs."""
+    marked = scratch.save(lookup_join(held, holders, ["item"], scratch))
     # A row_number filter in a window is pushed down as a per-task limit, so a user with very many
-    # popular items contributes at most min_shared - 1 rows per task to the window.
-    by_fame = Window.partitionBy("user").orderBy(F.desc("holders"), F.desc("item"))
+    # items contributes at most min_shared - 1 rows per task to the window.
+    by_fame = Window.partitionBy("user").orderBy(F.desc("held"), F.desc("item"))
     aside = scratch.save(
-        marked.df.where("holders IS NOT NULL")
-        .withColumn("place", F.row_number().over(by_fame))
+        marked.df.withColumn("place", F.row_number().over(by_fame))
         .where(F.col("place") < min_shared)
-        .select("user", "item")
+        .select("user", "item", "held")
     )
-    kept = scratch.save(marked.df.join(aside.df, ["user", "item"], "left_anti"))
-    met = scratch.save(_meetings(kept.select("user", "item"), scratch))
-
-    # At most min_shared - 1 items per user, so these arrays are short.
-    lists = scratch.save(aside.df.groupBy("user").agg(F.collect_list("item").alias("aside")))
+    kept = scratch.save(marked.df.join(aside.df, ["user", "item"], "left_anti").select("user", "item"))
+    kept_holders = group_sizes(kept, "item", scratch)
+    if kept_holders.metrics["pairs"] * limit(scratch.spark, "prefixGain") > holders.metrics["pairs"]:
+        return None
+    met = scratch.save(_meetings(kept, scratch, kept_holders))
+
+    # Who holds a prefix has set aside min_shared - 1 items, so these arrays are short and never missing.
+    lists = scratch.save(aside.df.groupBy("user").agg(F.collect_list(F.struct("held", "item")).alias("aside")))
     of_src = lists.select("user AS src", "aside AS src_aside")
     of_dst = lists.select("user AS dst", "aside AS dst_aside")
-    both = lookup_join(lookup_join(met, of_src, ["src"], scratch, "left"), of_dst, ["dst"], scratch, "left")
-    none = F.array().cast(held.df.select(F.array("item").alias("a")).schema["a"].dataType)
-    both = (
-        both.withColumn("src_aside", F.coalesce("src_aside", none))
-        .withColumn("dst_aside", F.coalesce("dst_aside", none))
-        # Everything shared outside the meetings lies in the longer-reaching of the two lists.
-        .where(F.col("weight") + F.greatest(F.size("src_aside"), F.size("dst_aside")) >= min_shared)
-    )
-    pairs = scratch.save(both)
+    one = lookup_join(met, of_src, ["src"], scratch)
+    both = lookup_join(one, of_dst, ["dst"], scratch, keys_of=met)
+
+    # An item set aside by one user may be in the prefix of the other, but only if it comes before all that the other
+    # set aside; so no pair has such items on both sides.
+    def before(own: str, other: str, user: str) -> Column:
+        lowest = F.array_min(other)
+        return F.transform(
+            F.filter(own, lambda i: i < lowest), lambda i: F.struct(F.col(user).alias("user"), i["item"].alias("item"))
+        )
 
-    # An item set aside by one user may still be among the kept items of the other.
-    probes = (
-        pairs.df.select(
+    pairs = scratch.save(
+        both.select(
             "src", "dst",
-            F.inline(
-                F.concat(
-                    F.transform(F.array_except("src_aside", "dst_aside"),
-                                lambda i: F.struct(F.col("dst").alias("user"), i.alias("item"))),
-                    F.transform(F.array_except("dst_aside", "src_aside"),
-                                lambda i: F.struct(F.col("src").alias("user"), i.alias("item"))),
-                )
-            ),
+            (F.col("weight") + F.size(F.array_intersect("src_aside.item", "dst_aside.item"))).alias("sure"),
+            F.concat(before("src_aside", "dst_aside", "dst"), before("dst_aside", "src_aside", "src")).alias("probes"),
         )
+        .where(F.col("sure") + F.size("probes") >= min_shared)
     )
-    kept_popular = scratch.save(
-        kept.df.where("holders IS NOT NULL").select("user", "item")
-    )
+    probes = pairs.df.where(F.size("probes") > 0).select("src", "dst", F.inline("probes"))
     hits = scratch.save(
-        lookup_join(probes, kept_popular, ["user", "item"], scratch)
+        lookup_join(probes, kept, ["user", "item"], scratch)
         .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("hits"))
     )
     return pairs.df.join(hits.df, ["src", "dst"], "left").select(
-        "src", "dst",
-        (
-            F.col("weight")
-            + F.size(F.array_intersect("src_aside", "dst_aside"))
-            + F.coalesce("hits", F.lit(0))
-        ).cast("long").alias("weight"),
+        "src", "dst", (F.col("sure") + F.coalesce("hits", F.lit(0))).cast("long").alias("weight")
     )
 
 

@@ -17,8 +17,10 @@ DEFAULTS = {
     "hotKeys": 10_000,
     # Groups and neighbour lists larger than this are split into blocks of about this size.
     "blockRows": 1_000,
-    # Items held by more users than this count as popular in the co-affiliation join.
-    "popularItem": 20_000,
+    # The co-affiliation join looks at its prefix filter when the plain join makes more pairs than this a row,
+    "pairsPerRow": 100,
+    # and uses it when that leaves at most one in so many of these pairs. With 0 it always does.
+    "prefixGain": 2,
     # Work that multiplies its input is spread so that a task makes about this many rows.
     "rowsPerTask": 500_000,
     # Path searches run in batches of sources so that a partition holds about this many states.

@@ -49,25 +49,30 @@ def lookup_join(
     return even.unionByName(rows.join(keys, on, "left_semi").join(hot_table, on, how))
 
 
-def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch) -> DataFrame:
+def group_sizes(rows: Saved, key: str, scratch: Scratch) -> Saved:
+    """``(key, held)`` with the exact number of ``pairs`` that the groups make and of groups too ``wide`` for a block."""
+    block, held = limit(scratch.spark, "blockRows"), F.col("held").cast("double")
+    return scratch.save(
+        rows.df.groupBy(key).agg(F.count(F.lit(1)).alias("held")),
+        pairs=F.coalesce(F.sum(held * (held - 1) / 2), F.lit(0.0)), wide=F.coalesce(F.sum((held > block).cast("long")), F.lit(0)),
+    )
+
+
+def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch, sizes: Saved | None = None) -> DataFrame:
     """``(key, x, y)`` for every two values ``x < y`` that share a key; ``(key, value)`` is unique.
 
     Groups up to ``blockRows`` are joined as they are. A larger group is cut into blocks by a
     hash of the value and each pair of blocks becomes a join key of its own, so no task ever
-    has to hold more than two blocks, whatever the size of the group.
+    has to hold more than two blocks, whatever the size of the group. ``sizes`` are those of ``group_sizes`` if known.
     """
     block = limit(scratch.spark, "blockRows")
     pairs, wide = rows.rows**2 // 2, None
-    if rows.rows > block:
-        # The sizes of the groups give the exact number of pairs.
-        held = F.col("held").cast("double")
-        counted = scratch.save(
-            rows.df.groupBy(key).agg(F.count(F.lit(1)).alias("held")),
-            pairs=F.sum(held * (held - 1) / 2), wide=F.sum((held > block).cast("long")),
-        )
-        pairs = int(counted.metrics["pairs"])
+    if sizes is None and rows.rows > block:
+        sizes = group_sizes(rows, key, scratch)
+    if sizes is not None:
+        pairs = int(sizes.metrics["pairs"])
         blocks = F.ceil(F.col("held") / block).cast("int").alias("blocks")
-        wide = Saved(counted.df.where(F.col("held") > block).select(key, blocks), counted.metrics["wide"])
+        wide = Saved(sizes.df.where(F.col("held") > block).select(key, blocks), sizes.metrics["wide"])
     parts = partitions(scratch.spark, pairs)
     if wide is None or wide.rows == 0:
         grouped = rows.df.select(key, value).repartition(parts, key)

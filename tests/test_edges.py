@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 from itertools import combinations
 
 import pytest
@@ -32,16 +32,17 @@ def _sample(seed):
     return rows
 
 
+PREFIX = {"pairsPerRow": 0, "prefixGain": 0}
 SKEW = [
     {},
     {"blockRows": 4},
-    {"popularItem": 10},
-    {"popularItem": 5, "blockRows": 4, "broadcastRows": 0, "hotKeys": 4},
-    {"popularItem": 5, "blockRows": 4, "broadcastBytes": 0, "hotKeys": 4, "rowsPerTask": 100},
+    PREFIX,
+    {**PREFIX, "blockRows": 4, "broadcastRows": 0, "hotKeys": 4},
+    {**PREFIX, "blockRows": 4, "broadcastBytes": 0, "hotKeys": 4, "rowsPerTask": 100},
 ]
 
 
-@pytest.mark.parametrize("forced", SKEW, ids=["plain", "blocks", "popular", "all", "bytes"])
+@pytest.mark.parametrize("forced", SKEW, ids=["plain", "blocks", "prefix", "all", "bytes"])
 @pytest.mark.parametrize("k", [1, 3, 9])
 def test_shared_items(spark, limits, forced, k):
     rows = _sample(k)
@@ -53,15 +54,40 @@ def test_shared_items(spark, limits, forced, k):
 def test_copies_of_one_user(spark, limits):
     """A third of all users hold the same items: all their pairs come out, and only once."""
     rows = [(u, i) for u in range(12) for i in range(15)] + [(100 + u, 50 + (u * i) % 60) for u in range(24) for i in range(12)]
-    with limits(popularItem=5, blockRows=4, broadcastRows=0, hotKeys=4):
+    with limits(**PREFIX, blockRows=4, broadcastRows=0, hotKeys=4):
         found = _found(ct.coaffiliation_edges(spark.createDataFrame(rows, "user long, item long")))
     assert found == _expected(rows, 9)
 
 
-def test_other_item_types_and_nulls(spark):
+@pytest.mark.parametrize("gain,used", [(2, True), (10**6, False)])
+def test_prefix_saves_pairs(spark, limits, monkeypatch, gain, used):
+    """Everybody holds most of eight items and a few rare ones; only the latter make pairs, if that saves enough."""
+    pick = random.Random(5)
+    rows = [(u, i) for u in range(120) for i in range(8) if pick.random() < 0.95]
+    rows += [(u, 100 + (u // 4) * 3 + i) for u in range(120) for i in range(3)]
+    made = []
+
+    def counting(*args):
+        pairs = pairs_within(*args)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr("coterie.operators.edges.pairs_within", counting)
+    with limits(pairsPerRow=1, prefixGain=gain):
+        found = _found(ct.coaffiliation_edges(spark.createDataFrame(rows, "user long, item long")))
+    assert found and found == _expected(rows, 9)
+    holders = Counter(i for _, i in rows)
+    plain = sum(n * (n - 1) // 2 for n in holders.values())
+    assert len(made) == 1 and (made[0] * 20 < plain if used else made[0] == plain)
+
+
+def test_other_item_types_and_nulls(spark, limits):
     rows = [(1, "a"), (2, "a"), (1, "b"), (2, "b"), (2, "b"), (None, "a"), (3, None), (3, "b")]
     df = spark.createDataFrame(rows, "user long, item string")
-    assert _found(ct.coaffiliation_edges(df, 2)) == {(1, 2): 2}
+    for settings in ({}, PREFIX):
+        with limits(**settings):
+            assert _found(ct.coaffiliation_edges(df, 2)) == {(1, 2): 2}
+            assert _found(ct.coaffiliation_edges(df.limit(0), 2)) == {}
     with pytest.raises(ValueError):
         ct.coaffiliation_edges(df, 0)
 
