@@ -82,7 +82,7 @@ def _meetings(held: Saved, scratch: Scratch, holders: Saved) -> DataFrame:
 
 
 def _meetings_by_prefix(held: Saved, holders: Saved, min_shared: int, scratch: Scratch) -> DataFrame | None:
-    """The weights of all pairs with ``min_shared`` common items, or None where the prefixes make too many pairs."""
+    """The weights of all pairs with ``min_shared`` common items, or None where counting all pairs is less work."""
     marked = scratch.save(lookup_join(held, holders, ["item"], scratch))
     # A row_number filter in a window is pushed down as a per-task limit, so a user with very many
     # items contributes at most min_shared - 1 rows per task to the window.
@@ -94,30 +94,34 @@ def _meetings_by_prefix(held: Saved, holders: Saved, min_shared: int, scratch: S
     )
     kept = scratch.save(marked.df.join(aside.df, ["user", "item"], "left_anti").select("user", "item"))
     kept_holders = group_sizes(kept, "item", scratch)
-    if kept_holders.metrics["pairs"] * limit(scratch.spark, "prefixGain") > holders.metrics["pairs"]:
+    # Each pair that is left has to be compared on up to min_shared - 1 items set aside.
+    work = kept_holders.metrics["pairs"] * min_shared * limit(scratch.spark, "prefixGain")
+    if work > holders.metrics["pairs"]:
         return None
     met = scratch.save(_meetings(kept, scratch, kept_holders))
 
     # Who holds a prefix has set aside min_shared - 1 items, so these arrays are short and never missing.
-    lists = scratch.save(aside.df.groupBy("user").agg(F.collect_list(F.struct("held", "item")).alias("aside")))
-    of_src = lists.select("user AS src", "aside AS src_aside")
-    of_dst = lists.select("user AS dst", "aside AS dst_aside")
+    place = F.struct("held", "item")
+    lists = scratch.save(
+        aside.df.groupBy("user").agg(F.collect_list(place).alias("aside"), F.min(place).alias("lowest"))
+    )
+    of_src = lists.select("user AS src", "aside AS src_aside", "lowest AS src_lowest")
+    of_dst = lists.select("user AS dst", "aside AS dst_aside", "lowest AS dst_lowest")
     one = lookup_join(met, of_src, ["src"], scratch)
     both = lookup_join(one, of_dst, ["dst"], scratch, keys_of=met)
 
     # An item set aside by one user may be in the prefix of the other, but only if it comes before all that the other
     # set aside; so no pair has such items on both sides.
-    def before(own: str, other: str, user: str) -> Column:
-        lowest = F.array_min(other)
+    def before(own: str, lowest: str, user: str) -> Column:
         return F.transform(
-            F.filter(own, lambda i: i < lowest), lambda i: F.struct(F.col(user).alias("user"), i["item"].alias("item"))
+            F.filter(own, lambda i: i < F.col(lowest)), lambda i: F.struct(F.col(user).alias("user"), i["item"].alias("item"))
         )
 
     pairs = scratch.save(
         both.select(
             "src", "dst",
             (F.col("weight") + F.size(F.array_intersect("src_aside.item", "dst_aside.item"))).alias("sure"),
-            F.concat(before("src_aside", "dst_aside", "dst"), before("dst_aside", "src_aside", "src")).alias("probes"),
+            F.concat(before("src_aside", "dst_lowest", "dst"), before("dst_aside", "src_lowest", "src")).alias("probes"),
         )
         .where(F.col("sure") + F.size("probes") >= min_shared)
     )

@@ -19,8 +19,8 @@ DEFAULTS = {
     "blockRows": 1_000,
     # The co-affiliation join looks at its prefix filter when the plain join makes more pairs than this a row,
     "pairsPerRow": 100,
-    # and uses it when that leaves at most one in so many of these pairs. With 0 it always does.
-    "prefixGain": 2,
+    # and uses it when the pairs left, times the items to compare for each of them and this, are fewer. With 0 it always does.
+    "prefixGain": 4,
     # Work that multiplies its input is spread so that a task makes about this many rows.
     "rowsPerTask": 500_000,
     # Path searches run in batches of sources so that a partition holds about this many states.
