@@ -1,9 +1,8 @@
-"""Removal of word windows that occur earlier, by anchored hashes with one check of half windows.
+"""Removal of word windows that occur earlier, by level-wise doubling.
 
-Windows of half the length are looked up at sampled anchors that every full window contains, together with the whole
-runs of windows at an anchor. A run that occurs earlier as a whole is settled, one whose half window occurs once is dropped. Only in
-what is left are full windows looked up, with the place of their first occurrence. Whatever the length, there is this
-one step from half to full and no loop over levels.
+Windows of a short length are looked up first, and only windows both of whose halves were found twice are looked up at
+twice that length, until the full length is reached or no candidates survive; see ``levels``. With 20 words the lengths are 5, 10 and 20,
+with 80 they are 5, 10, 20, 40 and 80.
 """
 
 from __future__ import annotations
@@ -16,11 +15,14 @@ from pyspark.sql import DataFrame
 
 from ..plans.scratch import Scratch
 from .blocks import packed
-from .repeats import PIECE, Rolling, Shape, _UP, _DOWN, per_document, removed, together
+from .levels import later_windows_removed
+from .repeats import PIECE, _UP, _DOWN, per_document, together
 
 WINDOW = 20
 # Bytes from which a word has a cryptographic hash. Sums over bytes take some built words of 1,024 letters and more for one.
 _LONG_WORD = 256
+# Bytes of a word, about; only sizes follow from it.
+_WORD_BYTES = 4
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -54,16 +56,6 @@ def word_hashes(text: bytes) -> np.ndarray:
     return out
 
 
-def _identify(window: int):
-    def identify(rolling: Rolling) -> np.ndarray:
-        """A window by its two halves, which are the windows of the level before."""
-        half = window // 2
-        ids = rolling.grams(half)
-        return together(ids[: len(ids) - (window - half)], ids[window - half :])
-
-    return identify
-
-
 def _kept(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple[int, int, bytes]:
     """Number of words, words removed, and the other words joined by spaces."""
     words = text.split()
@@ -108,5 +100,4 @@ def _run(docs: DataFrame, window: int, finish, schema: str) -> DataFrame:
     if window < 2:
         raise ValueError("window must be at least 2")
     with Scratch(docs.sparkSession) as scratch:
-        shape = Shape(window, window // 2, word_hashes, _identify(window), earlier_only=True)
-        return removed(packed(docs, scratch), shape, finish, schema, scratch)
+        return later_windows_removed(packed(docs, scratch), window, word_hashes, _WORD_BYTES, finish, schema, scratch)

@@ -11,7 +11,7 @@ from collections import Counter
 import pytest
 import xxhash
 
-from coterie.llm import blocks, exchange, line_dedup, mixing, pii, quality, scoring, simhash, substring_dedup, suffix_dedup
+from coterie.llm import blocks, exchange, levels, line_dedup, mixing, pii, quality, scoring, simhash, substring_dedup, suffix_dedup
 from coterie.llm.bpe import WordBpe, encode, read_file, token_digests
 from coterie.llm.exact_dedup import exact_dedup, golomb_decode, golomb_encode
 from coterie.llm.lexicon import Transducer, compile_words
@@ -174,6 +174,72 @@ def test_substring_dedup(docs, rows):
     assert _rows(substring_dedup.substring_dedup(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == sorted(expected, key=str)
 
 
+def _plain_removed(texts, window):
+    """Per text, the words that lie in windows that start earlier."""
+    seen, out = set(), []
+    for text in texts:
+        words = text.split()
+        gone = [False] * len(words)
+        for p in range(len(words) - window + 1):
+            key = tuple(words[p : p + window])
+            if key in seen:
+                gone[p : p + window] = [True] * window
+            seen.add(key)
+        out.append(" ".join(w for w, g in zip(words, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("window", [2, 3, 8, 9, 17, 80])
+def test_windows_of_any_length(spark, window):
+    """Few different words, so that many windows survive the short lengths and fail at a longer one."""
+    rng = random.Random(window)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 200))) for _ in range(12)]
+    passage = " ".join(rng.choice("abc") for _ in range(90))
+    texts += [passage[:170], "x " + passage + " y", passage, passage + " " + passage]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    found = {r.doc_id: r.text for r in substring_dedup.without_repeats(df, window).collect()}
+    assert [found[k] for k in range(len(texts))] == _plain_removed(texts, window)
+
+
+def test_lengths_double():
+    assert levels.lengths_to(20) == [5, 10, 20]
+    assert levels.lengths_to(80) == [5, 10, 20, 40, 80]
+    assert levels.lengths_to(17) == [5, 9, 17] and levels.lengths_to(8) == [8]
+
+
+@pytest.mark.parametrize("repeated, steps_run", [(0, 1), (7, 1), (12, 2), (25, 3), (50, 4), (100, 4)])
+def test_levels_end_when_no_candidates_survive(spark, monkeypatch, repeated, steps_run):
+    """Each level is looked up only where the one before left two halves that are found twice."""
+    rounds, steps = [], levels._ask_next
+    monkeypatch.setattr(levels, "_ask_next", lambda level, how: rounds.append(level) or steps(level, how))
+    common = [f"c{k}" for k in range(repeated)]
+    rows = [(d, " ".join([f"a{d}_{k}" for k in range(90)] + common + [f"b{d}_{k}" for k in range(90)])) for d in (1, 2)]
+    found = substring_dedup.substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), 80).collect()
+    assert sorted((r.doc_id, r.n_removed) for r in found) == [(1, 0), (2, repeated if repeated >= 80 else 0)]
+    # The step that finds no candidates is the last one.
+    assert rounds == list(range(1, steps_run + 1))
+
+
+def test_later_windows_of_long_texts(spark):
+    """Texts of more words than a piece: windows at its ends, and a first one in another piece of the same text."""
+    rng = random.Random(4)
+    words = [str(rng.randrange(10**9)) for _ in range(600_000)]
+    words[599_000:599_500] = words[262_000:262_500]
+    copy = ["z"] * 5 + words[262_130:262_160] + ["y"] * 5
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy))], "doc_id long, text string")
+    found = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(df).collect()}
+    assert found == {1: 500, 2: 30}
+
+
+def test_packed_keys():
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    for n, top in ((1, 1), (1, 1 << 26), (5000, 1 << 26), (5000, 1 << 13)):
+        keys = np.unique(rng.integers(0, top, n).astype(np.uint64))
+        assert levels._unpack(levels._pack(keys)).tolist() == keys.tolist()
+
+
 def test_long_texts_are_cut_into_pieces(spark, monkeypatch):
     rng = random.Random(3)
     text = bytes(rng.choice(b"abcd ") for _ in range(300_000)).decode()
