@@ -24,17 +24,21 @@ from pyspark.sql import functions as F
 from ..plans.scratch import Saved, Scratch
 from .blocks import unpacked
 from .exchange import ANSWER, LAST, OWNER_KEYS, REQUEST, answered, request, request_batch, totals_of
-from .repeats import PIECE, Rolling, together
+from .repeats import mixed, together
 
 # A first level is at most this long.
 SHORTEST = 8
+# Values looked at together; longer documents are cut into parts.
+PIECE = 1 << 21
 # Keys of an owner at a level below the last: the size of its table in bytes is two to this power.
 _SLOTS = 26
-# Keys are this many bits longer than the number of values asks for; one in 2 to the power of it passes a level by chance.
-_SPARE = 6
+# Keys are this many bits longer than the number of values asks for. One in 2 to the power of it is taken for repeated by
+# chance, but only two such neighbours pass a level.
+_SPARE = 4
 # A block and the number of a piece in it make a sender.
 _PIECES = 11
 _STATE = -1
+_BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
 def lengths_to(width: int) -> list[int]:
@@ -63,7 +67,7 @@ class Levels:
 class Piece:
     """Documents, or a part of one, that are looked at together."""
 
-    rolling: Rolling
+    values: np.ndarray
     docs: np.ndarray  # place of the document of each part in the block
     at: np.ndarray  # where each part starts in the piece
     sizes: np.ndarray
@@ -71,17 +75,21 @@ class Piece:
 
     def names(self, lengths: list[int]) -> np.ndarray:
         """Identifiers of the windows of the last of ``lengths`` at all places, each from the two windows of the level before."""
-        ids = self.rolling.grams(lengths[0])
+        n = len(self.values) - lengths[0] + 1
+        ids = self.values[:n]
+        for k in range(1, lengths[0]):
+            ids = ids * _BASE + self.values[k : n + k]
+        ids = mixed(ids)
         for short, long in pairwise(lengths):
             ids = together(ids[: len(ids) - (long - short)], ids[long - short :])
         return ids
 
     def inside(self, length: int) -> np.ndarray:
         """Whether the window of a place ends in the part in which it starts."""
-        turns = np.zeros(self.rolling.n + 1, np.int8)
+        turns = np.zeros(len(self.values) + 1, np.int8)
         np.add.at(turns, self.at, 1)
         np.add.at(turns, self.at + self.sizes - length + 1, -1)
-        return np.cumsum(turns[: self.rolling.n - length + 1], dtype=np.int8).astype(bool)
+        return np.cumsum(turns[: len(self.values) - length + 1], dtype=np.int8).astype(bool)
 
     def parts(self, places: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.at, places, "right") - 1
@@ -91,7 +99,7 @@ def _piece(parts: list[tuple[int, int, np.ndarray]]) -> Piece:
     sizes = np.array([len(p[2]) for p in parts])
     at = np.cumsum(sizes) - sizes
     return Piece(
-        Rolling(np.concatenate([p[2] for p in parts])), np.array([p[0] for p in parts]), at, sizes,
+        np.concatenate([p[2] for p in parts]), np.array([p[0] for p in parts]), at, sizes,
         at - np.array([p[1] for p in parts]),
     )
 

@@ -223,9 +223,10 @@ def test_levels_end_when_no_candidates_survive(spark, monkeypatch, repeated, ste
 def test_later_windows_of_long_texts(spark):
     """Texts of more words than a piece: windows at its ends, and a first one in another piece of the same text."""
     rng = random.Random(4)
-    words = [str(rng.randrange(10**9)) for _ in range(600_000)]
-    words[599_000:599_500] = words[262_000:262_500]
-    copy = ["z"] * 5 + words[262_130:262_160] + ["y"] * 5
+    words = [str(rng.randrange(10**5)) for _ in range(2_200_000)]
+    end = levels.PIECE
+    words[2_199_000:2_199_500] = words[end - 200 : end + 300]
+    copy = ["z"] * 5 + words[end - 20 : end + 10] + ["y"] * 5
     df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(copy))], "doc_id long, text string")
     found = {r.doc_id: r.n_removed for r in substring_dedup.substring_dedup(df).collect()}
     assert found == {1: 500, 2: 30}
