@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .limits import limit, partitions
@@ -17,6 +17,42 @@ def fits(table: Saved, scratch: Scratch, most: int | None = None) -> bool:
     return not table.path or size(scratch.spark, table.path) <= limit(scratch.spark, "broadcastBytes")
 
 
+# Slots of a task's sketch for each hot key there may be, at least; the sketch takes three quarters of a power of two and at most 2^20.
+_SLOTS_EACH = 16
+_MOST_SLOTS = 1 << 20
+_HASH = "__coterie_hot"
+# Types whose equal values have equal hashes.
+_HASHED = {"bigint", "int", "smallint", "tinyint", "string", "date", "boolean", "binary"}
+
+
+def hot_hashes(keys: DataFrame, on: list[str], rows: int, scratch: Scratch) -> Saved:
+    """One column with ``xxhash64(*on)`` of every key that holds more than 1/``hotKeys`` of the ``rows``, and few others.
+
+    Each task sums its own rows in a sketch of frequent items and reports those that it is sure of; the reports are added up by
+    hash. A sketch of s slots misses at most 7/s of its rows of a key and adds at most 3.5/s, so no key beyond the share is missed if the reports
+    need only come to that much less, and all keys found hold a third of it or more. Nothing grows with the number of keys: a
+    task sends one sketch, and no task or driver gets them all.
+    """
+    most = min(limit(scratch.spark, "hotKeys"), _MOST_SLOTS // _SLOTS_EACH)
+    slots = 1 << (most * _SLOTS_EACH - 1).bit_length()
+    tracked = slots * 3 // 4
+    of_task = (
+        keys.select(F.spark_partition_id().alias("task"), F.xxhash64(*on).alias("hash"))
+        .groupBy("task").agg(F.expr(f"approx_top_k(hash, {tracked}, {tracked})").alias("found"))
+        .select(F.inline("found"))
+    )
+    enough = rows / most - 7 * rows / slots
+    return scratch.save(
+        of_task.groupBy(F.col("item").alias(_HASH)).agg(F.sum("count").alias("held")).where(F.col("held") > enough).select(_HASH)
+    )
+
+
+def _hot_by_hash(rows: DataFrame, table: DataFrame, on: list[str]) -> bool:
+    """Whether a key's hash is the same on both sides."""
+    left, right = dict(rows.dtypes), dict(table.dtypes)
+    return all(left[c] == right[c] and left[c] in _HASHED for c in on)
+
+
 def lookup_join(
     big: DataFrame | Saved, table: Saved, on: list[str], scratch: Scratch, how: str = "inner", most: int | None = None,
     keys_of: Saved | None = None,
@@ -24,11 +60,11 @@ def lookup_join(
     """Join ``big`` to a table with few rows per key (usually one).
 
     A table counted to be small is broadcast. Beyond that size the hot keys of ``big`` are
-    found by a pre-aggregated count; by the pigeonhole principle there are at most ``hotKeys``
+    found by sketches of its key columns; there are at most three times ``hotKeys``
     of them, so their table rows are broadcast and only the even rest is shuffled. As ``big`` is
-    then read three times, it is written first unless it is a saved step already. ``most`` lowers the number
-    of rows that may be broadcast, for tables with wide rows. Where a saved ``keys_of`` holds the keys of ``big`` row
-    by row, hot keys are counted there and ``big`` is not written.
+    then read twice and its keys once more, it is written first unless it is a saved step already. Keys of other types or of two different ones are
+    counted. ``most`` lowers the number of rows that may be broadcast, for tables with wide rows. Where a saved ``keys_of`` holds the keys
+    of ``big`` row by row, hot keys are looked for there and ``big`` is not written.
     """
     spark = scratch.spark
     if fits(table, scratch, most):
@@ -37,16 +73,21 @@ def lookup_join(
     if keys_of is None:
         big = keys_of = big if isinstance(big, Saved) else scratch.save(big)
     rows = big.df if isinstance(big, Saved) else big
-    hot_share = keys_of.rows // limit(spark, "hotKeys")
-    hot = scratch.save(
-        keys_of.df.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
-    )
+    if _hot_by_hash(keys_of.df, table.df, on) and _hot_by_hash(rows, table.df, on):
+        hot = hot_hashes(keys_of.df, on, keys_of.rows, scratch)
+        keep: Column | list[str] = F.xxhash64(*on) == F.col(_HASH)
+    else:
+        hot_share = keys_of.rows // limit(spark, "hotKeys")
+        hot = scratch.save(
+            keys_of.df.groupBy(*on).agg(F.count(F.lit(1)).alias("held")).where(F.col("held") > hot_share).select(*on)
+        )
+        keep = on
     if hot.rows == 0:
         return rows.join(table.df, on, how)
     keys = F.broadcast(hot.df)
-    hot_table = F.broadcast(table.df.join(keys, on, "left_semi"))
-    even = rows.join(keys, on, "left_anti").join(table.df, on, how)
-    return even.unionByName(rows.join(keys, on, "left_semi").join(hot_table, on, how))
+    hot_table = F.broadcast(table.df.join(keys, keep, "left_semi"))
+    even = rows.join(keys, keep, "left_anti").join(table.df, on, how)
+    return even.unionByName(rows.join(keys, keep, "left_semi").join(hot_table, on, how))
 
 
 def group_sizes(rows: Saved, key: str, scratch: Scratch) -> Saved:
