@@ -13,7 +13,7 @@ DEFAULTS = {
     "broadcastRows": 1_000_000,
     # And only when the files it was saved in hold at most this many bytes, for rows of any width.
     "broadcastBytes": 64 << 20,
-    # A key is hot when it holds more than 1/hotKeys of the rows, so there are at most hotKeys.
+    # A key is hot when it holds more than 1/hotKeys of the rows.
     "hotKeys": 10_000,
     # Groups and neighbour lists larger than this are split into blocks of about this size.
     "blockRows": 1_000,
