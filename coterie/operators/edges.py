@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from ..functions import both_directions, edge_key
 from ..plans.limits import limit
 from ..plans.lists import ROW_LENGTH, sorted_lists
+from ..plans.order import with_rank
 from ..plans.scratch import Saved, Scratch
-from ..plans.skew import group_sizes, lookup_join, pairs_within
+from ..plans.skew import group_sizes, lookup_join, pairs_in_cells, pairs_within
 
 
 def affiliations(rows: DataFrame) -> DataFrame:
@@ -48,7 +49,8 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
     Pairs are counted by a self-join on the item. Where that makes many, a prefix filter goes first: all items are
     ordered by their number of holders, and each user sets aside the ``min_shared - 1`` with most. Any two users with
     ``min_shared`` items in common still meet on the rarest one, so no edge is missed; what they share among the
-    items set aside is added afterwards.
+    items set aside is added afterwards. Where there are few items and nearly everybody meets everybody, the items of each user
+    become a bitmap, and all pairs of users are compared block by block, so that no pair below ``min_shared`` leaves its task.
     """
     if min_shared < 1:
         raise ValueError("min_shared must be at least 1")
@@ -57,8 +59,8 @@ def coaffiliation_edges(rows: DataFrame, min_shared: int = 9) -> DataFrame:
         if held.rows > limit(scratch.spark, "broadcastRows"):
             held = _with_enough_items(held, min_shared, scratch)
         holders = group_sizes(held, "item", scratch)
-        counts = None
-        if min_shared > 1 and holders.metrics["pairs"] > limit(scratch.spark, "pairsPerRow") * held.rows:
+        counts = _meetings_by_bitmap(held, holders, min_shared, scratch)
+        if counts is None and min_shared > 1 and holders.metrics["pairs"] > limit(scratch.spark, "pairsPerRow") * held.rows:
             counts = _meetings_by_prefix(held, holders, min_shared, scratch)
         if counts is None:
             counts = _meetings(held, scratch, holders)
@@ -81,6 +83,25 @@ def _meetings(held: Saved, scratch: Scratch, holders: Saved) -> DataFrame:
     )
 
 
+def _meetings_by_bitmap(held: Saved, holders: Saved, min_shared: int, scratch: Scratch) -> DataFrame | None:
+    """The weights of all pairs with ``min_shared`` common items, or None where the items are many or joining on them is less work."""
+    words = -(-holders.rows // 64)
+    if holders.metrics["pairs"] < limit(scratch.spark, "bitmapPairs") or not 0 < words <= limit(scratch.spark, "bitmapWords"):
+        return None
+    numbered = scratch.save(with_rank(holders.df.select("item"), [F.col("item")], "rank", scratch).selectExpr("item", "rank - 1 AS place"))
+    bit = "shiftleft(1L, CAST(place % 64 AS INT))"
+    maps = scratch.save(
+        lookup_join(held, numbered, ["item"], scratch).groupBy("user")
+        .agg(*[F.expr(f"bit_or(IF(place DIV 64 = {i}, {bit}, 0L)) AS w{i}") for i in range(words)])
+    )
+    # A pair compared costs no more than one that the join makes for each common item, which is also sorted and shuffled.
+    if maps.rows * (maps.rows - 1) // 2 * max(1, words // 16) > holders.metrics["pairs"]:
+        return None
+    shared = " + ".join(f"bit_count(x.w{i} & y.w{i})" for i in range(words))
+    pairs = pairs_in_cells(maps, "user", scratch, F.expr(f"{shared} >= {min_shared}"))
+    return pairs.selectExpr("least(x.user, y.user) AS src", "greatest(x.user, y.user) AS dst", f"CAST({shared} AS BIGINT) AS weight")
+
+
 def _meetings_by_prefix(held: Saved, holders: Saved, min_shared: int, scratch: Scratch) -> DataFrame | None:
     """The weights of all pairs with ``min_shared`` common items, or None where counting all pairs is less work."""
     marked = scratch.save(lookup_join(held, holders, ["item"], scratch))

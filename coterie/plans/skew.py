@@ -140,3 +140,21 @@ def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch, sizes: Sav
         .where("i < j OR x < y")
         .select(key, F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"))
     )
+
+
+def pairs_in_cells(rows: Saved, key: str, scratch: Scratch, wanted: Column) -> DataFrame:
+    """Every two rows ``x`` and ``y`` with different values of the unique ``key`` for which ``wanted`` holds, once in either order.
+
+    Rows are cut into blocks by a hash of the key, and each pair of blocks is a cell that one task compares whole. Only the rows are
+    shuffled, once for each block, and ``wanted`` is part of the join, so that pairs without it are never written.
+    """
+    blocks = max(1, -(-rows.rows // (2 * limit(scratch.spark, "blockRows"))))
+    cells = blocks * (blocks + 1) // 2
+    cut = rows.df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("long"))
+    # Cell (i, j) with i <= j; a row is on the left in its own row of cells and on the right in its column.
+    left = cut.select("*", F.explode(F.sequence("block", F.lit(blocks - 1).cast("long"))).alias("other"))
+    right = cut.select("*", F.explode(F.sequence(F.lit(0).cast("long"), "block")).alias("other"))
+    left = left.withColumn("cell", F.col("block") * blocks + F.col("other")).repartition(cells, "cell").alias("x")
+    right = right.withColumn("cell", F.col("other") * blocks + F.col("block")).repartition(cells, "cell").alias("y")
+    once = F.expr(f"x.block <> y.block OR x.{key} < y.{key}")
+    return left.join(right.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & once & wanted)

@@ -81,6 +81,32 @@ def test_prefix_saves_pairs(spark, limits, monkeypatch, gain, used):
     assert len(made) == 1 and (made[0] * 20 < plain if used else made[0] == plain)
 
 
+@pytest.mark.parametrize("forced", [{}, {"blockRows": 4}, {"blockRows": 2, "broadcastRows": 0, "hotKeys": 4}], ids=["one", "cells", "all"])
+@pytest.mark.parametrize("k", [1, 3, 9])
+def test_bitmaps_make_no_pairs_to_shuffle(spark, limits, monkeypatch, forced, k):
+    """Few items that nearly everybody holds: users are compared by bitmaps, and items are not joined."""
+    rows = _sample(k) + [(u, 100 + i) for u in range(200, 240) for i in range(-30, 60) if (u * i) % 7]
+
+    def joined(*_):
+        raise AssertionError("items were joined")
+
+    monkeypatch.setattr("coterie.operators.edges.pairs_within", joined)
+    with limits(bitmapPairs=0, **forced):
+        found = _found(ct.coaffiliation_edges(spark.createDataFrame(rows, "user long, item long"), k))
+    assert found == _expected(rows, k)
+
+
+def test_bitmaps_only_where_they_save(spark, limits):
+    """Rare items, or more of them than the words allow, are joined; strings and nulls do as well in bitmaps."""
+    rows = [(u, u // 2) for u in range(60)] + [(u, 1000 + i) for u in range(60, 66) for i in range(9)]
+    few = spark.createDataFrame([(1, "a"), (2, "a"), (1, "b"), (2, "b"), (2, "b"), (None, "a"), (3, None), (3, "b")], "user long, item string")
+    for settings in ({}, {"bitmapWords": 0}):
+        with limits(bitmapPairs=0, **settings):
+            assert _found(ct.coaffiliation_edges(spark.createDataFrame(rows, "user long, item long"), 1)) == _expected(rows, 1)
+            assert _found(ct.coaffiliation_edges(few, 2)) == {(1, 2): 2}
+            assert _found(ct.coaffiliation_edges(few.limit(0), 2)) == {}
+
+
 def test_other_item_types_and_nulls(spark, limits):
     rows = [(1, "a"), (2, "a"), (1, "b"), (2, "b"), (2, "b"), (None, "a"), (3, None), (3, "b")]
     df = spark.createDataFrame(rows, "user long, item string")
