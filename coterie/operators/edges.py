@@ -95,7 +95,7 @@ def _meetings_by_bitmap(held: Saved, holders: Saved, min_shared: int, scratch: S
         .agg(*[F.expr(f"bit_or(IF(place DIV 64 = {i}, {bit}, 0L)) AS w{i}") for i in range(words)])
     )
     # A pair compared costs no more than one that the join makes for each common item, which is also sorted and shuffled.
-    if maps.rows * (maps.rows - 1) // 2 * max(1, words // 16) > holders.metrics["pairs"]:
+    if maps.rows * (maps.rows - 1) // 2 > holders.metrics["pairs"]:
         return None
     shared = " + ".join(f"bit_count(x.w{i} & y.w{i})" for i in range(words))
     pairs = pairs_in_cells(maps, "user", scratch, F.expr(f"{shared} >= {min_shared}"))
