@@ -28,7 +28,9 @@ from .lexicon import Transducer, compile_words
 # Words compiled into the transducer: the most frequent ones. It bounds the broadcast, not the result.
 LEXICON_WORDS = 60_000
 # Words that a task keeps looked up, and counts before it sends them on.
-HELD_WORDS = 500_000
+HELD_WORDS = 250_000
+# Bytes of results that a task sends on together.
+_SENT_BYTES = 4 << 20
 # Code points of the words that are counted, compiled and kept; longer ones are merged whenever they come.
 LONGEST = 64
 # Blocks of Unicode on which the regex and unicodedata modules agree with the tokenizer's own tables (tested for
@@ -41,6 +43,26 @@ def read_file(path: str) -> str:
     return Path(path).read_text(encoding="utf-8")
 
 
+class _Held:
+    """At most ``HELD_WORDS`` words with what was found for them, in two halves: a word that comes again moves to the new one."""
+
+    def __init__(self):
+        self.new, self.old = {}, {}
+
+    def get(self, word: str):
+        found = self.new.get(word)
+        if found is None and (found := self.old.get(word)) is not None:
+            self.put(word, found)
+        return found
+
+    def put(self, word: str, found):
+        if len(word) <= LONGEST:
+            if len(self.new) >= HELD_WORDS // 2:
+                self.new, self.old = {}, self.new
+            self.new[word] = found
+        return found
+
+
 class WordBpe:
     """A BPE model with word ends, from the JSON description of a tokenizer."""
 
@@ -64,8 +86,8 @@ class WordBpe:
         others = (b for b in range(256) if b not in set(plain))
         self._byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
         self._lexicon = Transducer(code) if code else None
-        # Of words seen: the ids and the text that they decode to.
-        self._held: dict[str, tuple[bytes, bytes]] = {}
+        # Of words seen: the ids, and those with the text that they decode to.
+        self._ids_held, self._both_held = _Held(), _Held()
 
     def words(self, piece: str) -> list[str]:
         """The words of a text without added tokens, normalised."""
@@ -102,14 +124,15 @@ class WordBpe:
     def _both(self, ids: array) -> tuple[bytes, bytes]:
         return ids.tobytes(), self.decode(ids).encode("utf-8", "surrogatepass")
 
-    def _look_up(self, word: str) -> tuple[bytes, bytes]:
+    def _word(self, word: str) -> array:
         ids = self._lexicon.get(word.encode("utf-8", "surrogatepass")) if self._lexicon else None
-        both = self._both(array("I", self.merge_long(word) if ids is None else ids))
-        if len(self._held) >= HELD_WORDS:
-            self._held.clear()
-        if len(word) <= LONGEST:
-            self._held[word] = both
-        return both
+        return array("I", self.merge_long(word) if ids is None else ids)
+
+    def _look_up(self, word: str) -> tuple[bytes, bytes]:
+        return self._both_held.get(word) or self._both_held.put(word, self._both(self._word(word)))
+
+    def _look_up_ids(self, word: str) -> bytes:
+        return self._ids_held.get(word) or self._ids_held.put(word, self._word(word).tobytes())
 
     def merge_long(self, word: str) -> list[int]:
         """As merge(); a long word goes through a heap, whose work grows with n log n only."""
@@ -146,7 +169,7 @@ class WordBpe:
 
         Decoding joins tokens by spaces, so it joins what the words decode to.
         """
-        held, look_up = self._held, self._look_up
+        held, look_up = self._both_held.new, self._look_up
         out = []
         for k, piece in enumerate(self.pieces(text)):
             if k % 2:
@@ -155,8 +178,19 @@ class WordBpe:
                 out += [held[w] if w in held else look_up(w) for w in self.words(piece)]
         return b"".join([ids for ids, _ in out]), b" ".join([decoded for _, decoded in out])
 
+    def ids(self, text: str) -> bytes:
+        """The first of both()."""
+        held, look_up = self._ids_held.new, self._look_up_ids
+        out = []
+        for k, piece in enumerate(self.pieces(text)):
+            if k % 2:
+                out.append(array("I", [self.added[piece]]).tobytes())
+            else:
+                out += [held[w] if w in held else look_up(w) for w in self.words(piece)]
+        return b"".join(out)
+
     def encode(self, text: str) -> array:
-        return array("I", self.both(text)[0])
+        return array("I", self.ids(text))
 
     def decode(self, ids: array) -> str:
         """The tokens joined by spaces: the description names no decoder."""
@@ -220,12 +254,19 @@ def build_lexicon(docs: DataFrame, description: str, size: int = LEXICON_WORDS)
 def _encoded(description, code, decoded: bool):
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(description.value, code.value)
+        find = model.both if decoded else lambda text: (model.ids(text), b"")
         for batch in batches:
-            both = [model.both(text.as_py() or "") for text in batch.column("text")]
-            out = {"doc_id": batch.column("doc_id"), "ids": pa.array([ids for ids, _ in both], pa.binary())}
-            if decoded:
-                out["decoded"] = pa.array([text for _, text in both], pa.binary()).cast(pa.string())
-            yield pa.RecordBatch.from_pydict(out)
+            found, size, sent = [], 0, 0
+            for k, text in enumerate(batch.column("text"), 1):
+                found.append(find(text.as_py() or ""))
+                size += sum(map(len, found[-1]))
+                if size < _SENT_BYTES and k < batch.num_rows:
+                    continue
+                out = {"doc_id": batch.column("doc_id").slice(sent, k - sent), "ids": pa.array([ids for ids, _ in found], pa.binary())}
+                if decoded:
+                    out["decoded"] = pa.array([text for _, text in found], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_pydict(out)
+                found, size, sent = [], 0, k
 
     return encode
 

@@ -281,6 +281,33 @@ def test_bpe_is_the_library(docs, rows):
     assert {len(r.ids) // 4 for r in encode(docs, tokenizer_path(), size=50).collect()} == {r[1] for r in expected}
 
 
+def test_bpe_holds_few_words_and_sends_small_batches(monkeypatch):
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    from coterie.llm import bpe
+
+    monkeypatch.setattr(bpe, "HELD_WORDS", 20)
+    monkeypatch.setattr(bpe, "_SENT_BYTES", 400, raising=False)
+    description = read_file(tokenizer_path())
+    texts = [" ".join(f"often w{k}x{i}" for i in range(12)) for k in range(50)] + [None, ""]
+    whole, model = WordBpe(description), WordBpe(description)
+    monkeypatch.setattr(bpe, "_model", lambda *_: model)
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(len(texts))), "text": texts})
+    for decoded in (False, True):
+        sent = list(bpe._encoded(SimpleNamespace(value=description), SimpleNamespace(value=b""), decoded)(iter([batch])))
+        rows = [r for b in sent for r in b.to_pylist()]
+        assert [r["doc_id"] for r in rows] == batch["doc_id"].to_pylist()
+        assert [r["ids"] for r in rows] == [whole.both(t or "")[0] for t in texts]
+        assert not decoded or [r["decoded"].encode() for r in rows] == [whole.both(t or "")[1] for t in texts]
+        # No batch passes the limit by more than its last text.
+        assert len(sent) > 5 and all(sum(len(r["ids"]) for r in b.to_pylist()[:-1]) < 400 for b in sent)
+    for held in (model._ids_held, model._both_held):
+        assert "often" in held.new or "often" in held.old
+        assert len(held.new) + len(held.old) <= 20
+
+
 def test_common_characters_agree_with_the_tokenizer():
     from coterie.llm.bpe import _COMMON
 
