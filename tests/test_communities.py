@@ -239,6 +239,21 @@ def test_no_wedges_are_written(graph, limits, monkeypatch):
     assert max(written) <= 4 * len(edges) < sum(d * (d - 1) // 2 for d in degrees)
 
 
+@pytest.mark.parametrize("closed", [True, False])
+def test_dense_graphs_are_compared_in_cells(graph, limits, monkeypatch, closed):
+    """Beyond ``listValues`` no list of neighbours goes with an edge; ids are sparse, and there are several blocks."""
+    edges = [(1000 * a - 90_000, 1000 * b - 90_000) for a, b in _random_graph(35, 150, 2500)] + [(10**12, 10**12 + 1)]
+    near = {v: n | ({v} if closed else set()) for v, n in neighbours(edges).items()}
+    value = {(min(e), max(e)): len(near[e[0]] & near[e[1]]) / (len(near[e[0]]) * len(near[e[1]])) ** 0.5 for e in edges}
+    monkeypatch.setattr("coterie.operators.structural._common", None)
+    for more in ({}, {"broadcastRows": 0}):
+        with limits(**{"broadcastRows": 100, "listValues": 1, "wordGain": 1000, "cellBytes": 1, **more}):
+            assert _similar(ct.structural_similarity(graph(edges), closed)) == pytest.approx(value)
+            for epsilon in (0.0, 0.3, 0.5, 1.0):
+                found = {(r.src, r.dst) for r in ct.similar_edges(graph(edges), epsilon, closed).collect()}
+                assert found == {e for e, s in value.items() if s >= epsilon - 1e-12}
+
+
 def test_cores(graph):
     found = _labels(ct.structural_components(graph(G7), epsilon=0.8, mu=3))
     assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4}
