@@ -31,6 +31,8 @@ DEFAULTS = {
     "wordGain": 1,
     # A block's bitmaps take at most this many bytes; a task holds two blocks.
     "cellBytes": 96 << 20,
+    # Lists of up to this many values are sorted as one array, also where they come in shorter rows.
+    "sortedValues": 1_000_000,
     # Work that multiplies its input is spread so that a task makes about this many rows.
     "rowsPerTask": 500_000,
     # Path searches run in batches of sources so that a partition holds about this many states.

@@ -155,3 +155,18 @@ def test_partitions_follow_the_number_of_pairs(spark, limits):
             found.append(pairs.rdd.getNumPartitions())
     # 280, 1200 and 4960 pairs; the session has 4 partitions.
     assert found == [3, 12, 50]
+
+
+@pytest.mark.parametrize("together", [1, 5, 100])
+def test_only_lists_beyond_the_limit_are_ranked(graph, limits, monkeypatch, together):
+    """Rows shorter than a list are cut from it; a global sort of all rows is left to lists that are too long for one array."""
+    from coterie.plans import lists
+
+    edges, ranked, with_rank = [(0, v) for v in range(1, 12)] + [(20, v) for v in range(21, 25)], [], lists.with_rank
+    monkeypatch.setattr(lists, "with_rank", lambda df, *a: ranked.append(df.count()) or with_rank(df, *a))
+    with limits(sortedValues=together):
+        found = {(r.vertex, r.part): r.neighbours for r in ct.adjacency(graph(edges), row_length=3).collect()}
+    expected = {(v, 0): [0] for v in range(1, 12)} | {(v, 0): [20] for v in range(21, 25)}
+    expected |= {(0, 0): [1, 2, 3], (0, 1): [4, 5, 6], (0, 2): [7, 8, 9], (0, 3): [10, 11], (20, 0): [21, 22, 23], (20, 1): [24]}
+    assert found == expected
+    assert ranked == {1: [15], 5: [11], 100: []}[together]
