@@ -27,7 +27,7 @@ from .lexicon import Transducer, compile_words
 
 # Words compiled into the transducer: the most frequent ones. It bounds the broadcast, not the result.
 LEXICON_WORDS = 60_000
-# Words that a task keeps looked up, and counts before it sends them on.
+# Words that a task keeps looked up with their ids, and counts before it sends them on; with their text it keeps twice as many.
 HELD_WORDS = 250_000
 # Bytes of results that a task sends on together.
 _SENT_BYTES = 4 << 20
@@ -44,10 +44,10 @@ def read_file(path: str) -> str:
 
 
 class _Held:
-    """At most ``HELD_WORDS`` words with what was found for them, in two halves: a word that comes again moves to the new one."""
+    """At most ``words`` words with what was found for them, in two halves: a word that comes again moves to the new one."""
 
-    def __init__(self):
-        self.new, self.old = {}, {}
+    def __init__(self, words: int):
+        self.half, self.new, self.old = words // 2, {}, {}
 
     def get(self, word: str):
         found = self.new.get(word)
@@ -57,7 +57,7 @@ class _Held:
 
     def put(self, word: str, found):
         if len(word) <= LONGEST:
-            if len(self.new) >= HELD_WORDS // 2:
+            if len(self.new) >= self.half:
                 self.new, self.old = {}, self.new
             self.new[word] = found
         return found
@@ -87,7 +87,7 @@ class WordBpe:
         self._byte = {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
         self._lexicon = Transducer(code) if code else None
         # Of words seen: the ids, and those with the text that they decode to.
-        self._ids_held, self._both_held = _Held(), _Held()
+        self._ids_held, self._both_held = _Held(HELD_WORDS), _Held(2 * HELD_WORDS)
 
     def words(self, piece: str) -> list[str]:
         """The words of a text without added tokens, normalised."""
