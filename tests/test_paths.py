@@ -1,11 +1,12 @@
 import random
 from fractions import Fraction
 
+import pyarrow as pa
 import pytest
 
 import coterie as ct
 from conftest import G7, G11
-from coterie.operators import paths
+from coterie.operators import cells, paths, searches
 from plain import betweenness, distances
 
 G11_SCORES = {
@@ -222,3 +223,30 @@ def test_results_can_be_released(spark):
     assert len(Scratch.with_results) == before + 1
     ct.release(result)
     assert len(Scratch.with_results) == before
+
+
+@pytest.mark.parametrize("edges", [G11, G7, _hub(2)], ids=["g11", "g7", "hub"])
+def test_searches_in_tasks(spark, graph, limits, monkeypatch, edges):
+    """A dense graph too large for a broadcast is searched without a row for each state, with leaves and other components."""
+    monkeypatch.setattr(paths, "_in_batches", lambda *_: pytest.fail("searched by joins"))
+    with limits(broadcastRows=0, hotKeys=4, searchEdges=0, taskDegree=0):
+        assert _scores(ct.edge_betweenness(graph(edges))) == pytest.approx({e: float(s) for e, s in betweenness(edges).items()})
+
+
+def test_searches_in_tasks_of_many_strips(graph, limits, monkeypatch):
+    pick = random.Random(5)
+    edges = sorted({tuple(sorted(pick.sample(range(200), 2))) for _ in range(500)} | {(300 + i, 301 + i) for i in range(9)} | {(300, 309)})
+    monkeypatch.setattr(searches, "_MOST", 30)
+    with limits(searchEdges=0, taskDegree=0):
+        assert _scores(ct.edge_betweenness(graph(edges))) == pytest.approx({e: float(s) for e, s in betweenness(edges).items()})
+
+
+def test_searches_in_tasks_tell_an_overflow():
+    """320 layers of ten vertices, each joined to all of the next: a source of the first has more paths than a double holds."""
+    words, layers = -(-3200 // 64), range(0, 3190, 10)
+    a, b = zip(*[(i + x, i + 10 + y) for i in layers for x in range(10) for y in range(10)])
+    batch = pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+    lists = pa.Table.from_batches(list(cells._lists(words)([batch])))
+    strips = [min(64, 3200 - 64 * s) for s in range(lists.num_rows)]
+    lists = lists.append_column("hefts", pa.array([[1.0] * n for n in strips])).append_column("task", pa.array([0] * lists.num_rows))
+    assert searches._searched(words, 3200)(lists)["most"].to_pylist()[0] == float("inf")
