@@ -3,6 +3,7 @@ from fractions import Fraction
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import coterie as ct
 from conftest import G7, G11
@@ -250,3 +251,19 @@ def test_searches_in_tasks_tell_an_overflow():
     strips = [min(64, 3200 - 64 * s) for s in range(lists.num_rows)]
     lists = lists.append_column("hefts", pa.array([[1.0] * n for n in strips])).append_column("task", pa.array([0] * lists.num_rows))
     assert searches._searched(words, 3200)(lists)["most"].to_pylist()[0] == float("inf")
+
+
+def test_searches_in_tasks_of_repeated_edges(spark, limits):
+    """Edges in both orientations, twice, with loops and nulls, and what communities come of the scores."""
+    rows = [e for a, b in G11 for e in ((a, b), (b, a), (a, b), (a, a), (a, None))]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    lists = lambda df: sorted(map(tuple, df.collect()))
+    of = lambda scores: [
+        lists(ct.best_communities(ct.removal_order(scores), min_removed=2, baseline=0.0)),
+        [r[0] for r in ct.community_lines(ct.best_communities(ct.removal_order(scores))).orderBy(F.col("line")).collect()],
+    ]
+    joined = ct.edge_betweenness(edges)
+    with limits(searchEdges=0, taskDegree=0):
+        found = ct.edge_betweenness(edges)
+    assert _scores(found) == pytest.approx({e: a / b for e, (a, b) in G11_SCORES.items()})
+    assert of(found) == of(joined)
