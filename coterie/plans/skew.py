@@ -142,13 +142,17 @@ def pairs_within(rows: Saved, key: str, value: str, scratch: Scratch, sizes: Sav
     )
 
 
+# Rows of a block of a cell, in units of ``blockRows``; each row is shuffled once for each block, and a block is compared by one task.
+_CELL_BLOCKS = 6
+
+
 def pairs_in_cells(rows: Saved, key: str, scratch: Scratch, wanted: Column) -> DataFrame:
     """Every two rows ``x`` and ``y`` with different values of the unique ``key`` for which ``wanted`` holds, once in either order.
 
     Rows are cut into blocks by a hash of the key, and each pair of blocks is a cell that one task compares whole. Only the rows are
     shuffled, once for each block, and ``wanted`` is part of the join, so that pairs without it are never written.
     """
-    blocks = max(1, -(-rows.rows // (2 * limit(scratch.spark, "blockRows"))))
+    blocks = max(1, -(-rows.rows // (_CELL_BLOCKS * limit(scratch.spark, "blockRows"))))
     cells = blocks * (blocks + 1) // 2
     cut = rows.df.withColumn("block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("long"))
     # Cell (i, j) with i <= j; a row is on the left in its own row of cells and on the right in its column.

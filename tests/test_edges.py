@@ -170,3 +170,14 @@ def test_only_lists_beyond_the_limit_are_ranked(graph, limits, monkeypatch, toge
     expected |= {(0, 0): [1, 2, 3], (0, 1): [4, 5, 6], (0, 2): [7, 8, 9], (0, 3): [10, 11], (20, 0): [21, 22, 23], (20, 1): [24]}
     assert found == expected
     assert ranked == {1: [15], 5: [11], 100: []}[together]
+
+
+def test_edges_of_bitmaps_are_written_in_order(spark, limits):
+    """In order they take a fraction of the disk, whichever blocks they come from."""
+    rows = spark.createDataFrame([(u * 7 % 101, i) for u in range(101) for i in range(12) if (u + i) % 5], "user long, item long")
+    with limits(bitmapPairs=0, blockRows=5):
+        edges = ct.coaffiliation_edges(rows, 6)
+    files = {}
+    for r in edges.select("src", "dst", "_metadata.file_path").collect():
+        files.setdefault(r.file_path, []).append((r.src, r.dst))
+    assert len(files) > 1 and all(f == sorted(f) for f in files.values())
