@@ -36,6 +36,16 @@ def mark_simple(edges: DataFrame) -> DataFrame:
     return edges
 
 
+def settled_edges(edges: DataFrame, scratch: Scratch) -> Saved:
+    """The simple edges as a saved step; what an operator of this library wrote is not written again."""
+    simple = simple_edges(edges)
+    if getattr(edges, "_coterie_simple", False) and hasattr(edges, "_coterie_result"):
+        return Saved(simple, edges.count())
+    saved = scratch.save(simple)
+    mark_simple(saved.df)
+    return saved
+
+
 def affiliation_sets(rows: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
     """``(user, part, items)``: the sorted distinct items of each user, ``row_length`` to a row."""
     with Scratch(rows.sparkSession) as scratch:

@@ -31,8 +31,8 @@ from ..plans.order import with_rank
 from ..plans.scratch import Saved, Scratch, exists, remove
 from ..plans.skew import lookup_join
 from .components import connected_components
-from .edges import mark_simple, simple_edges, vertices
-from .searches import credits_in_tasks
+from .edges import mark_simple, settled_edges, simple_edges, vertices
+from .searches import PartSearch, credits_in_tasks, search_in_parts
 
 # Sources in a pack, at most. The generated code of a step grows with it; beyond 8,000 bytes of it in a method the JVM
 # does not compile that any more, which happens between 12 and 16.
@@ -343,6 +343,15 @@ def _in_batches(
     return out
 
 
+def _in_parts(
+    edges: DataFrame, sources: DataFrame | None, batches: int | None, resume: str | None, scratch: Scratch
+) -> PartSearch | None:
+    """The search of a large dense graph from some sources, unless batches are asked for."""
+    if sources is None or batches is not None or resume is not None:
+        return None
+    return search_in_parts(settled_edges(edges, scratch), sources, scratch)
+
+
 def shortest_path_counts(
     edges: DataFrame, sources: DataFrame, batches: int | None = None, resume: str | None = None
 ) -> DataFrame:
@@ -361,6 +370,9 @@ def shortest_path_counts(
 
     spark = edges.sparkSession
     with Scratch(spark) as scratch, _by_source(spark):
+        found = _in_parts(edges, sources, batches, resume, scratch)
+        if found is not None:
+            return scratch.save(found.paths(), keep=True).df
         return _in_batches("paths", edges, sources, batches, resume, scratch, run)
 
 
@@ -483,6 +495,10 @@ def edge_betweenness(
         sums = None
         if sources is None and batches is None and resume is None:
             sums = credits_in_tasks(core, hefts, scratch)
+        found = _in_parts(edges, sources, batches, resume, scratch)
+        if found is not None:
+            scores = found.credits().select("src", "dst", (F.col("credit") / 2).alias("score"))
+            return mark_simple(scratch.save(scores, keep=True).df)
         if sums is None:
             sums = _in_batches("betweenness", edges, sources, batches, resume, scratch, _edge_sums, hefts)
         summed = scratch.settle(sums.groupBy("src", "dst").agg(F.expr("sum(credit) AS credit")), edges.count() if leaves else 0)

@@ -1,12 +1,22 @@
-"""Betweenness of dense graphs of a bounded size: each task searches from its own sources and sums by edge itself.
+"""Searches of dense graphs within tasks.
+
+Betweenness of all sources, for graphs of a bounded size: each task searches from its own sources and sums by edge itself.
 
 Vertices are numbered and their neighbour lists sent compressed, as in ``cells``, once for each task, as a broadcast would. A task
 advances its sources level by level, some at a time, as the columns of matrices with a row for each vertex. No state leaves the task; it
 sends one number for each edge, and these are summed by strips of vertices.
+
+Some sources, for larger graphs: the lists are cut into parts that stay where they are. At each level a part gets what the vertices
+of all parts hold, compressed, a matrix with a column for each source, and finds from its own lists what its vertices hold at the next. No edge is
+shuffled after the lists are made, and credit is summed by edge where the list of its lower vertex is.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +33,9 @@ from .edges import vertices
 _MATRIX = 16 << 20
 _MOST = 128
 _SUMS = "strip long, task long, credits binary, others binary, most double"
+# Neighbours that a part of the lists holds, in 4 bytes each.
+_PART = 14 << 20
+_HELD = "part long, batch long, code binary, seen binary, found long, most double"
 
 
 def _ends(strips: list[int], codes: list[bytes], held: list[int], words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -135,9 +148,7 @@ def credits_in_tasks(edges: Saved, hefts: Saved, scratch: Scratch) -> DataFrame
     if not edges.rows or edges.rows < limit(spark, "taskDegree") * numbered.rows:
         return None
     words = -(-numbered.rows // 64)
-    one = lookup_join(edges, numbered.select("vertex AS src", "number AS a"), ["src"], scratch)
-    ends = lookup_join(one, numbered.select("vertex AS dst", "number AS b"), ["dst"], scratch, keys_of=edges).select("a", "b")
-    lists = scratch.save(ends.mapInArrow(_lists(words), _STRIPS).groupBy("strip").applyInArrow(_merged, _STRIPS))
+    lists = scratch.save(_numbered_lists(edges, numbered, words, scratch))
     weights = (
         lookup_join(numbered, hefts, ["vertex"], scratch, "left")
         .select(F.expr(f"number DIV {_STRIP}").alias("strip"), F.struct("number", F.coalesce("heft", F.lit(1.0)).alias("heft")).alias("own"))
@@ -154,3 +165,248 @@ def credits_in_tasks(edges: Saved, hefts: Saved, scratch: Scratch) -> DataFrame
     of_a, of_b = numbered.select("number AS a", "vertex AS src"), numbered.select("number AS b", "vertex AS dst")
     named = lookup_join(lookup_join(found, of_a, ["a"], scratch), of_b, ["b"], scratch, "left")
     return scratch.save(named.select("src", "dst", "credit")).df
+
+
+def _coded(matrix: np.ndarray) -> bytes:
+    """Doubles compressed by byte planes."""
+    planes = np.ascontiguousarray(np.ascontiguousarray(matrix).reshape(-1).view(np.uint8).reshape(-1, 8).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _decoded(code: bytes, rows: int, width: int) -> np.ndarray:
+    planes = np.frombuffer(pa.decompress(code, 8 * rows * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.float64).reshape(rows, width)
+
+
+@dataclass(frozen=True)
+class _Shape:
+    """How vertices are cut into ``parts`` by strips in turn, and sources into batches of ``widths`` columns."""
+
+    words: int
+    parts: int
+    widths: tuple[int, ...]
+
+    def own(self, part: int) -> np.ndarray:
+        """The numbers of the vertices of a part; the last strip may go beyond the last vertex."""
+        return (np.arange(part, self.words, self.parts)[:, None] * _STRIP + np.arange(_STRIP)).ravel()
+
+    def lists(self, table: pa.Table, part: int) -> list[np.ndarray]:
+        """The ascending neighbours of each vertex of a part."""
+        near = [np.zeros(0, np.int32)] * len(self.own(part))
+        for strip, held, code in zip(*(table[c].to_pylist() for c in ("strip", "held", "code"))):
+            at, other = np.divmod(_unpack(code, held), 64 * self.words)
+            first = (strip - part) // self.parts * _STRIP
+            near[first : first + _STRIP] = np.split(other.astype(np.int32), np.searchsorted(at, np.arange(1, _STRIP)))
+        return near
+
+    def whole(self, rows: list[dict], width: int) -> np.ndarray:
+        """The matrix of all vertices from what the parts sent."""
+        out = np.zeros((64 * self.words, width))
+        for row in rows:
+            own = self.own(row["part"])
+            out[own] = _decoded(row["code"], len(own), width)
+        return out
+
+
+def _row(part: int, batch: int, held: np.ndarray, seen: np.ndarray | None = None) -> dict:
+    bits = None if seen is None else pa.compress(np.packbits(seen).tobytes(), codec="zstd", asbytes=True)
+    most = float(held.max(initial=0.0))
+    return {"part": part, "batch": batch, "code": _coded(held), "seen": bits, "found": int((held > 0).sum()), "most": most}
+
+
+_HELD_ARROW = pa.schema([
+    ("part", pa.int64()), ("batch", pa.int64()), ("code", pa.binary()), ("seen", pa.binary()), ("found", pa.int64()), ("most", pa.float64()),
+])
+
+
+def _started(shape: _Shape):
+    """Every source of a part at itself."""
+
+    def start(key: tuple, parts: pa.Table, sources: pa.Table) -> pa.Table:
+        part, rows, before = key[0].as_py(), [], 0
+        number, slot = (sources[c].to_numpy() for c in ("number", "slot"))
+        row = number // _STRIP // shape.parts * _STRIP + number % _STRIP
+        for batch, width in enumerate(shape.widths):
+            held = np.zeros((len(shape.own(part)), width))
+            mine = (slot >= before) & (slot < before + width)
+            held[row[mine], slot[mine] - before] = 1
+            rows.append(_row(part, batch, held, held > 0))
+            before += width
+        return pa.Table.from_pylist(rows, _HELD_ARROW)
+
+    return start
+
+
+def _advanced(shape: _Shape):
+    """The path counts of the vertices of a part that are first reached from the level given."""
+
+    def advance(key: tuple, lists: pa.Table, sent: pa.Table) -> pa.Table:
+        part, rows, sent = key[0].as_py(), [], sent.to_pylist()
+        near = shape.lists(lists, part)
+        for batch, width in enumerate(shape.widths):
+            some = [r for r in sent if r["batch"] == batch]
+            front = shape.whole(some, width)
+            bits = next(r["seen"] for r in some if r["seen"] is not None)
+            held = len(near) * width
+            bits = np.frombuffer(pa.decompress(bits, -(-held // 8), codec="zstd", asbytes=True), np.uint8)
+            seen = np.unpackbits(bits, count=held).astype(bool).reshape(-1, width)
+            reached = np.zeros(seen.shape)
+            with np.errstate(all="ignore"):  # an overflow is told by ``most``
+                for u in np.flatnonzero(~seen.all(axis=1)).tolist():
+                    reached[u] = front[near[u]].sum(axis=0)
+            reached[seen] = 0
+            rows.append(_row(part, batch, reached, seen | (reached > 0)))
+        return pa.Table.from_pylist(rows, _HELD_ARROW)
+
+    return advance
+
+
+def _shared(shape: _Shape):
+    """What each vertex of a level passes for each path of a parent, from ``paths`` of the level and what the next level passes."""
+
+    def share(key: tuple, lists: pa.Table, sent: pa.Table) -> pa.Table:
+        part, rows, sent = key[0].as_py(), [], sent.to_pylist()
+        near = shape.lists(lists, part)
+        for batch, width in enumerate(shape.widths):
+            some = [r for r in sent if r["batch"] == batch]
+            paths = _decoded(next(r["code"] for r in some if r["kind"] == "paths"), len(near), width)
+            passed = shape.whole([r for r in some if r["kind"] == "shares"], width)
+            shares = np.zeros(paths.shape)
+            with np.errstate(all="ignore"):
+                for u in np.flatnonzero(paths.any(axis=1)).tolist():
+                    shares[u] = np.where(paths[u] > 0, (1 + paths[u] * passed[near[u]].sum(axis=0)) / paths[u], 0.0)
+            rows.append(_row(part, batch, shares))
+        return pa.Table.from_pylist(rows, _HELD_ARROW)
+
+    return share
+
+
+def _credited(shape: _Shape):
+    """The credit of each edge, where the list of its lower vertex is, over all sources."""
+
+    def credit(key: tuple, lists: pa.Table, sent: pa.Table) -> pa.Table:
+        part, sent = key[0].as_py(), sent.to_pylist()
+        own = shape.own(part)
+        near = [n[np.searchsorted(n, u, side="right") :] for u, n in zip(own.tolist(), shape.lists(lists, part))]
+        sums = [np.zeros(len(n)) for n in near]
+        for batch, width in enumerate(shape.widths):
+            some = [r for r in sent if r["batch"] == batch]
+            paths, shares = np.zeros((64 * shape.words, width)), np.zeros((64 * shape.words, width))
+            depth = np.full(paths.shape, -9, np.int32)
+            for level in sorted({r["depth"] for r in some}):
+                at = shape.whole([r for r in some if r["kind"] == "paths" and r["depth"] == level], width)
+                paths += at
+                depth[at > 0] = level
+                shares += shape.whole([r for r in some if r["kind"] == "shares" and r["depth"] == level], width)
+            for u, n, s in zip(own.tolist(), near, sums):
+                if len(n):
+                    apart = depth[n] - depth[u]
+                    s += np.where(apart == 1, shares[n], 0.0) @ paths[u]
+                    s += np.where(apart == -1, paths[n], 0.0) @ shares[u]
+        a = np.repeat(own, [len(n) for n in near])
+        b, sums = (np.concatenate(x) for x in (near, sums))
+        used = sums > 0
+        return pa.table({"a": a[used], "b": b[used].astype(np.int64), "credit": sums[used]})
+
+    return credit
+
+
+def _reached(shape: _Shape):
+    """``(number, slot, depth, sigma)`` of the states of rows."""
+    befores = np.cumsum([0, *shape.widths]).tolist()
+
+    def read(batches):
+        for batch in batches:
+            for row in batch.to_pylist():
+                own = shape.own(row["part"])
+                held = _decoded(row["code"], len(own), shape.widths[row["batch"]])
+                at, slot = np.nonzero(held)
+                depth = np.full(len(at), row["depth"], np.int32)
+                columns = own[at], slot + befores[row["batch"]], depth, held[at, slot]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["number", "slot", "depth", "sigma"])
+
+    return read
+
+
+class PartSearch:
+    """The shortest paths from some sources of a dense graph, level by level; see the top of this module."""
+
+    def __init__(self, numbered: Saved, slots: Saved, lists: DataFrame, shape: _Shape, scratch: Scratch):
+        self.numbered, self.slots, self.lists, self.shape, self.scratch = numbered, slots, lists, shape, scratch
+        parts = scratch.spark.range(shape.parts).select(F.col("id").alias("part"))
+        of_part = slots.df.withColumn("part", F.expr(f"number DIV {_STRIP} % {shape.parts}"))
+        starts = parts.groupBy("part").cogroup(of_part.groupBy("part")).applyInArrow(_started(shape), _HELD)
+        metrics = {"found": F.sum("found"), "most": F.max("most")}
+        self.levels = [scratch.save(starts, **metrics)]
+        while self.levels[-1].metrics["found"]:
+            self.levels.append(scratch.save(self._run(self._sent(self.levels[-1].df), _advanced(shape), _HELD), **metrics))
+            if self.levels[-1].metrics["most"] == float("inf"):
+                raise OverflowError("more shortest paths between two vertices than a double can count")
+        self.levels.pop()
+
+    def _sent(self, rows: DataFrame) -> DataFrame:
+        """A copy of each row for every part, named by ``to``; only the part itself gets what it has seen."""
+        to = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(self.shape.parts - 1).cast("long"))).alias("to")
+        return rows.select("*", to).withColumn("seen", F.expr("IF(part = to, seen, NULL)"))
+
+    def _run(self, sent: DataFrame, function: Callable, schema: str) -> DataFrame:
+        return self.lists.groupBy("to").cogroup(sent.groupBy("to")).applyInArrow(function, schema)
+
+    def paths(self) -> DataFrame:
+        """``(source, vertex, depth, sigma)``."""
+        read, schema = _reached(self.shape), "number long, slot long, depth int, sigma double"
+        found = _by_depth(self.levels).mapInArrow(read, schema)
+        named = lookup_join(found, self.numbered.select("number", "vertex"), ["number"], self.scratch)
+        return lookup_join(named, self.slots.select("slot", "vertex AS source"), ["slot"], self.scratch).select("source", "vertex", "depth", "sigma")
+
+    def credits(self) -> DataFrame:
+        """``(src, dst, credit)`` summed over the sources."""
+        shares = [None] * len(self.levels)
+        for depth in range(len(self.levels) - 1, 0, -1):
+            sent = self.levels[depth].df.select("*", F.col("part").alias("to"), F.lit("paths").alias("kind"))
+            if depth + 1 < len(self.levels):
+                sent = sent.unionByName(self._sent(shares[depth + 1].df).withColumn("kind", F.lit("shares")))
+            shares[depth] = self.scratch.save(self._run(sent, _shared(self.shape), _HELD))
+        sent = _by_depth(self.levels).withColumn("kind", F.lit("paths"))
+        if len(shares) > 1:
+            sent = sent.unionByName(_by_depth(shares).withColumn("kind", F.lit("shares")))
+        found = self._run(self._sent(sent), _credited(self.shape), "a long, b long, credit double")
+        of_a, of_b = self.numbered.select("number AS a", "vertex AS src"), self.numbered.select("number AS b", "vertex AS dst")
+        named = lookup_join(lookup_join(found, of_a, ["a"], self.scratch), of_b, ["b"], self.scratch)
+        return named.select("src", "dst", "credit")
+
+
+def _by_depth(levels: list[Saved | None]) -> DataFrame:
+    """All levels as one table."""
+    rows = [level.df.withColumn("depth", F.lit(depth)) for depth, level in enumerate(levels) if level]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def search_in_parts(edges: Saved, sources: DataFrame, scratch: Scratch) -> PartSearch | None:
+    """The search from ``sources (vertex)``, or None where the graph is small or sparse, or the states are many."""
+    spark = scratch.spark
+    if 2 * edges.rows <= limit(spark, "broadcastRows"):
+        return None
+    numbered = scratch.save(
+        with_rank(vertices(edges.df), [F.col("vertex")], "rank", scratch).selectExpr("vertex", "rank - 1 AS number")
+    )
+    if 8 * numbered.rows > _MATRIX or edges.rows < limit(spark, "taskDegree") * numbered.rows:
+        return None
+    asked = scratch.save(lookup_join(numbered, scratch.save(sources.select("vertex").distinct()), ["vertex"], scratch, "left_semi"))
+    if not 0 < asked.rows * numbered.rows <= limit(spark, "statesPerPartition") * int(spark.conf.get("spark.sql.shuffle.partitions")):
+        return None
+    slots = scratch.save(with_rank(asked.df, [F.col("number")], "rank", scratch).selectExpr("vertex", "number", "rank - 1 AS slot"))
+    words = -(-numbered.rows // 64)
+    batches = -(-asked.rows // max(1, min(_MOST, _MATRIX // (8 * numbered.rows))))
+    widths = tuple(asked.rows // batches + (i < asked.rows % batches) for i in range(batches))
+    shape = _Shape(words, min(words, -(-2 * edges.rows // _PART)), widths)
+    lists = scratch.cache(
+        _numbered_lists(edges, numbered, words, scratch).withColumn("to", F.expr(f"strip % {shape.parts}")).repartition(shape.parts, "to")
+    )
+    return PartSearch(numbered, slots, lists, shape, scratch)
+
+
+def _numbered_lists(edges: Saved, numbered: Saved, words: int, scratch: Scratch) -> DataFrame:
+    one = lookup_join(edges, numbered.select("vertex AS src", "number AS a"), ["src"], scratch)
+    ends = lookup_join(one, numbered.select("vertex AS dst", "number AS b"), ["dst"], scratch, keys_of=edges).select("a", "b")
+    return ends.mapInArrow(_lists(words), _STRIPS).groupBy("strip").applyInArrow(_merged, _STRIPS)

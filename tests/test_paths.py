@@ -267,3 +267,43 @@ def test_searches_in_tasks_of_repeated_edges(spark, limits):
         found = ct.edge_betweenness(edges)
     assert _scores(found) == pytest.approx({e: a / b for e, (a, b) in G11_SCORES.items()})
     assert of(found) == of(joined)
+
+
+@pytest.mark.parametrize("sources", [[1], [-7, 10, 5000, -99, 123456], [30, 10 ** 12, 120]], ids=["one", "far", "some"])
+@pytest.mark.parametrize("edges", [G11, _hub(2)], ids=["g11", "hub"])
+def test_searches_in_parts(spark, graph, limits, monkeypatch, edges, sources):
+    """Some sources of a dense graph too large for a broadcast are searched by parts of its lists."""
+    df, asked = graph(edges), spark.createDataFrame([(s,) for s in sources], "vertex long")
+    states, scores = _states(ct.shortest_path_counts(df, asked)), _scores(ct.edge_betweenness(df, asked))
+    monkeypatch.setattr(paths, "_in_batches", lambda *_: pytest.fail("searched by joins"))
+    with limits(broadcastRows=0, hotKeys=4, taskDegree=0):
+        if states:
+            assert _states(ct.shortest_path_counts(df, asked)) == states
+            assert _scores(ct.edge_betweenness(df, asked)) == pytest.approx(scores)
+
+
+def test_searches_in_parts_of_many_strips(spark, graph, limits, monkeypatch):
+    pick = random.Random(6)
+    edges = sorted({tuple(sorted(pick.sample(range(400), 2))) for _ in range(900)} | {(500 + i, 501 + i) for i in range(9)})
+    asked = spark.createDataFrame([(s,) for s in [*range(0, 400, 37), 503]], "vertex long")
+    df = graph(edges)
+    states, scores = _states(ct.shortest_path_counts(df, asked)), _scores(ct.edge_betweenness(df, asked))
+    monkeypatch.setattr(paths, "_in_batches", lambda *_: pytest.fail("searched by joins"))
+    monkeypatch.setattr(searches, "_MOST", 5)
+    monkeypatch.setattr(searches, "_PART", 500)
+    repeated = df.unionByName(df.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
+    with limits(broadcastRows=100, taskDegree=0):
+        assert _states(ct.shortest_path_counts(df, asked)) == states
+        assert _scores(ct.edge_betweenness(repeated, asked)) == pytest.approx(scores)
+
+
+def test_searches_in_parts_tell_an_overflow():
+    """A vertex that gets more paths than a double holds from its two neighbours."""
+    shape = searches._Shape(1, 1, (1,))
+    batch = pa.RecordBatch.from_arrays([pa.array([0, 1]), pa.array([2, 2])], names=["a", "b"])
+    lists = pa.Table.from_batches(list(cells._lists(1)([batch])))
+    held = cells.np.zeros((64, 1))
+    held[:2] = 1e308
+    row = searches._row(0, 0, held, held > 0)
+    sent = pa.Table.from_pylist([row], searches._HELD_ARROW)
+    assert searches._advanced(shape)((pa.scalar(0),), lists, sent)["most"].to_pylist() == [float("inf")]
