@@ -404,6 +404,9 @@ def source_edge_credit(
 
     spark = edges.sparkSession
     with Scratch(spark) as scratch, _by_source(spark):
+        found = _in_parts(edges, sources, batches, resume, scratch)
+        if found is not None:
+            return found.credits_by_source()
         return _in_batches("credit", edges, sources, batches, resume, scratch, run)
 
 

@@ -13,7 +13,7 @@ shuffled after the lists are made, and credit is summed by edge where the list o
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from ..plans.limits import limit
 from ..plans.order import with_rank
 from ..plans.scratch import Saved, Scratch
-from ..plans.skew import lookup_join
+from ..plans.skew import fits, lookup_join
 from .cells import _STRIP, _STRIPS, _lists, _merged, _unpack
 from .edges import vertices
 
@@ -35,6 +35,8 @@ _MOST = 128
 _SUMS = "strip long, task long, credits binary, others binary, most double"
 # Neighbours that a part of the lists holds, in 4 bytes each.
 _PART = 14 << 20
+# Rows of credit by source that a task sends at once.
+_SENT = 200_000
 _HELD = "part long, batch long, code binary, seen binary, found long, most double"
 
 
@@ -281,36 +283,73 @@ def _shared(shape: _Shape):
     return share
 
 
+def _matrices(shape: _Shape, sent: list[dict]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """For each batch of sources the path counts, the shares and the levels of all vertices."""
+    for batch, width in enumerate(shape.widths):
+        some = [r for r in sent if r["batch"] == batch]
+        paths, shares = np.zeros((64 * shape.words, width)), np.zeros((64 * shape.words, width))
+        depth = np.full(paths.shape, -9, np.int32)
+        for level in sorted({r["depth"] for r in some}):
+            at = shape.whole([r for r in some if r["kind"] == "paths" and r["depth"] == level], width)
+            paths += at
+            depth[at > 0] = level
+            shares += shape.whole([r for r in some if r["kind"] == "shares" and r["depth"] == level], width)
+        yield paths, shares, depth
+
+
+def _above(shape: _Shape, lists: pa.Table, part: int) -> list[tuple[int, np.ndarray]]:
+    """The vertices of a part, and of each the neighbours with higher numbers."""
+    return [(u, n[np.searchsorted(n, u, side="right") :]) for u, n in zip(shape.own(part).tolist(), shape.lists(lists, part))]
+
+
 def _credited(shape: _Shape):
     """The credit of each edge, where the list of its lower vertex is, over all sources."""
 
     def credit(key: tuple, lists: pa.Table, sent: pa.Table) -> pa.Table:
-        part, sent = key[0].as_py(), sent.to_pylist()
-        own = shape.own(part)
-        near = [n[np.searchsorted(n, u, side="right") :] for u, n in zip(own.tolist(), shape.lists(lists, part))]
-        sums = [np.zeros(len(n)) for n in near]
-        for batch, width in enumerate(shape.widths):
-            some = [r for r in sent if r["batch"] == batch]
-            paths, shares = np.zeros((64 * shape.words, width)), np.zeros((64 * shape.words, width))
-            depth = np.full(paths.shape, -9, np.int32)
-            for level in sorted({r["depth"] for r in some}):
-                at = shape.whole([r for r in some if r["kind"] == "paths" and r["depth"] == level], width)
-                paths += at
-                depth[at > 0] = level
-                shares += shape.whole([r for r in some if r["kind"] == "shares" and r["depth"] == level], width)
-            for u, n, s in zip(own.tolist(), near, sums):
+        near = _above(shape, lists, key[0].as_py())
+        sums = [np.zeros(len(n)) for _, n in near]
+        for paths, shares, depth in _matrices(shape, sent.to_pylist()):
+            for (u, n), s in zip(near, sums):
                 if len(n):
                     apart = depth[n] - depth[u]
                     s += np.where(apart == 1, shares[n], 0.0) @ paths[u]
                     s += np.where(apart == -1, paths[n], 0.0) @ shares[u]
-        a = np.repeat(own, [len(n) for n in near])
-        b, sums = (np.concatenate(x) for x in (near, sums))
+        a = np.repeat([u for u, _ in near], [len(n) for _, n in near])
+        b, sums = np.concatenate([n for _, n in near]), np.concatenate(sums)
         used = sums > 0
         return pa.table({"a": a[used], "b": b[used].astype(np.int64), "credit": sums[used]})
 
     return credit
 
 
+def _credited_by_source(shape: _Shape):
+    """The credit of each edge from each source, sent on bit by bit; ``kind`` tells the lists of a part from what all parts hold."""
+    befores = np.cumsum([0, *shape.widths]).tolist()
+
+    def credit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches))
+        kinds, part = np.array(table["kind"].to_pylist()), table["to"][0].as_py()
+        near = _above(shape, table.filter(pa.array(kinds == "lists")), part)
+        sent = table.filter(pa.array(kinds != "lists")).to_pylist()
+        del table
+        for before, (paths, shares, depth) in zip(befores, _matrices(shape, sent)):
+            found, held = [], 0
+            for u, n in [*near, (-1, None)]:
+                if n is not None and len(n):
+                    apart = depth[n] - depth[u]
+                    given = np.where(apart == 1, shares[n] * paths[u], 0.0)
+                    given += np.where(apart == -1, paths[n] * shares[u], 0.0)
+                    at, slot = np.nonzero(given)
+                    found.append((np.full(len(at), u), n[at].astype(np.int64), slot + before, given[at, slot]))
+                    held += len(at)
+                if held and (n is None or held >= _SENT):
+                    columns = [pa.array(np.concatenate(c)) for c in zip(*found)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["a", "b", "slot", "credit"])
+                    found, held = [], 0
+
+    return credit
+
+
 def _reached(shape: _Shape):
     """``(number, slot, depth, sigma)`` of the states of rows."""
     befores = np.cumsum([0, *shape.widths]).tolist()
@@ -359,21 +398,44 @@ class PartSearch:
         named = lookup_join(found, self.numbered.select("number", "vertex"), ["number"], self.scratch)
         return lookup_join(named, self.slots.select("slot", "vertex AS source"), ["slot"], self.scratch).select("source", "vertex", "depth", "sigma")
 
-    def credits(self) -> DataFrame:
-        """``(src, dst, credit)`` summed over the sources."""
+    def _states(self) -> DataFrame:
+        """The path counts of all levels and, by ``kind``, what each vertex passes for each path of a parent."""
         shares = [None] * len(self.levels)
         for depth in range(len(self.levels) - 1, 0, -1):
             sent = self.levels[depth].df.select("*", F.col("part").alias("to"), F.lit("paths").alias("kind"))
             if depth + 1 < len(self.levels):
                 sent = sent.unionByName(self._sent(shares[depth + 1].df).withColumn("kind", F.lit("shares")))
             shares[depth] = self.scratch.save(self._run(sent, _shared(self.shape), _HELD))
-        sent = _by_depth(self.levels).withColumn("kind", F.lit("paths"))
-        if len(shares) > 1:
-            sent = sent.unionByName(_by_depth(shares).withColumn("kind", F.lit("shares")))
-        found = self._run(self._sent(sent), _credited(self.shape), "a long, b long, credit double")
-        of_a, of_b = self.numbered.select("number AS a", "vertex AS src"), self.numbered.select("number AS b", "vertex AS dst")
-        named = lookup_join(lookup_join(found, of_a, ["a"], self.scratch), of_b, ["b"], self.scratch)
-        return named.select("src", "dst", "credit")
+        states = _by_depth(self.levels).withColumn("kind", F.lit("paths"))
+        return states.unionByName(_by_depth(shares).withColumn("kind", F.lit("shares"))) if len(shares) > 1 else states
+
+    def _ends(self, found: DataFrame, numbered: Saved) -> DataFrame:
+        of_a, of_b = numbered.select("number AS a", "vertex AS src"), numbered.select("number AS b", "vertex AS dst")
+        return lookup_join(lookup_join(found, of_a, ["a"], self.scratch), of_b, ["b"], self.scratch)
+
+    def credits(self) -> DataFrame:
+        """``(src, dst, credit)`` summed over the sources."""
+        found = self._run(self._sent(self._states()), _credited(self.shape), "a long, b long, credit double")
+        return self._ends(found, self.numbered).select("src", "dst", "credit")
+
+    def credits_by_source(self) -> DataFrame:
+        """``(source, src, dst, credit)``, up to a row for each source and edge: where the vertices are broadcast, only what these are found from is written."""
+        keep = lambda df: self.scratch.save(df, keep=True)
+        lists, states = keep(self.lists).df, keep(self._states()).df
+        numbered, slots = keep(self.numbered.df), keep(self.slots.df)
+        columns = ["to", "kind", "part", "batch", "depth", "strip", "held", "code"]
+        none = lambda df: df.select(*[c if c in df.columns else F.lit(None).cast("long").alias(c) for c in columns])
+        rows = none(lists.withColumn("kind", F.lit("lists"))).unionByName(none(self._sent(states)))
+        found = (
+            rows.repartition(self.shape.parts, "to").groupBy("to")
+            .applyInArrow(_credited_by_source(self.shape), "a long, b long, slot long, credit double")
+        )
+        named = lookup_join(self._ends(found, numbered), slots.select("slot", "vertex AS source"), ["slot"], self.scratch)
+        out = named.select("source", "src", "dst", "credit")
+        if not (fits(numbered, self.scratch) and fits(slots, self.scratch)):
+            return keep(out).df
+        out._coterie_result = self.scratch.root
+        return out
 
 
 def _by_depth(levels: list[Saved | None]) -> DataFrame:

@@ -288,13 +288,17 @@ def test_searches_in_parts_of_many_strips(spark, graph, limits, monkeypatch):
     asked = spark.createDataFrame([(s,) for s in [*range(0, 400, 37), 503]], "vertex long")
     df = graph(edges)
     states, scores = _states(ct.shortest_path_counts(df, asked)), _scores(ct.edge_betweenness(df, asked))
+    credits = lambda: {(r.source, r.src, r.dst): r.credit for r in ct.source_edge_credit(df, asked).collect()}
+    credit = credits()
     monkeypatch.setattr(paths, "_in_batches", lambda *_: pytest.fail("searched by joins"))
     monkeypatch.setattr(searches, "_MOST", 5)
+    monkeypatch.setattr(searches, "_SENT", 50)
     monkeypatch.setattr(searches, "_PART", 500)
     repeated = df.unionByName(df.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     with limits(broadcastRows=100, taskDegree=0):
         assert _states(ct.shortest_path_counts(df, asked)) == states
         assert _scores(ct.edge_betweenness(repeated, asked)) == pytest.approx(scores)
+        assert credits() == pytest.approx(credit)
 
 
 def test_searches_in_parts_tell_an_overflow():
