@@ -176,10 +176,9 @@ def symmetrize(edges: DataFrame) -> DataFrame:
 def adjacency(edges: DataFrame, row_length: int = ROW_LENGTH) -> DataFrame:
     """``(vertex, part, neighbours)``: the sorted neighbours of each vertex, ``row_length`` to a row."""
     with Scratch(edges.sparkSession) as scratch:
-        both = scratch.save(
-            symmetrize(edges).select(F.col("src").alias("vertex"), F.col("dst").alias("neighbour"))
-        )
-        lists = sorted_lists(both, "vertex", "neighbour", "neighbours", scratch, row_length)
+        kept = settled_edges(edges, scratch)
+        both = kept.df.select(both_directions("src", "dst")).toDF("vertex", "neighbour")
+        lists = sorted_lists(Saved(both, 2 * kept.rows), "vertex", "neighbour", "neighbours", scratch, row_length, packed=True)
         return scratch.save(lists, keep=True).df
 
 

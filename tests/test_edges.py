@@ -6,6 +6,7 @@ import pytest
 
 import coterie as ct
 from conftest import G7
+from coterie.plans import lists
 from coterie.plans.scratch import Scratch
 from coterie.plans.skew import pairs_within
 
@@ -181,3 +182,29 @@ def test_edges_of_bitmaps_are_written_in_order(spark, limits):
     for r in edges.select("src", "dst", "_metadata.file_path").collect():
         files.setdefault(r.file_path, []).append((r.src, r.dst))
     assert len(files) > 1 and all(f == sorted(f) for f in files.values())
+
+
+def test_adjacency_of_many_edges_is_packed(graph, limits, monkeypatch):
+    """Lists beyond the checked broadcast are shuffled compressed, and both directions are not written before."""
+    pick = random.Random(3)
+    ids = [-(2 ** 63), -7, 0, 1, 2 ** 63 - 1, *range(10, 400, 13)]
+    pairs = {tuple(sorted(pick.sample(ids, 2))) for _ in range(150)}
+    expected = defaultdict(set)
+    for a, b in pairs:
+        expected[a].add(b)
+        expected[b].add(a)
+    written, save = [], Scratch.save
+
+    def counted(self, *args, **kwargs):
+        saved = save(self, *args, **kwargs)
+        written.append(saved.rows)
+        return saved
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    monkeypatch.setattr(lists, "_BUCKET", 40)
+    monkeypatch.setattr(lists, "_SORTED", 30)
+    with limits(broadcastRows=100):
+        found = {(r.vertex, r.part): r.neighbours for r in ct.adjacency(graph(sorted(pairs)), row_length=3).collect()}
+    whole = {v: sorted(n) for v, n in expected.items()}
+    assert found == {(v, i // 3): n[i : i + 3] for v, n in whole.items() for i in range(0, len(n), 3)}
+    assert 2 * len(pairs) not in written
