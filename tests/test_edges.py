@@ -208,3 +208,25 @@ def test_adjacency_of_many_edges_is_packed(graph, limits, monkeypatch):
     whole = {v: sorted(n) for v, n in expected.items()}
     assert found == {(v, i // 3): n[i : i + 3] for v, n in whole.items() for i in range(0, len(n), 3)}
     assert 2 * len(pairs) not in written
+
+
+def test_many_repeated_edges_are_packed(spark, limits, monkeypatch):
+    """Repeats in either orientation, loops and nulls go where the tasks read them; edges that an operator wrote are not written again."""
+    from coterie.operators import edges as module
+
+    pick = random.Random(4)
+    pairs = {tuple(sorted(pick.sample([-(2 ** 63), -3, 2 ** 63 - 1, *range(0, 300, 11)], 2))) for _ in range(90)}
+    rows = [e for a, b in sorted(pairs) for e in ((a, b), (b, a), (b, a), (a, a), (None, b))]
+    pick.shuffle(rows)
+    calls, packed = [], module.packed_distinct
+    monkeypatch.setattr(module, "packed_distinct", lambda *a: calls.append(a[1]) or packed(*a))
+    monkeypatch.setattr(lists, "_BUCKET", 50)
+    monkeypatch.setattr(lists, "_SORTED", 40)
+    with limits(broadcastRows=10), Scratch(spark) as scratch:
+        saved = module.settled_edges(spark.createDataFrame(rows, "src long, dst long").repartition(3), scratch)
+        assert sorted(map(tuple, saved.df.collect())) == sorted(pairs) and saved.rows == len(pairs)
+    assert calls == [len(rows)]
+    made = ct.coaffiliation_edges(spark.createDataFrame([(u, i) for u in range(4) for i in range(3)], "user long, item long"), 2)
+    with Scratch(spark) as scratch:
+        again = module.settled_edges(made, scratch)
+        assert again.rows == 6 and not scratch._count
