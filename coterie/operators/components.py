@@ -57,7 +57,10 @@ def _contractions(edges: DataFrame, scratch: Scratch) -> list[Saved]:
     Every vertex picks its smallest neighbour, so each round at least halves the vertices.
     """
     rounds = []
-    left = scratch.save(edges.where("src <> dst").select(F.col("src").alias("a"), F.col("dst").alias("b")))
+    ends = edges.where("src <> dst").select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    # What an operator of this library wrote need not be written again.
+    written = getattr(edges, "_coterie_simple", False) and hasattr(edges, "_coterie_result")
+    left = Saved(ends, edges.count()) if written else scratch.save(ends)
     while left.rows:
         picks = (
             left.df.select(both_directions("a", "b")).groupBy(F.col("a").alias("vertex")).agg(F.min("b").alias("pick"))

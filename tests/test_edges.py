@@ -230,3 +230,19 @@ def test_many_repeated_edges_are_packed(spark, limits, monkeypatch):
     with Scratch(spark) as scratch:
         again = module.settled_edges(made, scratch)
         assert again.rows == 6 and not scratch._count
+
+
+def test_components_do_not_write_the_edges_again(spark, monkeypatch):
+    rows = [(u, i) for u in range(6) for i in range(3)] + [(u, i) for u in range(10, 13) for i in range(5, 8)]
+    edges = ct.coaffiliation_edges(spark.createDataFrame(rows, "user long, item long"), 2)
+    assert edges.count() == 18
+    written, save = [], Scratch.save
+
+    def counted(self, *args, **kwargs):
+        saved = save(self, *args, **kwargs)
+        written.append(saved.rows)
+        return saved
+
+    monkeypatch.setattr(Scratch, "save", counted)
+    assert sorted(r.vertex for r in ct.reachable(edges, 11).collect()) == [10, 11, 12]
+    assert 18 not in written
