@@ -6,7 +6,8 @@ grams of each block are counted there, and the counts of all blocks are summed b
 frequent grams (a semi-join) are extended. A gram is named by its two overlapping parts of one word less, both frequent.
 
 Positions are numbered through a block with a free number between pieces, so "same piece, next position" is "next
-number". A gram is one row per block and level, however often it occurs, so no gram is a hot key.
+number". A gram is one row per block and level, however often it occurs, so no gram is a hot key. What a block holds is written as
+a row with its places, sorted, and a short row for each of its grams, so that no file is read or written by rows of many grams.
 """
 
 from __future__ import annotations
@@ -47,9 +48,16 @@ _CODE_BITS, _BLOCK_BITS, _PART_BITS = 31, 12, 20
 _SLICES = 16
 # Rows of grams, with their words, that may be broadcast.
 _SMALL = 50_000
-_RELATION = "block long, lang string, tokens long, places binary, codes binary"
-_WORDS = f"{_RELATION}, words array<string>, counts array<long>"
-_GRAMS = f"{_RELATION}, firsts array<long>, seconds array<long>, counts array<long>"
+# Rows of grams that a task sends at once.
+_SENT = 1 << 16
+# A row has either the occurrences of a block or a gram of it, whose code is written as two numbers that files hold in next to no space.
+_RELATION = "block long, places binary, codes binary, high int, low int, counts long"
+_WORDS = f"{_RELATION}, lang string, tokens long, words string"
+_GRAMS = f"{_RELATION}, firsts long, seconds long"
+_KINDS = {
+    "block": pa.int64(), "places": pa.binary(), "codes": pa.binary(), "high": pa.int32(), "low": pa.int32(), "counts": pa.int64(), "lang": pa.string(),
+    "tokens": pa.int64(), "words": pa.string(), "firsts": pa.int64(), "seconds": pa.int64(),
+}
 
 
 def _tokens(text: bytes) -> Iterator[list[bytes]]:
@@ -61,6 +69,22 @@ def _tokens(text: bytes) -> Iterator[list[bytes]]:
         at = to
 
 
+def _rows(schema: str, same: dict, places: np.ndarray, codes: np.ndarray, grams: dict, first: int = 0, **once) -> Iterator[pa.RecordBatch]:
+    """The occurrences of a block in one row, with what is there ``once``, and then its ``grams``, with codes from ``first`` on, in short rows; ``same`` is in all rows."""
+    fields = [(name, _KINDS[name]) for name in (column.split()[0] for column in schema.split(", "))]
+
+    def batch(rows: int, found: dict) -> pa.RecordBatch:
+        columns = [pa.array([same[n]] * rows, kind) if n in same else pa.array(found[n], kind) if n in found else pa.nulls(rows, kind) for n, kind in fields]
+        return pa.RecordBatch.from_arrays(columns, schema=pa.schema(fields))
+
+    yield batch(1, {"places": [squeeze(places.astype(np.int32))], "codes": [squeeze(codes.astype(np.int32))]} | {n: [v] for n, v in once.items()})
+    held = len(grams["counts"])
+    code = np.arange(first, first + held, dtype=np.int32)
+    grams = grams | {"high": code >> 8, "low": code & 255}
+    for k in range(0, held, _SENT):
+        yield batch(min(_SENT, held - k), {n: values[k : k + _SENT] for n, values in grams.items()})
+
+
 def _occurrences(block_tokens: int):
     """Blocks of the occurrence relation of length one: sorted places with local word codes, the words and their counts."""
 
@@ -72,24 +96,21 @@ def _occurrences(block_tokens: int):
         held: dict[str, tuple[dict[bytes, int], array]] = {}
         size = 0
 
-        def out(langs: list[str]) -> pa.RecordBatch:
+        def out(lang: str) -> Iterator[pa.RecordBatch]:
             nonlocal made, size
-            rows = []
-            for lang in langs:
-                known, tokens = held.pop(lang)
-                size -= len(tokens)
-                if made >> _BLOCK_BITS:
-                    raise ValueError("more text in a partition than names of blocks")
-                codes = np.frombuffer(tokens, np.int32)
-                places = np.flatnonzero(codes)
-                counts = np.bincount(codes, minlength=len(known))
-                counts[0] = 0
-                rows.append((part << _BLOCK_BITS | made, lang, len(places), squeeze(places.astype(np.int32)), squeeze(codes[places]),
-                             pa.array(known, pa.binary()).cast(pa.string()).to_pylist(), counts.tolist()))
-                made += 1
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.list_(pa.string()), pa.list_(pa.int64())]
-            names = ["block", "lang", "tokens", "places", "codes", "words", "counts"]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+            known, tokens = held.pop(lang)
+            size -= len(tokens)
+            if made >> _BLOCK_BITS:
+                raise ValueError("more text in a partition than names of blocks")
+            codes = np.frombuffer(tokens, np.int32)
+            places = np.flatnonzero(codes)
+            # All words but the break.
+            grams = {
+                "counts": np.bincount(codes, minlength=len(known))[1:],
+                "words": pa.array(known, pa.binary()).cast(pa.string()).slice(1),
+            }
+            yield from _rows(_WORDS, {"block": part << _BLOCK_BITS | made, "lang": lang}, places, codes[places], grams, 1, tokens=len(places))
+            made += 1
 
         for batch in batches:
             texts = batch.column("text").cast(pa.large_binary())
@@ -101,21 +122,24 @@ def _occurrences(block_tokens: int):
                     codes.extend(map(known.__getitem__, tokens))
                     size += len(tokens)
                     if len(codes) >= block_tokens:
-                        yield out([lang])
+                        yield from out(lang)
                     elif size >= _ALL_BLOCKS * block_tokens:
-                        yield out(list(held))
-        if held:
-            yield out(list(held))
+                        for other in list(held):
+                            yield from out(other)
+        for lang in list(held):
+            yield from out(lang)
 
     return occurrences
 
 
 def _extend(key: tuple, relation: pa.Table, frequent: pa.Table) -> pa.Table:
     """Join the frequent occurrences of one block with those at the next place, and count the grams that this makes."""
-    rows = {n: [] for n in ("block", "lang", "tokens", "places", "codes", "firsts", "seconds", "counts")}
+    found = []
     if len(relation) and len(frequent):
-        row = relation.select(["block", "lang", "places", "codes"]).to_pylist()[0]
+        row = relation.select(["block", "places", "codes"]).to_pylist()[0]
         places, codes = expand(row["places"], np.int32), expand(row["codes"], np.int32)
+        # Grams in the order of their names, so that those beside each other differ little.
+        frequent = frequent.sort_by("id")
         known = frequent["code"].to_numpy()
         names = np.full(max(int(codes.max(initial=0)), int(known.max())) + 1, -1, np.int64)
         local = names.copy()
@@ -127,13 +151,11 @@ def _extend(key: tuple, relation: pa.Table, frequent: pa.Table) -> pa.Table:
         left, right = codes[met], codes[met + 1]
         grams, which, counts = np.unique(local[left] << 32 | local[right], return_inverse=True, return_counts=True)
         if len(grams):
-            rows = {
-                "block": [row["block"]], "lang": [row["lang"]], "tokens": [len(met)], "places": [squeeze(places[met])],
-                "codes": [squeeze(which.astype(np.int32))], "firsts": [names[known[grams >> 32]]],
-                "seconds": [names[known[grams & 0xFFFFFFFF]]], "counts": [counts],
-            }
-    kinds = {"block": pa.int64(), "lang": pa.string(), "tokens": pa.int64(), "places": pa.binary(), "codes": pa.binary()}
-    return pa.table({n: pa.array(v, kinds.get(n, pa.list_(pa.int64()))) for n, v in rows.items()})
+            found = _rows(_GRAMS, {"block": row["block"]}, places[met], which, {
+                "counts": counts, "firsts": names[known[grams >> 32]], "seconds": names[known[grams & 0xFFFFFFFF]],
+            })
+    names = [column.split()[0] for column in _GRAMS.split(", ")]
+    return pa.Table.from_batches(found, pa.schema([(n, _KINDS[n]) for n in names]))
 
 
 def _frequent(relation: Saved, names: list[str], min_count: int, scratch: Scratch) -> Saved:
@@ -142,13 +164,12 @@ def _frequent(relation: Saved, names: list[str], min_count: int, scratch: Scratc
     One shuffle by gram serves the group-count and the semi-join: every row, a gram of a block with its count there, meets
     the sum of its gram. A gram is named by the first block that has it and by its code there, both in one number.
     """
-    gram = F.posexplode(F.arrays_zip(*names, "counts")).alias("code", "gram")
     # Ids are not shared by languages, words are.
     by = [*names, *(["lang"] if names == ["words"] else [])]
-    own = F.shiftleft("block", _CODE_BITS).bitwiseOR(F.col("code").cast("long"))
-    rows = relation.df.select("block", "lang", gram).select(
-        own.alias("own"), *[F.col("lang") if n == "lang" else F.col("gram")[n].alias(n) for n in by], F.col("gram.counts").alias("counts")
-    ).where("counts > 0")
+    own = F.shiftleft("block", _CODE_BITS).bitwiseOR(F.expr("high * 256 + low").cast("long"))
+    rows = relation.df.where("low IS NOT NULL").select(own.alias("own"), *by, "counts")
+    # As many tasks as the rows ask for, however many those are.
+    rows = rows.repartition(partitions(scratch.spark, relation.rows), *by)
     same = Window.partitionBy(*by)
     counted = rows.withColumn("a", F.sum("counts").over(same)).withColumn("id", F.min("own").over(same))
     code = F.col("own").bitwiseAND(F.lit((1 << _CODE_BITS) - 1)).cast("int")
@@ -191,9 +212,10 @@ def mined(docs: DataFrame, longest: int, min_count: int, scratch: Scratch) -> tu
     for _ in range(longest - 1):
         if not frequent.rows:
             break
+        parts = partitions(scratch.spark, relation.rows + frequent.rows)
         relation = scratch.save(
-            relation.df.select("block", "lang", "places", "codes").groupBy("block")
-            .cogroup(frequent.df.select("block", "code", "id").groupBy("block")).applyInArrow(_extend, _GRAMS)
+            relation.df.where("places IS NOT NULL").select("block", "places", "codes").repartition(parts, "block").groupBy("block")
+            .cogroup(frequent.df.select("block", "code", "id").repartition(parts, "block").groupBy("block")).applyInArrow(_extend, _GRAMS)
         )
         frequent = _frequent(relation, ["firsts", "seconds"], min_count, scratch)
         found = scratch.save(frequent.df.where("named").select("id", "firsts", "seconds", "a"))

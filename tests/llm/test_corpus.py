@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from coterie.llm import divergence, phrases, quality_model
@@ -68,6 +69,25 @@ def test_phrases(docs, rows, monkeypatch, longest, least, top):
     assert sorted(map(tuple, found.collect())) == expected and expected
 
 
+def test_grams_of_a_block_come_in_short_rows(monkeypatch):
+    """However many grams a block has, no row holds more than one of them and no batch more than ``_SENT``."""
+    monkeypatch.setattr(phrases, "_SENT", 5)
+    codes = np.array([0, 1, 2, 3, 0, 1, 2, 0, 1, 0, 0, 3, 2, 1, 2, 3, 4], np.int32)
+    places = np.delete(np.arange(18, dtype=np.int32), 9)
+    relation = pa.table({"block": [7], "places": [phrases.squeeze(places)], "codes": [phrases.squeeze(codes)]})
+    frequent = pa.table({"block": [7] * 4, "code": pa.array(range(4), pa.int32()), "id": [10, 11, 12, 13]})
+    made = phrases._extend((), relation, frequent)
+    assert not any(pa.types.is_nested(field.type) for field in made.schema)
+    assert max(b.num_rows for b in made.to_batches()) <= 5
+    head, *grams = made.to_pylist()
+    at = [k for k in range(16) if places[k + 1] == places[k] + 1 and codes[k] < 4 and codes[k + 1] < 4]
+    pairs = Counter((10 + int(codes[k]), 10 + int(codes[k + 1])) for k in at)
+    assert {(g["firsts"], g["seconds"]): g["counts"] for g in grams} == dict(pairs) and len(grams) == len(pairs) > 5
+    assert phrases.expand(head["places"], np.int32).tolist() == [int(places[k]) for k in at]
+    of = {256 * g["high"] + g["low"]: (g["firsts"], g["seconds"]) for g in grams}
+    assert [of[c] for c in phrases.expand(head["codes"], np.int32).tolist()] == [(10 + int(codes[k]), 10 + int(codes[k + 1])) for k in at]
+
+
 def test_phrases_in_slices(docs, rows, limits):
     with limits(rowsPerTask=2, broadcastRows=0, hotKeys=4):
         assert sorted(map(tuple, phrases.collocations(docs, 3, 4, 5).collect())) == _phrases(rows, 3, 4, 5)
