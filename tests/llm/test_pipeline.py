@@ -107,3 +107,21 @@ def test_the_whole_chain(spark, tmp_path):
     tokenizer = Tokenizer.from_file(tokenizer_path())
     for doc, n, ids in found:
         assert doc < 12 and list(struct.unpack(f"<{n}I", ids)) == tokenizer.encode(texts[doc], add_special_tokens=False).ids
+
+
+def test_the_last_stage_decodes_too(spark, monkeypatch):
+    """The stage takes its ids from the whole operator, which decodes what it encodes, for every row."""
+    taken, encode = [], corpus_pipeline.encode
+
+    def seen(*args, **kinds):
+        taken.append(encode(*args, **kinds))
+        return taken[-1]
+
+    monkeypatch.setattr(corpus_pipeline, "encode", seen)
+    docs = spark.createDataFrame([(1, "one two"), (2, None), (3, "  Three ")], "doc_id long, text string")
+    ids = {r.doc_id: bytes(r.ids) for r in corpus_pipeline.token_ids(spark, docs, "").collect()}
+    (whole,) = taken
+    assert whole.columns == ["doc_id", "ids", "decoded"]
+    assert {r.doc_id: (bytes(r.ids), r.decoded) for r in whole.collect()} == {
+        1: (ids[1], "one</w> two</w>"), 2: (b"", ""), 3: (ids[3], "three</w>")
+    }
