@@ -254,6 +254,30 @@ def test_dense_graphs_are_compared_in_cells(graph, limits, monkeypatch, closed):
                 assert found == {e for e, s in value.items() if s >= epsilon - 1e-12}
 
 
+@pytest.mark.parametrize("closed", [True, False])
+def test_blocks_are_compared_in_turn(spark, graph, limits, monkeypatch, closed):
+    """Beyond ``cellCopies`` blocks no list is copied for each of them; results stay what they are, and can be released."""
+    edges = [(1000 * a - 90_000, 1000 * b - 90_000) for a, b in _random_graph(36, 200, 2500)] + [(10**12, 10**12 + 1)]
+    near = {v: n | ({v} if closed else set()) for v, n in neighbours(edges).items()}
+    value = {(min(e), max(e)): len(near[e[0]] & near[e[1]]) / (len(near[e[0]]) * len(near[e[1]])) ** 0.5 for e in edges}
+    monkeypatch.setattr("coterie.operators.structural._common", None)
+    monkeypatch.setattr("coterie.operators.cells._compared", None)
+    before = len(Scratch.with_results)
+    with limits(broadcastRows=100, listValues=1, wordGain=1000, cellBytes=1, cellCopies=1):
+        found = ct.structural_similarity(graph(edges), closed)
+        assert _similar(found) == pytest.approx(value) and found.columns == ["src", "dst", "similarity"]
+        ct.release(found)
+        for epsilon in (0.0, 0.3):
+            found = ct.similar_edges(graph(edges), epsilon, closed)
+            assert sorted(map(tuple, found.collect())) == sorted(e for e, s in value.items() if s >= epsilon - 1e-12)
+            ct.release(found)
+        cut = _labels(ct.structural_components(graph(edges), 0.3, closed=closed))
+    assert cut == _labels(ct.structural_components(graph([e for e, s in value.items() if s >= 0.3 - 1e-12]), 0.0)) | {
+        v: v for v in near if not any(v in e for e, s in value.items() if s >= 0.3 - 1e-12)
+    }
+    assert len(Scratch.with_results) <= before + 2
+
+
 def test_cores(graph):
     found = _labels(ct.structural_components(graph(G7), epsilon=0.8, mu=3))
     assert found == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4, 7: 4}
